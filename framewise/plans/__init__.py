@@ -1,4 +1,4 @@
 """Query catalog: importing this package registers every query key."""
 
-from . import geometry_queries, label_queries, survey_queries  # noqa: F401
+from . import geometry_queries, label_queries, pixel_queries, survey_queries  # noqa: F401
 from .catalog import ORACLE, QUERIES  # noqa: F401
