@@ -50,6 +50,11 @@ def lookup(df: DataFrame, dim: DataFrame, key_col: str) -> DataFrame:
     return df.join(d, key_col, "inner")
 
 
+def lookup_as(df: DataFrame, dim: DataFrame, key_col: str) -> DataFrame:
+    """Join an already-renamed slice of the dictionary on ``key_col`` (broadcast)."""
+    return df.join(F.broadcast(dim), key_col, "inner")
+
+
 def class_balance(df: DataFrame, label_col: str = "label_id") -> DataFrame:
     return df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
 

@@ -61,6 +61,32 @@ def rows_of(records, cols):
     return sorted(out, key=repr)
 
 
+def _spark_family(dt) -> str:
+    name = dt.typeName()
+    if name == "array":
+        return "list<" + _spark_family(dt.elementType) + ">"
+    return {"integer": "int32", "long": "int64", "short": "int16", "byte": "int8",
+            "double": "float64", "float": "float32", "string": "str", "boolean": "bool",
+            "timestamp": "ts", "timestamp_ntz": "ts", "date": "date", "binary": "bytes",
+            "struct": "struct"}.get(name, name)
+
+
+def _duck_family(t) -> str:
+    s = str(t)
+    if s.endswith("[]"):
+        return "list<" + _duck_family(s[:-2]) + ">"
+    return {"INTEGER": "int32", "BIGINT": "int64", "SMALLINT": "int16", "TINYINT": "int8",
+            "DOUBLE": "float64", "FLOAT": "float32", "VARCHAR": "str", "BOOLEAN": "bool",
+            "TIMESTAMP": "ts", "TIMESTAMP WITH TIME ZONE": "ts", "DATE": "date", "BLOB": "bytes",
+            "HUGEINT": "int128"}.get(s, s)
+
+
+def type_diffs(spark_df, rel) -> list[str]:
+    st = {f.name: _spark_family(f.dataType) for f in spark_df.schema.fields}
+    dt = {c: _duck_family(t) for c, t in zip(rel.columns, rel.types)}
+    return [f"{c}: spark {st[c]} vs duck {dt.get(c)}" for c in st if c in dt and st[c] != dt[c]]
+
+
 def compare(spark_df, con, sql: str):
     """Return (ok, message)."""
     s_cols = sorted(spark_df.columns)
@@ -77,4 +103,5 @@ def compare(spark_df, con, sql: str):
     if a != b:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
         return False, f"values differ, first: {diff}"
-    return True, f"{len(a)} rows"
+    td = type_diffs(spark_df, rel)
+    return True, f"{len(a)} rows" + (f"  TYPES {td}" if td else "")
