@@ -1,5 +1,5 @@
 """Query catalog: importing this package registers every query key."""
 
-from . import (geometry_queries, io_queries, label_queries, pixel_queries,  # noqa: F401
-               quality_queries, stream_queries, survey_queries)
+from . import (geometry_queries, io_queries, label_queries, ml_queries,  # noqa: F401
+               pixel_queries, quality_queries, stream_queries, survey_queries)
 from .catalog import ORACLE, QUERIES  # noqa: F401
