@@ -2,15 +2,14 @@
 
 Landmarks are rows ``(frame_id, hand_id, pos, x, y)``.  The points of one
 frame are bounded (a detector returns 21 per hand), so they are hash
-partitioned by ``frame_id`` once; the per-hand and per-frame aggregates and
-the join of centres back to their points then run without another exchange
-(hash partitioning on ``frame_id`` satisfies the clustering on
-``(frame_id, hand_id)``).
+partitioned by ``frame_id`` once; per-hand and per-frame computations then
+run without another exchange (hash partitioning on ``frame_id`` satisfies
+the clustering on ``(frame_id, hand_id)``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FRAME_W, FRAME_H = 640, 480
@@ -20,24 +19,38 @@ def _trunc_mean(c: str):
     return (F.sum(c) / F.count(F.lit(1))).cast("int")
 
 
-def hand_centers(landmarks: DataFrame, by_frame: DataFrame | None = None) -> DataFrame:
+def hand_centers(landmarks: DataFrame) -> DataFrame:
     """Per hand: truncated mean of the points; per frame: truncated mean of
-    the hand centres -> ``(frame_id, cx, cy)``."""
-    pts = by_frame if by_frame is not None else landmarks.repartition("frame_id")
-    hands = pts.groupBy("frame_id", "hand_id").agg(_trunc_mean("x").alias("hx"),
+    the hand centres -> ``(frame_id, cx, cy)``.  Both levels aggregate
+    partially before their shuffle (points -> one row per hand per task)."""
+    hands = landmarks.groupBy("frame_id", "hand_id").agg(_trunc_mean("x").alias("hx"),
                                                     _trunc_mean("y").alias("hy"))
     return hands.groupBy("frame_id").agg(_trunc_mean("hx").alias("cx"),
                                          _trunc_mean("hy").alias("cy"))
 
 
 def hand_reach(landmarks: DataFrame) -> DataFrame:
-    """``(frame_id, cx, cy, max_dist)``: largest distance of a point to the centre."""
-    pts = landmarks.select("frame_id", "hand_id", "x", "y").repartition("frame_id")
-    centers = hand_centers(landmarks, by_frame=pts)
+    """``(frame_id, cx, cy, max_dist)``: largest distance of a point to the centre.
+
+    One exchange of the points on ``frame_id``; the hand means, the frame
+    centre (mean over hands, each hand counted once via its first point) and
+    the distances are window columns over that partitioning, and the final
+    per-frame aggregate needs no further shuffle."""
+    pts = landmarks.select("frame_id", "hand_id", "pos", "x", "y").repartition("frame_id")
+    hand = Window.partitionBy("frame_id", "hand_id")
+    frame = Window.partitionBy("frame_id")
+    first = (F.row_number().over(hand.orderBy("pos")) == 1).cast("int")
+    p = pts.select("frame_id", "x", "y",
+                   (F.sum("x").over(hand) / F.count(F.lit(1)).over(hand)).cast("int").alias("hx"),
+                   (F.sum("y").over(hand) / F.count(F.lit(1)).over(hand)).cast("int").alias("hy"),
+                   first.alias("first"))
+    n_hands = F.sum("first").over(frame)
+    c = p.select("frame_id", "x", "y",
+                 (F.sum(F.col("hx") * F.col("first")).over(frame) / n_hands).cast("int").alias("cx"),
+                 (F.sum(F.col("hy") * F.col("first")).over(frame) / n_hands).cast("int").alias("cy"))
     dist = F.sqrt(F.pow(F.col("cx") - F.col("x"), 2) + F.pow(F.col("cy") - F.col("y"), 2))
-    return (pts.join(centers, "frame_id")
-               .groupBy("frame_id")
-               .agg(F.max("cx").alias("cx"), F.max("cy").alias("cy"), F.max(dist).alias("max_dist")))
+    return c.groupBy("frame_id").agg(F.max("cx").alias("cx"), F.max("cy").alias("cy"),
+                                     F.max(dist).alias("max_dist"))
 
 
 def with_defaults(frames: DataFrame, reach: DataFrame, width: int = FRAME_W,
