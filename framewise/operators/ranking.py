@@ -1,47 +1,77 @@
-"""Exact per-group row numbers that stay balanced when one group is huge.
+"""Ordered per-group positions that stay balanced when one group is huge.
 
-``row_number() OVER (PARTITION BY g ORDER BY o)`` sends a whole group to one
-task.  Here the rows are range-partitioned on ``(g, o)`` instead, so a hot
-group spans many partitions; each row's number is its position inside its
-partition plus the number of rows of the same group in earlier partitions.
-The per-(partition, group) block table is tiny (at most partitions + groups
-rows), so the last join is broadcast by AQE from its measured size.
+``row_number() OVER (PARTITION BY g ORDER BY o)`` (or a running sum) sends a
+whole group to one task.  Here the rows are range-partitioned on ``(g, o)``
+instead, so a hot group spans many partitions; a row's position is its
+position inside its partition plus the total of the same group in earlier
+partitions.  The per-(partition, group) block table is tiny (at most
+partitions + groups rows), so the join back is broadcast by AQE from its
+measured size.
 
-The range boundaries come from sampling, so the sorted rows are checkpointed
-(reliably, to ``spark.checkpoint.dir``) before positions are read twice.
+Range boundaries come from sampling, so the placed rows are checkpointed
+(reliably, to ``spark.checkpoint.dir``) before they are read twice.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
 
-def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str],
-           rank_col: str = "rn", partitions: int | None = None) -> DataFrame:
+def _placed(df: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
+    """Range-partitioned, sorted, numbered and checkpointed rows.  The input
+    is persisted while the range sampler and the checkpoint both read it
+    (spilling to disk if needed; lost blocks are recomputed from lineage)."""
     spark = df.sparkSession
     shared_dir(spark)  # make sure a checkpoint folder is set
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*group_cols, *order_cols]
-    placed = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return (src.repartitionByRange(n, *keys)
+                   .sortWithinPartitions(*keys)
+                   .withColumn("_pid", F.spark_partition_id())
+                   .withColumn("_mid", F.monotonically_increasing_id())
+                   .checkpoint(eager=True))
+    finally:
+        src.unpersist()
+
+
+def _offsets(placed: DataFrame, group_cols: list[str], weight) -> DataFrame:
     blocks = (placed.groupBy("_pid", *group_cols)
-                    .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")))
+                    .agg(F.sum(weight).alias("_blk"), F.min("_mid").alias("_first")))
     before = Window.partitionBy(*group_cols).orderBy("_pid") \
                    .rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    out = placed.join(blocks.select("_pid", *group_cols, "_offset", "_first"),
-                      ["_pid", *group_cols])
+    return blocks.withColumn("_offset", F.coalesce(F.sum("_blk").over(before), F.lit(0))) \
+                 .select("_pid", *group_cols, "_offset", "_first")
+
+
+def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str],
+           rank_col: str = "rn", partitions: int | None = None) -> DataFrame:
+    """Exact ``row_number()`` per group in ``order_cols`` order."""
+    placed = _placed(df, [*group_cols, *order_cols], partitions)
+    out = placed.join(_offsets(placed, group_cols, F.lit(1)), ["_pid", *group_cols])
     return (out.withColumn(rank_col, (F.col("_offset") + F.col("_mid") - F.col("_first") + 1)
                            .cast("long"))
                .drop("_pid", "_mid", "_offset", "_first"))
 
 
+def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str], weight: str,
+                out_col: str = "cum", partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``weight`` per group in ``order_cols`` order.
+    Inside a partition the sum is a window over ``(partition, group)``, which
+    hashes a hot group's blocks to different tasks."""
+    placed = _placed(df, [*group_cols, *order_cols], partitions)
+    local = Window.partitionBy("_pid", *group_cols).orderBy("_mid") \
+                  .rowsBetween(Window.unboundedPreceding, 0)
+    out = (placed.withColumn("_local", F.sum(weight).over(local))
+                 .join(_offsets(placed, group_cols, F.col(weight)), ["_pid", *group_cols]))
+    return (out.withColumn(out_col, F.col("_offset") + F.col("_local"))
+               .drop("_pid", "_mid", "_offset", "_first", "_local"))
+
+
 def first_k_per_group(df: DataFrame, group_cols: list, order_cols: list, k: int,
                       rank_col: str = "rn") -> DataFrame:
     """Top-k per group.  Spark plans ``row_number() <= k`` with a partial

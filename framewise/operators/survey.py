@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import age_from, blank_to_null, try_double, try_int
 from ..schemas import AGE_ORDER, EXCLUDED_AGE_GROUP
+from .quantiles import exact_quantiles
 
 HEARING_LOSS = "Hearing loss"
-QUARTILE_ACCURACY = 1000000   # exact for groups below 1e6 distinct values
 
 
 def _r6(c):
@@ -114,7 +114,17 @@ def cv_pivot(survey: DataFrame, sexes=("Females", "Males")) -> DataFrame:
 
 
 def quartiles(survey: DataFrame) -> DataFrame:
-    q = F.percentile_approx("VALUE", [0.25, 0.5, 0.75], QUARTILE_ACCURACY)
+    """Exact quartiles per age group (distributed counting, see
+    ``operators.quantiles``)."""
+    q = exact_quantiles(hearing_loss(survey).select("Age_group", "VALUE"), ["Age_group"], "VALUE",
+                        {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    return q.orderBy(age_from("Age_group"))
+
+
+def quartiles_approx(survey: DataFrame, accuracy: int = 10000) -> DataFrame:
+    """The application's form: ``percentile_approx`` (a mergeable sketch per
+    group and task; its size grows with ``accuracy``)."""
+    q = F.percentile_approx("VALUE", [0.25, 0.5, 0.75], accuracy)
     return (hearing_loss(survey)
             .groupBy("Age_group")
             .agg(q.alias("_q"))
