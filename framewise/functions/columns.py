@@ -61,6 +61,34 @@ def age_from(age_group) -> Column:
     return F.substr(a, F.lit(6), F.instr(a, " to") - 6).try_cast("int")
 
 
+# ---- time-zone independent timestamps ----
+# Wall-clock times are TIMESTAMP_NTZ; event-time operators that need instants
+# (watermarks, windows) read a wall-clock time as UTC.  Results therefore do
+# not depend on the session time zone.
+
+def epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_from_micros(micros) -> Column:
+    return F.timestamp_add("MICROSECOND", _c(micros), epoch_ntz())
+
+
+def ntz_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a wall-clock time."""
+    return F.timestamp_diff("MICROSECOND", epoch_ntz(), _c(ts))
+
+
+def as_instant(ts) -> Column:
+    """Wall-clock time (NTZ) -> the instant it denotes in UTC."""
+    return F.timestamp_micros(ntz_micros(_c(ts).cast("timestamp_ntz")))
+
+
+def as_wall_clock(instant) -> Column:
+    """Instant -> its UTC wall-clock time (NTZ)."""
+    return ntz_from_micros(F.unix_micros(_c(instant)))
+
+
 def format_burst_time(ts) -> Column:
     return F.date_format(_c(ts), BURST_TIME_FORMAT)
 
@@ -70,13 +98,20 @@ def format_stream_time(ts) -> Column:
 
 
 def parse_stream_time(text) -> Column:
-    """``yyyyMMdd HH:mm:ss`` text -> timestamp; malformed text -> null."""
-    return F.try_to_timestamp(_c(text), F.lit(STREAM_TIME_FORMAT))
+    """``yyyyMMdd HH:mm:ss`` text -> wall-clock time (NTZ); malformed -> null.
+    (Parsed in the session zone and read back in it, which is the identity
+    on the wall clock.)"""
+    return F.try_to_timestamp(_c(text), F.lit(STREAM_TIME_FORMAT)).cast("timestamp_ntz")
+
+
+def epoch_seconds(ts) -> Column:
+    """Seconds since 1970-01-01 00:00 of a wall-clock time."""
+    return F.timestamp_diff("SECOND", epoch_ntz(), _c(ts))
 
 
 def frame_in_second(ts, period_us: int = 200000) -> Column:
     """Index of a frame inside its one-second burst."""
-    return ((F.unix_micros(_c(ts).cast("timestamp")) % 1000000) / period_us).cast("int")
+    return ((ntz_micros(ts) % 1000000) / period_us).cast("int")
 
 
 def burst_name(stream, ts, idx) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import format_stream_time, parse_stream_time
+from ..functions.columns import epoch_seconds, format_stream_time, parse_stream_time
 from ..operators import bursts as B
 from ..operators import labels as L
 from ..operators import quality as Q
@@ -87,7 +87,7 @@ def ts_parse(spark, sf):
     text = F.when(F.expr(_BAD_TEXT), F.concat(F.lit("bad "), F.col("event_id").cast("string"))) \
             .otherwise(format_stream_time("ts"))
     return ev.select("event_id", text.alias("ts_text")) \
-             .withColumn("epoch_s", F.unix_seconds(parse_stream_time("ts_text")))
+             .withColumn("epoch_s", epoch_seconds(parse_stream_time("ts_text")))
 
 
 @register("zip_names_payloads", fixtures=("frames",), sql="""

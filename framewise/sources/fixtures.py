@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import ntz_from_micros
 from ..schemas import LABELS_DIM, label_rows
 from .tables import table
 
@@ -100,7 +101,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emb.select(
         vid.alias("frame_id"),
         F.concat(F.lit("s"), (F.expr("vec_id div 5") % 4).cast("string")).alias("stream_name"),
-        F.timestamp_micros(F.lit(EPOCH_2024_US) + vid * FRAME_PERIOD_US).alias("ts"),
+        ntz_from_micros(F.lit(EPOCH_2024_US) + vid * FRAME_PERIOD_US).alias("ts"),
         F.col("label"),
         pixels.alias("pixels"),
     )

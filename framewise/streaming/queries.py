@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.columns import parse_stream_time
+from ..functions.columns import as_instant, as_wall_clock, parse_stream_time
 from ..schemas import EVENTS, WATERMARK
 from ..session import fresh_path
 from .feeder import BURST_RECORD
@@ -24,12 +24,12 @@ from .feeder import BURST_RECORD
 # ---- sources ----
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream; ``ts`` becomes a TIMESTAMP so it can
-    carry a watermark."""
+    """The events table as a file stream; the wall-clock ``ts`` becomes the
+    instant it denotes in UTC, so it can carry a watermark."""
     s = (spark.readStream.schema(EVENTS)
          .option("pathGlobFilter", "events.parquet")
          .parquet(sf_dir))
-    return s.withColumn("ts", F.col("ts").cast("timestamp"))
+    return s.withColumn("ts", as_instant("ts"))
 
 
 def burst_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
@@ -37,7 +37,7 @@ def burst_stream(spark: SparkSession, root: str, max_files: int | None = None) -
     r = spark.readStream.schema(BURST_RECORD)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(root).withColumn("timestamp", parse_stream_time("Time"))
+    return r.parquet(root).withColumn("timestamp", as_instant(parse_stream_time("Time")))
 
 
 # ---- operators ----
@@ -59,7 +59,8 @@ def windowed_counts(stream: DataFrame, ts: str, size: str, keys: list[str],
     aggs = [F.count(F.lit(1)).alias("n")] + [c.alias(name) for name, c in extra.items()]
     return (stream.withWatermark(ts, WATERMARK)
                   .groupBy(F.window(ts, size), *keys).agg(*aggs)
-                  .select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                  .select(F.date_format(as_wall_clock("window.start"), "yyyy-MM-dd HH:mm:ss")
+                           .alias("window_start"),
                           *keys, "n", *extra.keys()))
 
 
