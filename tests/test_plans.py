@@ -61,3 +61,21 @@ def test_ranked_equals_row_number_with_a_hot_group(spark, sf_dir):
     ref = df.select("file_id", F.row_number().over(w).cast("long").alias("rn"))
     assert mine.count() == ref.count()
     assert mine.subtract(ref).count() == 0
+
+
+def test_exact_quantiles_both_paths_agree(spark, sf_dir):
+    from framewise.operators.quantiles import exact_quantiles
+    from framewise.sources.tables import table
+    li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
+    qs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    a = exact_quantiles(li, ["l_returnflag"], "l_extendedprice", qs)
+    b = exact_quantiles(li, ["l_returnflag"], "l_extendedprice", qs, window_limit=0)
+    assert a.count() == b.count() == 3
+    assert a.subtract(b).count() == 0
+    # against a sort of each group
+    pdf = li.toPandas()
+    import math
+    for r in a.collect():
+        vals = sorted(pdf[pdf.l_returnflag == r.l_returnflag].l_extendedprice)
+        for name, q in qs.items():
+            assert getattr(r, name) == vals[max(math.ceil(q * len(vals)), 1) - 1]
