@@ -75,3 +75,13 @@ def test_previews(spark, sf_dir):
     sample = D.random_preview(docs, 0.5, seed=7)
     assert sample.count() > 0
     assert sample.join(docs, "sample_id", "left_anti").count() == 0
+
+
+def test_sql_text_path_equals_dataframe_queries(spark, sf_dir):
+    import __spark_entry__ as E
+    from framewise.plans.sql_views import SQL, run_sql
+    for key in SQL:
+        a = run_sql(spark, sf_dir, key)
+        b = E.queries()[key](spark, sf_dir).select(*a.columns)
+        assert a.count() == b.count(), key
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, key
