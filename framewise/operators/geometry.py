@@ -54,10 +54,11 @@ def hand_reach(landmarks: DataFrame) -> DataFrame:
 
 
 def with_defaults(frames: DataFrame, reach: DataFrame, width: int = FRAME_W,
-                  height: int = FRAME_H) -> DataFrame:
-    """Frames without a hand get the picture centre and a reach of its width."""
-    return (frames.select("frame_id").join(reach, "frame_id", "left")
-            .select("frame_id",
+                  height: int = FRAME_H, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Frames without a hand get the picture centre and a reach of its width.
+    ``keep`` carries frame columns (e.g. the pixels) through the same join."""
+    return (frames.select("frame_id", *keep).join(reach, "frame_id", "left")
+            .select("frame_id", *keep,
                     F.col("cx").isNull().alias("no_hand"),
                     F.coalesce("cx", F.lit(width // 2)).alias("cx"),
                     F.coalesce("cy", F.lit(height // 2)).alias("cy"),
@@ -93,6 +94,7 @@ def square_box(boxes: DataFrame, exact_compat: bool = False,
     return boxes.withColumns({k: v for k, v in cols.items() if k})
 
 
-def boxes_for_frames(frames: DataFrame, landmarks: DataFrame) -> DataFrame:
+def boxes_for_frames(frames: DataFrame, landmarks: DataFrame,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """All frames with centre, reach, box and square box (fixed trimming)."""
-    return square_box(crop_box(with_defaults(frames, hand_reach(landmarks))))
+    return square_box(crop_box(with_defaults(frames, hand_reach(landmarks), keep=keep)))

@@ -4,8 +4,9 @@
                  (the batch conversion flow, without picture decoding)
 ``training_rows`` colour frame -> grey -> 2x2 pooled -> label (no hand search)
 
-Both are single select chains over keyed rows; the only exchange is the one
-that brings a frame's landmarks together (see ``operators.geometry``).
+The hand flow has two exchanges: the landmarks of a frame are brought
+together (see ``operators.geometry``), and the frames (with their pixels) meet
+their boxes in one join on ``frame_id``.
 """
 
 from __future__ import annotations
@@ -32,21 +33,21 @@ def hand_crops(frames: DataFrame, landmarks: DataFrame, side: int = 8,
 
     With ``tee`` the intermediate stage rows (box, crop) are also written as
     Parquet under that folder for inspection."""
-    boxes = G.boxes_for_frames(frames, landmarks)
+    boxes = G.boxes_for_frames(frames, landmarks, keep=("pixels",))
     gx0 = _grid(F.col("sx0"), side, width)
     gy0 = _grid(F.col("sy0"), side, height)
     gx1 = F.greatest(gx0 + 1, F.ceil(F.col("sx1") * side / width).cast("int"))
     gy1 = F.greatest(gy0 + 1, F.ceil(F.col("sy1") * side / height).cast("int"))
-    gridded = boxes.select("frame_id", gx0.alias("gx0"), gy0.alias("gy0"),
+    gridded = boxes.select("frame_id", "pixels", gx0.alias("gx0"), gy0.alias("gy0"),
                            F.least(gx1, F.lit(side)).alias("gx1"), F.least(gy1, F.lit(side)).alias("gy1"))
-    joined = frames.select("frame_id", "pixels").join(gridded, "frame_id")
-    out = joined.select("frame_id", P.nearest_resize(
+    out = gridded.select("frame_id", P.nearest_resize(
         "pixels", side, F.col("gy0"), F.col("gy1"), F.col("gx0"), F.col("gx1"), OUT, OUT).alias("pixels"),
         F.array("gx0", "gy0", "gx1", "gy1").alias("box"))
     if tee:
-        stages = out.select(F.lit("box").alias("stage"), "frame_id", F.col("box").alias("values")) \
-            .unionByName(out.select(F.lit("crop").alias("stage"), "frame_id", F.col("pixels").alias("values")))
-        stages.write.mode("overwrite").partitionBy("stage").parquet(tee)
+        # one pass: each row yields its box row and its crop row
+        rows = F.array(F.struct(F.lit("box").alias("stage"), "frame_id", F.col("box").alias("values")),
+                       F.struct(F.lit("crop").alias("stage"), "frame_id", F.col("pixels").alias("values")))
+        out.select(F.inline(rows)).write.mode("overwrite").partitionBy("stage").parquet(tee)
     return out.select("frame_id", "pixels")
 
 
