@@ -1,15 +1,15 @@
 """Hand geometry from landmark rows: centre, reach, crop box, square box.
 
-Landmarks are rows ``(frame_id, hand_id, pos, x, y)``.  The points of one
-frame are bounded (a detector returns 21 per hand), so they are hash
-partitioned by ``frame_id`` once; per-hand and per-frame computations then
-run without another exchange (hash partitioning on ``frame_id`` satisfies
-the clustering on ``(frame_id, hand_id)``).
+Landmarks are rows ``(frame_id, hand_id, pos, x, y)``.  Centres are
+two-level partial aggregates (points -> hands -> frame); the raw points are
+shuffled once, to meet their centre.  No operator buffers the points of a
+frame, so a frame id that holds a large share of the rows only makes a
+longer streaming task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FRAME_W, FRAME_H = 640, 480
@@ -32,25 +32,17 @@ def hand_centers(landmarks: DataFrame) -> DataFrame:
 def hand_reach(landmarks: DataFrame) -> DataFrame:
     """``(frame_id, cx, cy, max_dist)``: largest distance of a point to the centre.
 
-    One exchange of the points on ``frame_id``; the hand means, the frame
-    centre (mean over hands, each hand counted once via its first point) and
-    the distances are window columns over that partitioning, and the final
-    per-frame aggregate needs no further shuffle."""
-    pts = landmarks.select("frame_id", "hand_id", "pos", "x", "y").repartition("frame_id")
-    hand = Window.partitionBy("frame_id", "hand_id")
-    frame = Window.partitionBy("frame_id")
-    first = (F.row_number().over(hand.orderBy("pos")) == 1).cast("int")
-    p = pts.select("frame_id", "x", "y",
-                   (F.sum("x").over(hand) / F.count(F.lit(1)).over(hand)).cast("int").alias("hx"),
-                   (F.sum("y").over(hand) / F.count(F.lit(1)).over(hand)).cast("int").alias("hy"),
-                   first.alias("first"))
-    n_hands = F.sum("first").over(frame)
-    c = p.select("frame_id", "x", "y",
-                 (F.sum(F.col("hx") * F.col("first")).over(frame) / n_hands).cast("int").alias("cx"),
-                 (F.sum(F.col("hy") * F.col("first")).over(frame) / n_hands).cast("int").alias("cy"))
+    Centres come from the two-level partial aggregates (no raw-point shuffle);
+    the points then meet their frame's single centre row in one equi-join, so
+    the join streams the points and never buffers a group, even for a frame
+    id holding a large share of the rows; the final max is a partial
+    aggregate on the join's partitioning."""
+    pts = landmarks.select("frame_id", "hand_id", "x", "y")
+    centers = hand_centers(pts)
     dist = F.sqrt(F.pow(F.col("cx") - F.col("x"), 2) + F.pow(F.col("cy") - F.col("y"), 2))
-    return c.groupBy("frame_id").agg(F.max("cx").alias("cx"), F.max("cy").alias("cy"),
-                                     F.max(dist).alias("max_dist"))
+    return (pts.select("frame_id", "x", "y").join(centers, "frame_id")
+               .groupBy("frame_id")
+               .agg(F.max("cx").alias("cx"), F.max("cy").alias("cy"), F.max(dist).alias("max_dist")))
 
 
 def with_defaults(frames: DataFrame, reach: DataFrame, width: int = FRAME_W,
