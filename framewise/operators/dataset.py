@@ -9,14 +9,20 @@ from ..functions.columns import keyed_bucket
 from .ranking import ranked
 
 
+def _keys(b: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of ``b``: partial aggregation collapses a repeated key in
+    every task before the shuffle, so the join never buffers a hot key."""
+    return b.select(key).distinct()
+
+
 def minus(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Rows of ``a`` whose key is absent from ``b`` (keeps duplicates of a)."""
-    return a.join(b.select(key), key, "left_anti")
+    return a.join(_keys(b, key), key, "left_anti")
 
 
 def overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Rows of ``a`` whose key is present in ``b`` — what ``minus`` removes."""
-    return a.join(b.select(key), key, "left_semi")
+    return a.join(_keys(b, key), key, "left_semi")
 
 
 def every_nth(df: DataFrame, group_col: str, order_col: str, n: int) -> DataFrame:
