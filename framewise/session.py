@@ -40,6 +40,28 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least two waves of cores) and AQE coalesces them to the advisory
+    size from measured map output; skewed join partitions are split by AQE.
+    File splits stay at 256 MB so a scan task holds one row-group window."""
+    cores = executors * cores_per_executor
+    partitions = max(2 * cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and materialised tables.
 
