@@ -38,12 +38,13 @@ def stream_window_append(spark, sf):
 @register("stream_pixel_explode", fixtures=("frames",), sql="""
 SELECT frame_id, CAST(generate_subscripts(pixels, 1) - 1 AS INT) AS pos, unnest(pixels) AS pixel FROM fx_frames""")
 def stream_pixel_explode(spark, sf):
-    """Two sinks on one stream: the raw records (Parquet) and the exploded
-    pixels (CSV with header), each with its own checkpoint."""
+    """Two sinks running in parallel on one stream: the raw records (Parquet)
+    and the exploded pixels (CSV with header), each with its own checkpoint."""
     stream = SQ.burst_stream(spark, _bursts(spark, sf))
-    SQ.run_append(stream.drop("timestamp"), kind="raw-tee")
-    out = SQ.run_append(SQ.explode_stream_pixels(stream), fmt="csv", options={"header": "true"},
-                        kind="pixel-csv")
+    _, out = SQ.run_append_parallel([
+        (stream.drop("timestamp"), "parquet", None, "raw-tee"),
+        (SQ.explode_stream_pixels(stream), "csv", {"header": "true"}, "pixel-csv"),
+    ])
     return spark.read.schema("frame_id BIGINT, pos INT, pixel INT").option("header", "true").csv(out)
 
 

@@ -76,11 +76,8 @@ def _check(q: StreamingQuery) -> None:
         raise RuntimeError(f"stream failed: {q.exception()}")
 
 
-def run_append(df: DataFrame, fmt: str = "parquet", options: dict | None = None,
-               kind: str = "stream-out", out: str | None = None,
-               checkpoint: str | None = None) -> str:
-    """Run to the end of the available input; return the sink folder.
-    Passing the ``out``/``checkpoint`` of an earlier run resumes that query."""
+def _start_append(df: DataFrame, fmt: str, options: dict | None, kind: str,
+                  out: str | None, checkpoint: str | None) -> tuple[StreamingQuery, str]:
     spark = df.sparkSession
     out = out or fresh_path(spark, kind)
     checkpoint = checkpoint or fresh_path(spark, kind + "-ckpt")
@@ -89,10 +86,28 @@ def run_append(df: DataFrame, fmt: str = "parquet", options: dict | None = None,
            .option("path", out).trigger(availableNow=True))
     for k, v in (options or {}).items():
         w = w.option(k, v)
-    _check(w.start())
+    return w.start(), out
+
+
+def run_append(df: DataFrame, fmt: str = "parquet", options: dict | None = None,
+               kind: str = "stream-out", out: str | None = None,
+               checkpoint: str | None = None) -> str:
+    """Run to the end of the available input; return the sink folder.
+    Passing the ``out``/``checkpoint`` of an earlier run resumes that query."""
+    q, out = _start_append(df, fmt, options, kind, out, checkpoint)
+    _check(q)
     return out
 
 
+def run_append_parallel(sinks: list[tuple[DataFrame, str, dict | None, str]]) -> list[str]:
+    """Start several append queries (each with its own checkpoint) at once —
+    e.g. a raw tee next to the main sink — and wait for all of them."""
+    started = [_start_append(df, fmt, opts, kind, None, None) for df, fmt, opts, kind in sinks]
+    for q, _ in started:
+        _check(q)
+    return [out for _, out in started]
+
+
 def run_update(df: DataFrame, kind: str = "stream-upsert") -> str:
     """Update-mode aggregate -> one Parquet folder per batch id."""
     spark = df.sparkSession

@@ -54,3 +54,26 @@ def test_late_half_is_dropped(spark, sf_dir):
     first_late_second = fr.where(F.col("frame_id") >= half).agg(
         F.date_format(F.date_trunc("second", F.min("ts")), "yyyy-MM-dd HH:mm:ss")).first()[0]
     assert earliest_kept >= first_late_second
+
+
+def test_label_index_round_trip(spark, sf_dir):
+    from pyspark.ml.feature import IndexToString
+    out = E.queries()["ml_label_index"](spark, sf_dir)
+    model_labels = (out.select("label_token", "token_index").distinct()
+                       .orderBy("token_index").collect())
+    labels = [r.label_token for r in model_labels]
+    back = IndexToString(inputCol="token_index", outputCol="token_back", labels=labels).transform(out)
+    assert back.where(F.col("token_back") != F.col("label_token")).count() == 0
+
+
+def test_parallel_sinks_write_both(spark, sf_dir):
+    from framewise.streaming import feeder
+    root = feeder.write_bursts(fx.frames(spark, sf_dir), fresh_path(spark, "par-in"))
+    from framewise.streaming import queries as SQ
+    stream = SQ.burst_stream(spark, root)
+    raw, px = SQ.run_append_parallel([
+        (stream.drop("timestamp"), "parquet", None, "raw"),
+        (SQ.explode_stream_pixels(stream), "parquet", None, "px")])
+    n = fx.frames(spark, sf_dir).count()
+    assert spark.read.parquet(raw).count() == n
+    assert spark.read.parquet(px).count() == n * 64
