@@ -4,7 +4,6 @@ back through the source under test."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import pixels as P
