@@ -14,8 +14,9 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import ElementwiseProduct, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -63,6 +64,15 @@ class PixelScaler(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         return dataset.withColumn(self.getOutputCol(), array_to_vector(scaled))
 
 
+def wide_features(columns: list[str], output_col: str = "features", divisor: float = 255.0):
+    """Pipeline stages for the wide CSV layout (``pixel1 … pixelN`` columns):
+    ``VectorAssembler`` then a scale by ``divisor`` (kept inside the model)."""
+    assemble = VectorAssembler(inputCols=columns, outputCol="_raw", handleInvalid="keep")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense([1.0 / divisor] * len(columns)),
+                               inputCol="_raw", outputCol=output_col)
+    return [assemble, scale]
+
+
 def scaled_features(input_col: str = "pixels", output_col: str = "features") -> PixelScaler:
     return PixelScaler(inputCol=input_col, outputCol=output_col)
 

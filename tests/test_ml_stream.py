@@ -77,3 +77,25 @@ def test_parallel_sinks_write_both(spark, sf_dir):
     n = fx.frames(spark, sf_dir).count()
     assert spark.read.parquet(raw).count() == n
     assert spark.read.parquet(px).count() == n * 64
+
+
+def test_wide_csv_pair_trains_through_vector_assembler(spark, sf_dir):
+    """Train/test CSV pair (two paths read in one scan), wide pixel columns
+    assembled into a vector inside the pipeline."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from framewise.functions import pixels as P
+    from framewise.sources import files as IO
+    t = _training(spark, sf_dir)
+    wide = t.select("frame_id", "target", "is_train", *P.to_columns("pixels", 64, prefix="pixel"))
+    train_p = IO.write_csv(wide.where("is_train").drop("is_train"), fresh_path(spark, "train"))
+    test_p = IO.write_csv(wide.where("NOT is_train").drop("is_train"), fresh_path(spark, "test"))
+    both = spark.read.csv([train_p, test_p], header=True, inferSchema=True)
+    assert both.count() == t.count()
+    cols = [f"pixel{i}" for i in range(64)]
+    stages = M.wide_features(cols) + [RandomForestClassifier(labelCol="target", seed=42)]
+    train = spark.read.csv(train_p, header=True, inferSchema=True)
+    test = spark.read.csv(test_p, header=True, inferSchema=True)
+    model = Pipeline(stages=stages).fit(train)
+    pred = model.transform(test).select("target", "prediction")
+    assert M.evaluate_accuracy(pred) > 0.3
