@@ -81,3 +81,15 @@ def test_exact_quantiles_both_paths_agree(spark, sf_dir):
         vals = sorted(pdf[pdf.l_returnflag == r.l_returnflag].l_extendedprice)
         for name, q in qs.items():
             assert getattr(r, name) == vals[max(math.ceil(q * len(vals)), 1) - 1]
+
+
+def test_hot_group_is_spread_over_partitions(spark, sf_dir):
+    from framewise.operators.ranking import _placed
+    names = fx.image_names(spark, sf_dir)
+    df = names.select(F.when(F.col("file_id") % 3 == 0, "hot").otherwise("cold").alias("folder"),
+                      F.col("path").alias("name"))
+    placed = _placed(df, ["folder", "name"], 16)
+    per_part = placed.where("folder = 'hot'").groupBy("_pid").count().collect()
+    hot_rows = sum(r["count"] for r in per_part)
+    assert len(per_part) >= 4
+    assert max(r["count"] for r in per_part) < hot_rows / 2
