@@ -103,3 +103,30 @@ def test_csv_variants_roundtrip(spark, sf_dir):
     bare = IO.write_csv(pred, fresh_path(spark, "csvh"), header=False)
     back = IO.read_csv_headerless(spark, bare, ["sample_id", "actual", "predicted"])
     assert back.subtract(pred.select(F.col("sample_id").cast("int"), "actual", "predicted")).count() == 0
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(0, 255), min_size=64, max_size=64),
+       st.integers(0, 6), st.integers(1, 8), st.integers(0, 6), st.integers(1, 8))
+def test_pixel_ops_match_numpy(spark, px, y0, h, x0, w):
+    y1, x1 = min(8, y0 + h), min(8, x0 + w)
+    a = np.array(px).reshape(8, 8)
+    df = spark.createDataFrame([(px,)], "pixels array<int>")
+    r = df.select(
+        P.crop("pixels", 8, y0, y1, x0, x1).alias("crop"),
+        P.pool_mean("pixels", 8, 8, 2).alias("pool"),
+        P.rgb_swap("pixels", 16).alias("rgb"),
+        P.stretch("pixels").alias("stretch"),
+        P.argmax("pixels").alias("am"),
+        P.nearest_resize("pixels", 8, F.lit(y0), F.lit(y1), F.lit(x0), F.lit(x1), 4, 4).alias("nn"),
+    ).first()
+    assert r.crop == a[y0:y1, x0:x1].tolist()
+    assert r.pool == a.reshape(4, 2, 4, 2).mean(axis=(1, 3)).ravel().tolist()
+    bgr = np.array(px[:48]).reshape(16, 3)
+    assert r.rgb == bgr[:, ::-1].ravel().tolist()
+    m = a.max()
+    assert r.stretch == (None if m == 0 else (a.ravel() * 255.0 / m).astype(int).tolist())
+    assert r.am == int(np.argmax(a.ravel()))
+    rows = [y0 + (i * (y1 - y0)) // 4 for i in range(4)]
+    cols = [x0 + (j * (x1 - x0)) // 4 for j in range(4)]
+    assert r.nn == a[np.ix_(rows, cols)].ravel().tolist()
