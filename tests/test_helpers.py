@@ -85,3 +85,20 @@ def test_sql_text_path_equals_dataframe_queries(spark, sf_dir):
         b = E.queries()[key](spark, sf_dir).select(*a.columns)
         assert a.count() == b.count(), key
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, key
+
+
+def test_approx_quartiles_equal_exact_at_high_accuracy(spark, sf_dir):
+    sv = fx.survey(spark, sf_dir)
+    exact = S.quartiles(sv)
+    approx = S.quartiles_approx(sv, accuracy=1_000_000)
+    assert exact.count() == approx.count()
+    assert exact.exceptAll(approx).count() == 0
+
+
+def test_cluster_conf_sizes_partitions():
+    from framewise.session import cluster_conf
+    c = cluster_conf(100 * 2 ** 40, executors=1000, cores_per_executor=4)
+    assert int(c["spark.sql.shuffle.partitions"]) == 80_000   # capped at 20 waves
+    small = cluster_conf(10 * 2 ** 30, executors=10)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80    # at least 2 waves
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
