@@ -27,12 +27,21 @@ EPOCH_2024_US = 1704067200000000
 FRAME_PERIOD_US = 200000
 
 
+SURVEY_LINEITEM_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                        "l_returnflag", "l_linestatus")
+SURVEY_ORDERS_COLS = ("o_orderkey", "o_orderdate")
+
+
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "l_linestatus")
+    li = table(spark, sf_dir, "lineitem").select(*SURVEY_LINEITEM_COLS)
+    orders = table(spark, sf_dir, "orders").select(*SURVEY_ORDERS_COLS)
+    return survey_from(spark, sf_dir, li, orders)
+
+
+def survey_from(spark: SparkSession, sf_dir: str, li: DataFrame, orders: DataFrame) -> DataFrame:
+    """The survey facts from given lineitem/orders inputs (plain scans, or
+    the bucketed copies of ``sources.staging``) and the dimension tables."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     supp_nation = supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey)

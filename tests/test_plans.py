@@ -93,3 +93,20 @@ def test_hot_group_is_spread_over_partitions(spark, sf_dir):
     hot_rows = sum(r["count"] for r in per_part)
     assert len(per_part) >= 4
     assert max(r["count"] for r in per_part) < hot_rows / 2
+
+
+def test_staged_survey_joins_orders_without_exchange(spark, sf_dir):
+    from framewise.sources.staging import stage_survey_inputs, staged_survey
+    names = stage_survey_inputs(spark, sf_dir, buckets=8)
+    staged = staged_survey(spark, sf_dir, names)
+    plain = fx.survey(spark, sf_dir)
+    assert staged.count() == plain.count()
+    assert staged.exceptAll(plain).count() == 0
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = staged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(l_orderkey" not in plan and "hashpartitioning(o_orderkey" not in plan
