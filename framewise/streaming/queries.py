@@ -23,13 +23,28 @@ from .feeder import BURST_RECORD
 
 # ---- sources ----
 
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    """Metadata check through Hadoop's FileSystem (local, HDFS, object stores)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(p).isDirectory()
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str, schema) -> DataFrame:
+    """A table as a file stream: its folder of part files, or — when the
+    table is a single file — its parent folder filtered to that file."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(schema)
+    if _is_dir(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream; the wall-clock ``ts`` becomes the
     instant it denotes in UTC, so it can carry a watermark."""
-    s = (spark.readStream.schema(EVENTS)
-         .option("pathGlobFilter", "events.parquet")
-         .parquet(sf_dir))
-    return s.withColumn("ts", as_instant("ts"))
+    return table_stream(spark, sf_dir, "events", EVENTS).withColumn("ts", as_instant("ts"))
 
 
 def burst_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:

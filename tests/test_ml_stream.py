@@ -99,3 +99,14 @@ def test_wide_csv_pair_trains_through_vector_assembler(spark, sf_dir):
     model = Pipeline(stages=stages).fit(train)
     pred = model.transform(test).select("target", "prediction")
     assert M.evaluate_accuracy(pred) > 0.3
+
+
+def test_table_stream_reads_a_folder_of_part_files(spark, sf_dir):
+    from framewise.schemas import EVENTS
+    from framewise.sources.tables import table
+    from framewise.streaming import queries as SQ
+    root = fresh_path(spark, "parted")
+    table(spark, sf_dir, "events").repartition(3).write.parquet(f"{root}/events.parquet")
+    for base in (root, sf_dir):
+        out = SQ.run_append(SQ.table_stream(spark, base, "events", EVENTS), kind="tbl")
+        assert spark.read.parquet(out).count() == table(spark, sf_dir, "events").count()
