@@ -21,7 +21,15 @@ from oracle_harness import compare, duck  # noqa: E402
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = sys.argv[2:]
-    spark = build_session()
+    if os.environ.get("FRAMEWISE_VANILLA"):
+        # a session as a caller might build it: defaults, given time zone
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.session.timeZone", os.environ["FRAMEWISE_VANILLA"])
+                 .getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session()
     con = duck(sf)
     qs, orc = E.queries(), E.oracle_sql()
     bad = 0
