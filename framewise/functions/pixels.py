@@ -143,7 +143,14 @@ def argmax_decode(onehot) -> Column:
 
 def _bilinear(arr: np.ndarray, h: int, w: int, oh: int, ow: int) -> np.ndarray:
     """Half-pixel-centre bilinear resize of one h x w frame (OpenCV convention)."""
-    img = arr.reshape(h, w).astype(np.float64)
+    return _bilinear_batch(np.asarray(arr).reshape(1, h, w), oh, ow)[0].ravel()
+
+
+def _bilinear_batch(imgs: np.ndarray, oh: int, ow: int) -> np.ndarray:
+    """The same resize for a stack of n frames ``(n, h, w)`` -> ``(n, oh, ow)``,
+    as whole-array numpy operations (no loop over frames)."""
+    _, h, w = imgs.shape
+    img = imgs.astype(np.float64)
     sy = (np.arange(oh) + 0.5) * h / oh - 0.5
     sx = (np.arange(ow) + 0.5) * w / ow - 0.5
     sy = np.clip(sy, 0, h - 1)
@@ -152,12 +159,12 @@ def _bilinear(arr: np.ndarray, h: int, w: int, oh: int, ow: int) -> np.ndarray:
     x0 = np.floor(sx).astype(int)
     y1 = np.minimum(y0 + 1, h - 1)
     x1 = np.minimum(x0 + 1, w - 1)
-    fy = (sy - y0)[:, None]
-    fx = (sx - x0)[None, :]
-    top = img[y0][:, x0] * (1 - fx) + img[y0][:, x1] * fx
-    bot = img[y1][:, x0] * (1 - fx) + img[y1][:, x1] * fx
+    fy = (sy - y0)[None, :, None]
+    fx = (sx - x0)[None, None, :]
+    top = img[:, y0][:, :, x0] * (1 - fx) + img[:, y0][:, :, x1] * fx
+    bot = img[:, y1][:, :, x0] * (1 - fx) + img[:, y1][:, :, x1] * fx
     out = top * (1 - fy) + bot * fy
-    return np.clip(np.rint(out), 0, 255).astype(np.int32).ravel()
+    return np.clip(np.rint(out), 0, 255).astype(np.int32)
 
 
 def bilinear_resize_udf(h: int, w: int, oh: int, ow: int):
@@ -165,8 +172,13 @@ def bilinear_resize_udf(h: int, w: int, oh: int, ow: int):
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def resize(col: pd.Series) -> pd.Series:
-        return col.map(lambda a: None if a is None else
-                       _bilinear(np.asarray(a), h, w, oh, ow).tolist())
+        ok = col.map(lambda a: a is not None and len(a) == h * w)
+        out = pd.Series([None] * len(col), index=col.index, dtype=object)
+        if ok.any():
+            stack = np.stack([np.asarray(a) for a in col[ok]]).reshape(-1, h, w)
+            resized = _bilinear_batch(stack, oh, ow).reshape(len(stack), oh * ow)
+            out[ok] = list(resized.tolist())
+        return out
 
     return resize
 

@@ -130,3 +130,14 @@ def test_pixel_ops_match_numpy(spark, px, y0, h, x0, w):
     rows = [y0 + (i * (y1 - y0)) // 4 for i in range(4)]
     cols = [x0 + (j * (x1 - x0)) // 4 for j in range(4)]
     assert r.nn == a[np.ix_(rows, cols)].ravel().tolist()
+
+
+def test_resize_udf_equals_per_frame_numpy(spark, sf_dir):
+    fr = fx.frames(spark, sf_dir).select("frame_id", "pixels").orderBy("frame_id").limit(40)
+    fr = fr.unionByName(spark.createDataFrame([(10 ** 9, None)], "frame_id bigint, pixels array<int>"))
+    got = fr.select("frame_id", "pixels", P.bilinear_resize_udf(8, 8, 5, 5)("pixels").alias("r")).collect()
+    for row in got:
+        if row.pixels is None:
+            assert row.r is None
+        else:
+            assert row.r == P._bilinear(np.array(row.pixels), 8, 8, 5, 5).tolist()
