@@ -172,13 +172,14 @@ def bilinear_resize_udf(h: int, w: int, oh: int, ow: int):
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def resize(col: pd.Series) -> pd.Series:
-        ok = col.map(lambda a: a is not None and len(a) == h * w)
-        out = pd.Series([None] * len(col), index=col.index, dtype=object)
+        ok = col.map(lambda a: a is not None and len(a) == h * w).to_numpy()
+        values = [None] * len(col)
         if ok.any():
             stack = np.stack([np.asarray(a) for a in col[ok]]).reshape(-1, h, w)
-            resized = _bilinear_batch(stack, oh, ow).reshape(len(stack), oh * ow)
-            out[ok] = list(resized.tolist())
-        return out
+            resized = _bilinear_batch(stack, oh, ow).reshape(len(stack), oh * ow).tolist()
+            for pos, frame in zip(np.flatnonzero(ok), resized):
+                values[pos] = frame
+        return pd.Series(values, index=col.index, dtype=object)
 
     return resize
 
