@@ -78,9 +78,32 @@ def split_label_features(spark, sf):
                        P.from_columns(*feature_cols).alias("features"))
 
 
-@register("arr_resize")
+def _duck_bilinear(h: int, w: int, oh: int, ow: int) -> str:
+    """DuckDB text of the half-pixel-centre bilinear resize: the same double
+    operations in the same order as the numpy kernel, rounded half to even."""
+    d = "::DOUBLE"
+
+    def src(axis_i, n, on):
+        return f"least(greatest((({axis_i} + 0.5{d}) * {n}{d}) / {on}{d} - 0.5{d}, 0{d}), {n - 1}{d})"
+
+    sy, sx = src("(i // %d)" % ow, h, oh), src("(i %% %d)" % ow, w, ow)
+    y0, x0 = f"CAST(floor({sy}) AS BIGINT)", f"CAST(floor({sx}) AS BIGINT)"
+    y1, x1 = f"least({y0} + 1, {h - 1})", f"least({x0} + 1, {w - 1})"
+    fy, fx = f"({sy} - {y0})", f"({sx} - {x0})"
+
+    def px(y, x):
+        return f"pixels[({y}) * {w} + ({x}) + 1]{d}"
+
+    top = f"({px(y0, x0)} * (1{d} - {fx}) + {px(y0, x1)} * {fx})"
+    bot = f"({px(y1, x0)} * (1{d} - {fx}) + {px(y1, x1)} * {fx})"
+    val = f"round_even({top} * (1{d} - {fy}) + {bot} * {fy}, 0)"
+    return (f"list_transform(range(0, {oh * ow}), lambda i: "
+            f"CAST(least(greatest({val}, 0), 255) AS INT))")
+
+
+@register("arr_resize", fixtures=_F, sql=f"SELECT frame_id, {_duck_bilinear(8, 8, 5, 5)} AS resized FROM fx_frames")
 def arr_resize(spark, sf):
-    """Bilinear 8x8 -> 5x5 (Arrow-batched numpy; rows-only check)."""
+    """Bilinear 8x8 -> 5x5 (numpy over each Arrow batch)."""
     resize = P.bilinear_resize_udf(H, W, 5, 5)
     return _frames(spark, sf).select("frame_id", resize("pixels").alias("resized"))
 

@@ -17,8 +17,7 @@ def test_every_key_has_a_callable_and_most_have_sql():
     assert set(ORACLE) <= set(QUERIES)
     rows_only = sorted(set(QUERIES) - set(ORACLE))
     # model-dependent results only
-    assert all(k.startswith(("ml_", "predict_", "udf_", "stream_predict", "arr_resize"))
-               for k in rows_only), rows_only
+    assert all(k.startswith(("ml_", "predict_", "udf_", "stream_predict")) for k in rows_only), rows_only
 
 
 def test_entry_runs(spark):
