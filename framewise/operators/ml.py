@@ -39,9 +39,9 @@ def quarter_target(px="pixels", n: int = 64) -> Column:
     return (F.array_position(sums, F.array_max(sums)) - 1).cast("int")
 
 
-def training_frames(frames: DataFrame, train_pct: int = 75) -> DataFrame:
+def training_frames(frames: DataFrame, train_pct: int = 75, n_pixels: int = 64) -> DataFrame:
     return frames.select("frame_id", "pixels",
-                         quarter_target("pixels").cast("double").alias("target"),
+                         quarter_target("pixels", n_pixels).cast("double").alias("target"),
                          (keyed_bucket("frame_id") < train_pct).alias("is_train"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import bursts as B
 from ..operators import labels as L
 from ..operators import ml as M
 from ..operators import prep as PR
@@ -126,6 +127,22 @@ def stream_predict(spark, sf):
     return spark.read.parquet(SQ.run_append(scored, kind="stream-predict"))
 
 
+@register("flagship_letters")
+def flagship_letters(spark, sf):
+    """The whole batch flow: landmarks -> hand box -> crop -> 4x4 resample ->
+    model score -> letter -> most frequent letter of each stream second."""
+    frames = fx.frames(spark, sf)
+    prepared = PR.hand_crops(frames, fx.landmarks(spark, sf))
+    t = M.training_frames(prepared, n_pixels=PR.OUT * PR.OUT)
+    model = M.fit(M.random_forest(), t.where("is_train"))
+    scored = M.scored(model, t, keep=("frame_id",))
+    glyphs = fx.labels_dim(spark).select(F.col("label_id").alias("prediction"),
+                                         F.col("glyph").alias("letter"))
+    lettered = (scored.join(frames.select("frame_id", "stream_name", "ts"), "frame_id")
+                      .join(F.broadcast(glyphs), "prediction"))
+    return B.mode_label(lettered, "letter").withColumnRenamed("mode_label", "letter")
+
+
 # ---- preparation flows ----
 
 _GRID = f"""WITH {_B},
