@@ -9,7 +9,7 @@ from ..operators import bursts as B
 from ..operators import labels as L
 from ..operators import ml as M
 from ..operators import prep as PR
-from ..session import fresh_path
+from ..session import fresh_path, shared_dir
 from ..sources import fixtures as fx
 from ..streaming import feeder
 from ..streaming import queries as SQ
@@ -132,7 +132,9 @@ def flagship_letters(spark, sf):
     """The whole batch flow: landmarks -> hand box -> crop -> 4x4 resample ->
     model score -> letter -> most frequent letter of each stream second."""
     frames = fx.frames(spark, sf)
-    prepared = PR.hand_crops(frames, fx.landmarks(spark, sf))
+    shared_dir(spark)
+    # the crops feed both the fit and the scoring: computed once, kept in the shared folder
+    prepared = PR.hand_crops(frames, fx.landmarks(spark, sf)).checkpoint(eager=True)
     t = M.training_frames(prepared, n_pixels=PR.OUT * PR.OUT)
     model = M.fit(M.random_forest(), t.where("is_train"))
     scored = M.scored(model, t, keep=("frame_id",))
