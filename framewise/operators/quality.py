@@ -63,12 +63,17 @@ def accuracy(pred: DataFrame, actual: str = "actual", predicted: str = "predicte
 def confusion(pred: DataFrame, classes: list[int], actual: str = "actual",
               predicted: str = "predicted", prefix: str = "p_") -> DataFrame:
     """Rows: every class seen as actual or predicted; columns: ``classes``
-    (the model's declared output classes); zero-filled counts."""
-    seen = (pred.select(F.col(actual).alias("actual"))
-                .union(pred.select(F.col(predicted).alias("actual")))
-                .distinct())
-    counts = (pred.groupBy(F.col(actual).alias("actual"))
-                  .pivot(predicted, classes)
-                  .agg(F.count(F.lit(1))))
-    counts = counts.select("actual", *[F.col(str(c)).alias(f"{prefix}{c}") for c in classes])
-    return seen.join(counts, "actual", "left").na.fill(0)
+    (the model's declared output classes); zero-filled counts.
+
+    One scan: each pair adds 1 at (actual, predicted) and a zero-weight
+    marker on its predicted class, so classes only ever predicted still get
+    a row; one partial/final pivoting aggregate does the rest."""
+    a, p = F.col(actual), F.col(predicted)
+    sides = F.array(
+        F.struct(a.alias("actual"), p.alias("_col"), F.lit(1).alias("_w")),
+        F.struct(p.alias("actual"), F.lit(None).cast(pred.schema[predicted].dataType).alias("_col"),
+                 F.lit(0).alias("_w")))
+    counts = (pred.select(F.inline(sides))
+                  .groupBy("actual").pivot("_col", classes).agg(F.sum("_w")))
+    return counts.select("actual", *[F.coalesce(F.col(str(c)), F.lit(0)).cast("long").alias(f"{prefix}{c}")
+                                     for c in classes])

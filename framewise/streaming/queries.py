@@ -31,11 +31,19 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
     return fs.getFileStatus(p).isDirectory()
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, schema) -> DataFrame:
+def table_stream(spark: SparkSession, sf_dir: str, name: str, schema,
+                 max_files_per_batch: int | None = None) -> DataFrame:
     """A table as a file stream: its folder of part files, or — when the
-    table is a single file — its parent folder filtered to that file."""
+    table is a single file — its parent folder filtered to that file.
+
+    ``max_files_per_batch`` bounds each micro-batch of a large backlog
+    (``availableNow`` still drains all of it, in several batches); files
+    are taken oldest first, so time-ordered arrivals keep the watermark
+    semantics."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     reader = spark.readStream.schema(schema)
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     if _is_dir(spark, path):
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)

@@ -110,3 +110,17 @@ def test_table_stream_reads_a_folder_of_part_files(spark, sf_dir):
     for base in (root, sf_dir):
         out = SQ.run_append(SQ.table_stream(spark, base, "events", EVENTS), kind="tbl")
         assert spark.read.parquet(out).count() == table(spark, sf_dir, "events").count()
+
+
+def test_backlog_drained_in_bounded_batches(spark, sf_dir):
+    from framewise.schemas import EVENTS
+    from framewise.sources.tables import table
+    from framewise.streaming import queries as SQ
+    root = fresh_path(spark, "backlog")
+    table(spark, sf_dir, "events").repartition(4).write.parquet(f"{root}/events.parquet")
+    stream = SQ.table_stream(spark, root, "events", EVENTS, max_files_per_batch=1)
+    q, out = SQ._start_append(stream, "parquet", None, "backlog-out", None, None)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 4
+    assert spark.read.parquet(out).count() == table(spark, sf_dir, "events").count()
