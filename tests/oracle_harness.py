@@ -23,6 +23,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = bool(__import__("os").environ.get("FRAMEWISE_STRICT"))
+
+
 def _norm(v):
     if v is None:
         return None
@@ -30,7 +33,7 @@ def _norm(v):
         f = float(v)
         if math.isnan(f):
             return None
-        return round(f, 6) + 0.0
+        return (f + 0.0) if STRICT else round(f, 6) + 0.0
     if isinstance(v, (np.integer,)):
         return int(v)
     if isinstance(v, decimal.Decimal):
