@@ -100,10 +100,22 @@ def predict_transcript(spark, sf):
     return transcripts(s.join(fr, "frame_id").join(glyphs, "prediction"))
 
 
+TRANSCRIPT_BLOCK = 64
+
+
 def transcripts(lettered):
+    """One line per stream and minute, letters in frame order.
+
+    Two levels, so a crowded minute never orders all its letters in one
+    task: letters are first joined per block of ``TRANSCRIPT_BLOCK`` frame
+    ids (blocks hash to many tasks), then the block strings are joined in
+    block order.  The result equals a single ordered ``listagg``."""
     minute = F.date_format(F.date_trunc("minute", "ts"), "yyyy-MM-dd HH:mm")
-    return (lettered.groupBy("stream_name", minute.alias("minute"))
-                    .agg(F.expr("listagg(glyph, '') WITHIN GROUP (ORDER BY frame_id)").alias("line")))
+    blocks = (lettered.groupBy("stream_name", minute.alias("minute"),
+                               F.floor(F.col("frame_id") / TRANSCRIPT_BLOCK).alias("_blk"))
+                      .agg(F.expr("listagg(glyph, '') WITHIN GROUP (ORDER BY frame_id)").alias("_part")))
+    return (blocks.groupBy("stream_name", "minute")
+                  .agg(F.expr("listagg(_part, '') WITHIN GROUP (ORDER BY _blk)").alias("line")))
 
 
 @register("transcript_from_labels", fixtures=("frames", "labels_dim"), sql="""
