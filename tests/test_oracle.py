@@ -36,4 +36,6 @@ def test_matches_oracle(spark, con, sf_dir, key):
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only(spark, sf_dir, key):
-    assert QUERIES[key](spark, sf_dir).count() > 0
+    df = QUERIES[key](spark, sf_dir)
+    assert all("(" not in c and " " not in c for c in df.columns), df.columns  # every column aliased
+    assert df.count() > 0
