@@ -39,3 +39,15 @@ def test_rows_only(spark, sf_dir, key):
     df = QUERIES[key](spark, sf_dir)
     assert all("(" not in c and " " not in c for c in df.columns), df.columns  # every column aliased
     assert df.count() > 0
+
+
+def test_oracle_texts_use_only_registered_views():
+    for key, sql in ORACLE.items():
+        assert "read_parquet" not in sql and "/root/" not in sql, key
+
+
+@pytest.mark.parametrize("key", ["survey_avg_year", "crop_box", "stream_window_append"])
+def test_trailing_slash_in_scale_folder(spark, sf_dir, key):
+    a = QUERIES[key](spark, sf_dir)
+    b = QUERIES[key](spark, sf_dir.rstrip("/") + "/")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
