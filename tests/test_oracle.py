@@ -8,8 +8,9 @@ import pytest
 import __spark_entry__ as E
 from oracle_harness import compare
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+# training-data queries have their own tests
+QUERIES = {k: v for k, v in E.queries().items() if not k.startswith("op") and k != "pipeline"}
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 def test_every_key_has_a_callable_and_most_have_sql():
