@@ -29,7 +29,7 @@ class EliasFano:
     def pack(values: np.ndarray, bound: int) -> tuple[np.ndarray, int, int]:
         """(words, n, low bits) of a sorted uint64 array of values below ``bound``."""
         n = len(values)
-        low_bits = max(0, (max(1, bound) // max(1, n)).bit_length() - 1)
+        low_bits = min(62, max(0, (max(1, bound) // max(1, n)).bit_length() - 1))
         at = np.arange(n, dtype=np.int64) * low_bits
         low = values & ((_ONE << np.uint64(low_bits)) - _ONE)
         packed = np.zeros((n * low_bits + 63) // 64 + 1, np.uint64)
@@ -79,16 +79,20 @@ class Level:
     """One level of a trie: contexts, monotone pointers, successors relative to their context, and
     a quantised code per successor, in one memory-mapped file."""
 
-    def __init__(self, keys: np.ndarray, codes: np.ndarray):
-        """``keys``: sorted distinct uint64, context in the upper and successor in the lower 32 bits."""
-        context = keys >> np.uint64(32)
+    def __init__(self, keys: np.ndarray, codes: np.ndarray, successor_bits: int):
+        """``keys``: sorted distinct uint64, the successor in the lower ``successor_bits``, its
+        context above."""
+        self.bits, self.mask = np.uint64(successor_bits), np.uint64((1 << successor_bits) - 1)
+        context = keys >> self.bits
+        self.least = context[0] if len(keys) else np.uint64(0)
         first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(keys) else np.zeros(0, np.int64)
         which = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(keys)]))
-        # the successors of context i continue from i * 2**32, which makes the whole level monotone
-        successors = (which.astype(np.uint64) << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
-        parts = [EliasFano.pack(context[first], 1 << 32),
+        # the successors of context i continue from i << bits, which makes the whole level monotone
+        successors = (which.astype(np.uint64) << self.bits) | (keys & self.mask)
+        relative = context[first] - self.least
+        parts = [EliasFano.pack(relative, int(relative[-1]) + 1 if len(keys) else 1),
                  EliasFano.pack(np.r_[first, len(keys)].astype(np.uint64), len(keys) + 1),
-                 EliasFano.pack(successors, max(1, len(first)) << 32)]
+                 EliasFano.pack(successors, max(1, len(first)) << successor_bits)]
         codes = np.concatenate([codes.astype(np.uint16), np.zeros(-len(codes) % 4, np.uint16)]).view(np.uint64)
         file, self.path = tempfile.mkstemp(prefix="level-")
         with os.fdopen(file, "wb") as f:
@@ -108,12 +112,12 @@ class Level:
         code = np.zeros(len(keys), np.uint16)
         if not self.contexts.n:
             return code
-        context = keys >> np.uint64(32)
+        context = (keys >> self.bits) - self.least  # one below the least wraps round, past the last
         i = self.contexts.successor(context)
         open_ = np.flatnonzero(i < self.contexts.n)
         open_ = open_[self.contexts.get(i[open_]) == context[open_]]
         i = i[open_]
-        want = (i.astype(np.uint64) << np.uint64(32)) | (keys[open_] & np.uint64(0xFFFFFFFF))
+        want = (i.astype(np.uint64) << self.bits) | (keys[open_] & self.mask)
         at = self.successors.successor(want)
         inside = at < self.pointers.get(i + 1).astype(np.int64)
         open_, at, want = open_[inside], at[inside], want[inside]

@@ -2,8 +2,9 @@
 
 1. Documents fall into chunks by a hash.  A chunk counts its n-grams of each order and asks the
    shards about its distinct ones, one binary row per chunk and shard.
-2. N-grams go to shards by context and a few bits of the successor, so a context that follows every
-   third word is spread.  A shard adds the chunks' training counts up, builds its level of the trie
+2. N-grams go to shards by ranges of their keys: hash of the context, shifted by four bits of the
+   successor's hash (so a context met at every third word is spread over 16 ranges), then 24 bits
+   of the successor.  Requests are Elias-Fano coded.  A shard adds the chunks' training counts up, builds its level of the trie
    (``eliasfano.Level``: contexts, pointers, successors, quantised probabilities, memory-mapped)
    and answers the chunks from it.
 3. The chunk's documents are scored from the answers, interpolating the orders with Dirichlet
@@ -20,18 +21,20 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold
 from .eliasfano import EliasFano, Level
-from .words import hash_words, mix
+from .words import byte_column, hash_words, mix
 
-CHUNK_BYTES = 12 << 20    # text a chunk is sized for
+CHUNK_BYTES = 8 << 20     # text a chunk is sized for
 SHARD_KEYS = 1 << 20      # n-grams a shard is sized for
 ORDER = 3
 STRENGTH = (200.0, 4.0)  # of the orders 2, 3, ...; the last one holds for all above
-_SPREAD = np.uint64(16)   # shards over which one context's successors are spread
+KEY_BITS = (64, 56)       # of a key of order 1 and above, SUCCESSOR_BITS of them from the last token
+SUCCESSOR_BITS = 24
 _END, _BEGIN = np.uint64(0x656E64), np.uint64(0x626567696E)  # marks beside the hashed words
 _EXACT, _STEP = 1024, 0.002
 
@@ -64,45 +67,85 @@ class Tokens:
         return np.where(self.first, at_first, np.r_[values[:1], values[:-1]])
 
     def keys(self, order: int) -> np.ndarray:
-        """Order 1: the token.  Above: upper half from the context, lower half from the token."""
+        """Order 1: the token.  Above: upper part from the context, shifted to one of 16 places by the
+        token, and lower part from the token."""
         if order == 1:
             return self.token
         context = last = self.before(self.token, _BEGIN)
         for _ in range(order - 2):
             last = self.before(last, _BEGIN)
             context = mix(context) ^ last
-        return (mix(context) & np.uint64(0xFFFFFFFF00000000)) | (mix(self.token) >> np.uint64(32))
+        token = mix(self.token)
+        place = (mix(context) + (token << np.uint64(60))) >> np.uint64(64 - KEY_BITS[1] + SUCCESSOR_BITS)
+        return (place << np.uint64(SUCCESSOR_BITS)) | (token >> np.uint64(64 - SUCCESSOR_BITS))
 
 
-def _shard(keys: np.ndarray, order: int, shards: int) -> np.ndarray:
-    if order == 1:
-        return (mix(keys) % np.uint64(shards)).astype(np.int32)
-    return ((mix(keys >> np.uint64(32)) + keys % _SPREAD) % np.uint64(shards)).astype(np.int32)
+def _distinct(tokens: Tokens, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct keys, training counts, place of each token's key)"""
+    keys, where = np.unique(tokens.keys(order), return_inverse=True)
+    return keys, np.bincount(where, weights=tokens.train, minlength=len(keys)).astype(np.uint32), where
 
 
-def _distinct(tokens: Tokens, order: int, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(keys by shard, cuts of the shards, training counts, place of each token's key)"""
-    keys, where = np.unique(tokens.keys(order), return_inverse=True)
-    counts = np.bincount(where, weights=tokens.train, minlength=len(keys)).astype(np.uint32)
-    shard = _shard(keys, order, shards)
-    by = np.argsort(shard, kind="stable")
-    place = np.empty(len(by), np.int64)
-    place[by] = np.arange(len(by))
-    return keys[by], np.searchsorted(shard[by], np.arange(shards + 1)), counts[by], place[where]
+def _by_shard(keys: np.ndarray, order: int, shards: int) -> Iterator[tuple[int, int, int]]:
+    """(shard, from, to): shards are equal ranges of the upper 32 bits of the keys."""
+    shard = ((keys >> np.uint64(KEY_BITS[order > 1] - 32)) * np.uint64(shards)) >> np.uint64(32)
+    cuts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(keys) else []
+    return ((int(shard[a]), int(a), int(b)) for a, b in zip(cuts, cuts[1:]))
+
+
+def _range(shard: int, order: int, shards: int) -> tuple[int, int]:
+    """(first key, number of keys) of a shard's range."""
+    low = KEY_BITS[order > 1] - 32
+    first, last = (-(-s * (1 << 32) // shards) for s in (shard, shard + 1))
+    return first << low, (last - first) << low
+
+
+def _packed(rows: DataFrame, chunks: int) -> DataFrame:
+    """(chunk, ids, held_out, sizes, texts): the rows of each batch by chunk, texts compressed."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunk = batch.column(3).to_numpy()
+            data, offsets = byte_column(batch.column(1))
+            ids, held = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            order = np.argsort(chunk, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, chunk[order][1:] != chunk[order][:-1], True])
+            out = []
+            for a, b in zip(cuts, cuts[1:]):
+                own = order[a:b]
+                texts = b"".join([data[offsets[i]:offsets[i + 1]].tobytes() for i in own])
+                out.append((int(chunk[own[0]]), [ids[i] for i in own], [held[i] for i in own],
+                            (offsets[own + 1] - offsets[own]).tolist(), zstandard.compress(texts, 3)))
+            types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
+                                             ["chunk", "ids", "held_out", "sizes", "texts"])
+
+    rows = rows.select("id", F.col("text").cast("binary"), "held_out",
+                       F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("long"))
+    return rows.mapInArrow(run, "chunk long, ids array<bigint>, held_out array<boolean>, "
+                                "sizes array<bigint>, texts binary")
+
+
+def _unpacked(table: pa.Table) -> tuple[list, Tokens]:
+    """(ids, tokens) of one chunk."""
+    ids, held, sizes = ([x for row in table[c].to_pylist() for x in row] for c in ("ids", "held_out", "sizes"))
+    data = b"".join([zstandard.decompress(t) for t in table["texts"].to_pylist()])
+    offsets = np.r_[0, np.cumsum(np.array(sizes, np.int64))].astype(np.int64)
+    texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return ids, Tokens(texts, np.array(held, bool))
 
 
 def _requests(chunked: DataFrame, shards: dict[int, int]) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
-        tokens = Tokens(table["text"], table["held_out"].to_numpy())
-        chunk, out = table["chunk"][0].as_py(), []
+        (_, tokens), chunk, out = _unpacked(table), table["chunk"][0].as_py(), []
         for order, n in shards.items():
-            keys, cuts, counts, _ = _distinct(tokens, order, n)
-            for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                if a < b:
-                    some = counts[a:b]
-                    small = some.astype(np.uint8) if some.max() < 256 else some
-                    packed, n_keys, low_bits = EliasFano.pack(keys[a:b], 1 << 64)
-                    out.append((order, s, chunk, n_keys, low_bits, packed.tobytes(), small.tobytes()))
+            keys, counts, _ = _distinct(tokens, order)
+            for s, a, b in _by_shard(keys, order, n):
+                some = counts[a:b]
+                small = some.astype(np.uint8) if some.max() < 256 else some
+                first, span = _range(s, order, n)
+                packed, n_keys, low_bits = EliasFano.pack(keys[a:b] - np.uint64(first), span)
+                out.append((order, s, chunk, n_keys, low_bits, packed.tobytes(), small.tobytes()))
         types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], _REQUEST_NAMES)
 
@@ -131,7 +174,7 @@ def _answers(requests: DataFrame) -> DataFrame:
         if order == 1:  # the vocabulary: exact counts
             codes = [counts[np.searchsorted(keys, a)].astype(np.uint32) for a in asked]
         else:
-            level = Level(keys[counts > 0], quantise(counts[counts > 0]))
+            level = Level(keys[counts > 0], quantise(counts[counts > 0]), SUCCESSOR_BITS)
             codes = [level.find(a) for a in asked]
             level.close()
         n = len(asked)
@@ -172,18 +215,17 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     total, distinct, size = _vocabulary(rows)
     chunks = max(1, -(-size // chunk_bytes))
     shards = {1: max(1, -(-size // (16 * shard_keys)))} | {k: max(1, -(-size // (6 * shard_keys))) for k in range(2, order + 1)}
-    chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
+    chunked = _packed(rows, chunks)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table([pa.array([], t) for t in _SCORE_TYPES], _SCORE_NAMES)
-        held_out = left["held_out"].to_numpy()
-        tokens = Tokens(left["text"], held_out)
+        ids, tokens = _unpacked(left)
         got = {(o, s): b for o, s, b in zip(*(right[c].to_pylist() for c in ("order", "shard", "codes")))}
         p, above = None, None
         for k, n in shards.items():
-            keys, cuts, _, place = _distinct(tokens, k, n)
-            blobs = [got[(k, s)] for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+            keys, _, place = _distinct(tokens, k)
+            blobs = [got[(k, s)] for s, _, _ in _by_shard(keys, k, n)]
             codes = np.frombuffer(b"".join(blobs), np.uint32 if k == 1 else np.uint16)
             if k == 1:
                 count = codes[place].astype(np.float64)
@@ -195,7 +237,8 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 weight = strength[min(k - 2, len(strength) - 1)]
                 p = (count + weight * p) / (tokens.before(above, starts) + weight)
             above = count
-        return pa.table([left["id"], pa.array(held_out), pa.array(np.diff(tokens.bounds)), pa.array(n_known),
+        held_out = ~tokens.train[tokens.bounds[:-1]]
+        return pa.table([pa.array(ids, pa.int64()), pa.array(held_out), pa.array(np.diff(tokens.bounds)), pa.array(n_known),
                          pa.array(np.full(len(held_out), total, np.int64)),
                          pa.array(np.add.reduceat(np.log10(base), tokens.bounds[:-1])),
                          pa.array(np.add.reduceat(np.log10(p), tokens.bounds[:-1]))], _SCORE_NAMES)

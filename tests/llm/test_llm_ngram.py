@@ -90,11 +90,11 @@ def test_level_finds_members_only():
     rng = np.random.default_rng(4)
     keys = np.unique((rng.integers(0, 300, 4000, np.uint64) << np.uint64(32)) | rng.integers(0, 2**32, 4000, np.uint64))
     codes = rng.integers(1, 60000, len(keys)).astype(np.uint16)
-    level = Level(keys[::2], codes[::2])
+    level = Level(keys[::2], codes[::2], 32)
     found = level.find(keys)
     assert (found[::2] == codes[::2]).all() and not found[1::2].any()
     level.close()
-    nothing = Level(keys[:0], codes[:0])
+    nothing = Level(keys[:0], codes[:0], 32)
     assert not nothing.find(keys).any()
     nothing.close()
 
