@@ -145,7 +145,7 @@ def _requests(chunked: DataFrame, shards: dict[int, int]) -> DataFrame:
                 small = some.astype(np.uint8) if some.max() < 256 else some
                 first, span = _range(s, order, n)
                 packed, n_keys, low_bits = EliasFano.pack(keys[a:b] - np.uint64(first), span)
-                out.append((order, s, chunk, n_keys, low_bits, packed.tobytes(), small.tobytes()))
+                out.append((order, s, chunk, n_keys, low_bits, packed.tobytes(), zstandard.compress(small.tobytes(), 1)))
         types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], _REQUEST_NAMES)
 
@@ -167,8 +167,9 @@ def _answers(requests: DataFrame) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         order, shard = table["order"][0].as_py(), table["shard"][0].as_py()
         asked = [_keys(*x) for x in zip(*(table[c].to_pylist() for c in ("keys", "n", "low_bits")))]
+        blobs = [zstandard.decompress(b) for b in table["counts"].to_pylist()]
         counts = np.concatenate([np.frombuffer(b, np.uint8 if len(b) == len(k) else np.uint32).astype(np.uint32)
-                                 for b, k in zip(table["counts"].to_pylist(), asked)])
+                                 for b, k in zip(blobs, asked)])
         keys, where = np.unique(np.concatenate(asked), return_inverse=True)
         counts = np.bincount(where, weights=counts, minlength=len(keys)).astype(np.int64)
         if order == 1:  # the vocabulary: exact counts
@@ -179,7 +180,7 @@ def _answers(requests: DataFrame) -> DataFrame:
             level.close()
         n = len(asked)
         return pa.table([table["chunk"], pa.array([order] * n, pa.int32()), pa.array([shard] * n, pa.int32()),
-                         pa.array([c.tobytes() for c in codes], pa.binary())], ["chunk", "order", "shard", "codes"])
+                         pa.array([zstandard.compress(c.tobytes(), 1) for c in codes], pa.binary())], ["chunk", "order", "shard", "codes"])
 
     return requests.groupBy("order", "shard").applyInArrow(run, "chunk long, order int, shard int, codes binary")
 
@@ -225,7 +226,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         p, above = None, None
         for k, n in shards.items():
             keys, _, place = _distinct(tokens, k)
-            blobs = [got[(k, s)] for s, _, _ in _by_shard(keys, k, n)]
+            blobs = [zstandard.decompress(got[(k, s)]) for s, _, _ in _by_shard(keys, k, n)]
             codes = np.frombuffer(b"".join(blobs), np.uint32 if k == 1 else np.uint16)
             if k == 1:
                 count = codes[place].astype(np.float64)
