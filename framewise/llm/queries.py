@@ -146,8 +146,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def of(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-              for k in ("email", "ip", "card", "phone")]
+    counts = [of(kind) for kind in ("email", "ip", "card", "phone")]
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"),
                         listed(F.col("spans")).alias("spans"))

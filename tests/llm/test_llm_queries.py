@@ -21,10 +21,42 @@ def test_matches_sql(spark, con, sf_dir, key):
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
 def test_one_row_per_document(spark, sf_dir, documents, key):
-    rows = QUERIES[key](spark, sf_dir).select("doc_id").collect()
+    rows = QUERIES[key](spark, sf_dir).collect()
     assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in documents.select("doc_id").collect())
 
 
+def test_personal_data_columns(spark, sf_dir, documents):
+    import hashlib
+
+    from test_llm_tokens_pii import slow_spans
+
+    texts = {r.doc_id: r.text or "" for r in documents.collect()}
+    rows = QUERIES["op10_pii"](spark, sf_dir).collect()
+    assert sum(r.n_email + r.n_ip + r.n_card + r.n_phone for r in rows) > 0
+    for r in rows:
+        base = slow_spans(texts[r.doc_id])
+        kinds = [k for _, _, k in base]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [kinds.count(k) for k in ("email", "ip", "card", "phone")]
+        listed = [f"{k}:{s}:{e}" for s, e, k in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert [x for x in r.spans.split(",") if x.split(":")[0] not in ("iban", "ssn", "")] == listed
+
+
+def test_token_digests(spark, sf_dir, documents):
+    import hashlib
+
+    from test_llm_tokens_pii import library
+
+    theirs = library()
+    got = {r.doc_id: r for r in QUERIES["op7_bpe"](spark, sf_dir).collect()}
+    for r in documents.collect():
+        ids = theirs.encode(r.text or "", add_special_tokens=False).ids
+        mine = got[r.doc_id]
+        assert mine.n_tokens == len(ids)
+        assert mine.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert mine.decoded_sha256 == hashlib.sha256(theirs.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
 def test_pipeline_stage_by_stage(spark, sf_dir, documents):
     from test_llm_decontam import slow as contaminated
     from test_llm_lines import slow as deduped
