@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
@@ -19,25 +20,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, fold
-from .linefreq import lines, words
+from .linefreq import let, lines, words
 
 MAX_FIT_ROWS = 20_000  # labelled documents used for the fit, those with the smallest hashed ids
 
 Condition = tuple[str, bool, float]  # (statistic, at most?, bound)
 
 
-def _holds(rule: tuple[Condition, ...]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f) <= F.lit(b) if most else F.col(f) > F.lit(b) for f, most, b in rule])
+def _holds(rule: tuple[Condition, ...], of: Callable[[str], Column] = F.col) -> Column:
+    return reduce(lambda a, b: a & b, [of(f) <= F.lit(b) if most else of(f) > F.lit(b) for f, most, b in rule])
 
 
 class Model(NamedTuple):
     intercept: float
     rules: list[tuple[float, tuple[Condition, ...]]]
 
-    def score(self) -> Column:
+    def score(self, of: Callable[[str], Column] = F.col) -> Column:
         """Probability of label 1 over the columns of :func:`statistics`."""
         # summed in an aggregate over an array: a sum of hundreds of columns would nest too deep
-        terms = F.array(F.lit(self.intercept), *[F.when(_holds(r), F.lit(w)).otherwise(F.lit(0.0)) for w, r in self.rules])
+        terms = F.array(F.lit(self.intercept), *[F.when(_holds(r, of), F.lit(w)).otherwise(F.lit(0.0)) for w, r in self.rules])
         total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
         return 1 / (1 + F.exp(-total))
 
@@ -46,29 +47,33 @@ STATISTICS = ("log_words", "word_length", "symbols", "shouts", "pipes", "capital
               "stops", "line_words", "same_lines", "odd")
 
 
-def statistics(df: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
-    """``keep`` plus the STATISTICS of ``text`` (doubles, 0 for an empty text)."""
-    base = df.select(*keep, text.alias("_t"))
-    kept = base.columns[:-1]
-    base = base.withColumn("_w", words(F.col("_t"))).withColumn("_l", lines(F.col("_t")))
-    n, chars = F.greatest(F.size("_w"), F.lit(1)), F.greatest(F.length("_t"), F.lit(1))
-    rows = F.greatest(F.size("_l"), F.lit(1))
+def _statistics(t: Column, w: Column, l: Column) -> list[Column]:
+    """The STATISTICS of a text ``t`` with words ``w`` and lines ``l``."""
+    n, chars, rows = (F.greatest(x, F.lit(1)) for x in (F.size(w), F.length(t), F.size(l)))
 
     def matches(pattern: str) -> Column:
-        return F.regexp_count("_t", F.lit(pattern))
+        return F.regexp_count(t, F.lit(pattern))
 
     def of(char: str) -> Column:
-        return F.length("_t") - F.length(F.replace(F.col("_t"), F.lit(char), F.lit("")))
+        return F.length(t) - F.length(F.replace(t, F.lit(char), F.lit("")))
 
     found = {
-        "log_words": F.log1p(F.size("_w").cast("double")), "word_length": F.length(F.array_join("_w", "")) / n,
+        "log_words": F.log1p(F.size(w).cast("double")), "word_length": F.length(F.array_join(w, "")) / n,
         "symbols": matches(r"[#*$%&<>]") / n, "shouts": of("!") / n, "pipes": of("|") / n,
-        "capitals": matches(r"\p{Lu}") / chars, "distinct": F.size(F.array_distinct("_w")) / n,
-        "digits": matches("[0-9]") / chars, "stops": matches("[.,;:?]") / n, "line_words": F.size("_w") / rows,
-        "same_lines": (F.size("_l") - F.size(F.array_distinct("_l"))) / rows,
+        "capitals": matches(r"\p{Lu}") / chars, "distinct": F.size(F.array_distinct(w)) / n,
+        "digits": matches("[0-9]") / chars, "stops": matches("[.,;:?]") / n, "line_words": F.size(w) / rows,
+        "same_lines": (F.size(l) - F.size(F.array_distinct(l))) / rows,
         "odd": matches(r"[^\p{L}\p{N}\s.,;:?!'-]") / chars,
     }
-    return base.select(*kept, *[F.coalesce(found[c].cast("double"), F.lit(0.0)).alias(c) for c in STATISTICS])
+    return [F.coalesce(found[c].cast("double"), F.lit(0.0)).alias(c) for c in STATISTICS]
+
+
+def statistics(df: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
+    """``keep`` plus the STATISTICS of ``text`` (doubles, 0 for an empty text)."""
+    base = df.select(*keep, text.alias("_t"))
+    kept = base.columns[:-1]
+    base = base.withColumn("_w", words(F.col("_t"))).withColumn("_l", lines(F.col("_t")))
+    return base.select(*kept, *_statistics(F.col("_t"), F.col("_w"), F.col("_l")))
 
 
 def tidy(path: list[Condition]) -> tuple[Condition, ...]:
@@ -137,6 +142,9 @@ def score_documents(df: DataFrame, model: Model, id_col: str = "doc_id", text_co
 def keep_good(df: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """The rows of ``df``, all columns, that score ``threshold`` or more; no shuffle."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
-    rows = statistics(df, text, [row]).where(model.score() >= threshold)
-    return rows.select(*[F.col("_row")[c].alias(c) for c in df.columns])
+    # one expression that evaluates each statistic once; a filter over computed columns would be
+    # pushed below them, and every rule would compute its statistics anew
+    parts = F.struct(text.alias("t"), words(text).alias("w"), lines(text).alias("l"))
+    score = let(parts, lambda p: let(F.struct(*_statistics(p["t"], p["w"], p["l"])),
+                                     lambda s: model.score(lambda name: s[name])))
+    return df.where(score >= threshold)
