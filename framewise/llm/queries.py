@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import bpe, decontam, linefreq, ngram, pii, rules, sharding, simhash
 from .common import read_table
 from .lines import dedup_lines
+from .units import dedup_units
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,6 +41,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_units(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return kept.select("doc_id", F.size("removed").cast("long").alias("n_removed"), F.array_join(spans, ",").alias("removed"),
+                       F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op4_sharding")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=16)

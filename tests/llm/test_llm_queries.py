@@ -9,7 +9,7 @@ from oracle_harness import compare
 
 
 def test_registered():
-    assert [k.split("_")[0] for k in QUERIES] == ["op1", "op2", "op4", "op5", "op6", "op7", "op8", "op9", "op10"]
+    assert [k.split("_")[0] for k in QUERIES] == ["op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10"]
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
