@@ -1,6 +1,10 @@
 """Substring dedup by line hashing: lines are normalised and digested, digests are grouped globally,
 the earliest occurrence stays and the others are removed, with their offsets in the original text.
 
+Later occurrences that follow each other in a document form one passage, and a passage goes when it
+has ``MIN_WORDS`` words or more, be it one long line or a paragraph of short ones.  A short line that
+repeats on its own is ordinary repetition and stays.
+
 Each digest's earliest place is a partial aggregate, so a line that a third of all documents hold
 is reduced before the shuffle; the lines then meet it in an equi-join that AQE may split.
 """
@@ -11,34 +15,38 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved, unique_name
 
-MIN_WORDS = 20  # words of a line that takes part; shorter ones are ordinary repetition
+MIN_WORDS = 20  # words of a passage that is removed; shorter ones are ordinary repetition
 _ROWS = 20_000  # rows of an output batch
-_TYPES = {"id": pa.int64(), "key": pa.int64(), "pos": pa.int32(), "start": pa.int32(), "end": pa.int32(), "digest": pa.binary()}
+_TYPES = {"id": pa.int64(), "key": pa.int64(), "pos": pa.int32(), "unit": pa.int32(), "words": pa.int32(),
+          "start": pa.int32(), "end": pa.int32(), "digest": pa.binary()}
 
 
-def units(text: str, min_words: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """(line number, start, end, 128-bit digest) in code points; case and white space are ignored."""
-    start = 0
+def units(text: str) -> Iterator[tuple[int, int, int, int, int, bytes]]:
+    """(line number, number among the lines with a word, words, start, end, 128-bit digest) of every
+    line with a word, offsets in code points; case and white space are ignored."""
+    start, unit = 0, 0
     for pos, line in enumerate(text.split("\n")):
         words = line.lower().split()
-        if len(words) >= min_words:
-            yield pos, start, start + len(line), xxhash.xxh3_128_digest(" ".join(words).encode())
+        if words:
+            yield pos, unit, len(words), start, start + len(line), xxhash.xxh3_128_digest(" ".join(words).encode())
+            unit += 1
         start += len(line) + 1
 
 
 def repeated_units(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, key, removed): per document its later occurrences, an array of (pos, start, end)."""
+    """(id, key, removed): per document its lines in passages of later occurrences with ``min_words``
+    words or more, an array of (pos, start, end)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for doc, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for unit in units(text, min_words):
+                for unit in units(text):
                     out.append((doc, key, *unit))
                     if len(out) >= _ROWS:
                         yield _batch(out)
@@ -51,19 +59,27 @@ def repeated_units(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
-    found = saved(rows.mapInArrow(run, "id long, key long, pos int, start int, end int, digest binary"), "units")
+    found = saved(rows.mapInArrow(run, "id long, key long, pos int, unit int, words int, start int, end int, digest binary"),
+                  "units")
     place = F.struct("id", "key", "pos")
     first = (found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                   .where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first"))
-    later = found.join(first, "digest").where(~place.eqNullSafe(F.col("first")))
-    return later.groupBy("id", "key").agg(F.sort_array(F.collect_set(F.struct("pos", "start", "end"))).alias("removed"))
+    later = found.join(first, "digest").where(~place.eqNullSafe(F.col("first"))) \
+                 .select("id", "key", "pos", "unit", "words", "start", "end").distinct()
+    # lines that follow each other (blank ones between them aside) differ from their rank by the same number
+    rank = F.row_number().over(Window.partitionBy("id", "key").orderBy("unit"))
+    passages = (later.withColumn("run", F.col("unit") - rank).groupBy("id", "key", "run")
+                     .agg(F.sum("words").alias("n"), F.collect_list(F.struct("pos", "start", "end")).alias("lines")))
+    return (passages.where(F.col("n") >= min_words).groupBy("id", "key")
+                    .agg(F.sort_array(F.flatten(F.collect_list("lines"))).alias("removed")))
 
 
 def dedup_units(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
                 removed: str = "removed") -> DataFrame:
-    """``df`` with repeated lines of ``min_words`` or more words removed from ``text_col`` and the
-    column ``removed`` (array of pos, start, end in the original text; an input column of that name
-    is replaced).  The earliest occurrence by (id, line number) stays, also within one document.
+    """``df`` with repeated passages of ``min_words`` or more words (whole lines, one or several that
+    follow each other) removed from ``text_col`` and the column ``removed`` (array of pos, start, end
+    of the lines in the original text; an input column of that name is replaced).  The earliest
+    occurrence of a line by (id, line number) stays, also within one document; blank lines stay.
     Null texts are empty; null ids rank first; repeated rows (same id and text) are one document and
     come out alike; an empty table gives none."""
     own, key, hits = (unique_name(df, n) for n in ("unit_id", "unit_key", "unit_hits"))

@@ -13,8 +13,17 @@ def slow(rows, min_words):
     out = []
     for d, t in rows:
         lines, at, spans, kept = (t or "").split("\n"), 0, [], []
+        runs, now = [], []
         for i, line in enumerate(lines):
-            if len(line.split()) >= min_words and first[key(line)] != (d, i):
+            if not line.split():
+                continue
+            if first[key(line)] != (d, i):
+                now.append(i)
+            else:
+                runs, now = [*runs, now], []
+        gone = {i for run in [*runs, now] if sum(len(lines[i].split()) for i in run) >= min_words for i in run}
+        for i, line in enumerate(lines):
+            if i in gone:
                 spans.append((i, at, at + len(line)))
             else:
                 kept.append(line)
@@ -35,3 +44,13 @@ def test_equals_plain_definition(documents, docs_of, empty):
     assert dedup_units(empty).count() == 0
     twice = dedup_units(docs_of([(1, "a b c"), (1, "a b c")]).withColumnRenamed("lang", "removed"), min_words=3).collect()
     assert [r.text for r in twice] == ["a b c"] * 2
+
+
+def test_passage_of_short_lines(docs_of):
+    terms = "\n".join(f"clause {i} of these terms holds" for i in range(9))
+    made = [(1, f"own start here\n{terms}"), (2, f"another beginning\n{terms}\n\nown start here"),
+            (3, "clause 3 of these terms holds\nthe rest is new and long enough to stand alone")]
+    rows = {r.doc_id: r for r in dedup_units(docs_of(made)).collect()}
+    assert rows[1].text == made[0][1]
+    assert rows[2].text == "another beginning\n" and len(rows[2].removed) == 10  # the blank line does not end the passage
+    assert rows[3].text == made[2][1]
