@@ -5,47 +5,32 @@ smallest value ``v`` whose running count reaches ``ceil(q * n)`` — the value
 a sort of the group would have at that rank (DuckDB ``quantile_disc``,
 ``percentile_approx`` with unbounded accuracy).
 
-1. count rows per (group, value)    — partial aggregation, one shuffle; the
-   counts are checkpointed (they are read more than once)
-2. running count per group in value order, over the *distinct* values:
-   a plain window when the largest group has at most ``window_limit``
-   distinct values (it fits one task), otherwise the range-partitioned
-   running sum of ``operators.ranking`` (a hot group spans many tasks)
-3. pick, per quantile, the value whose count interval holds the rank.
-
-Memory per task is bounded either way and the answer is exact at any size.
+1. count rows per (group, value)    — partial aggregation, one shuffle
+2. running count and total per group in value order, over the *distinct*
+   values: the range-partitioned running sum of ``operators.ranking``, so a
+   hot group spans many tasks and its total comes with the block table
+3. pick, per quantile, the value whose count interval holds the rank: a local
+   test and a partial aggregate.
+
+One plan at every size; memory per task is bounded and the answer is exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
 from .ranking import running_sum
 
-WINDOW_LIMIT = 2_000_000
 
-
-def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
-                    qs: dict[str, float], window_limit: int = WINDOW_LIMIT) -> DataFrame:
+def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, qs: dict[str, float],
+                    partitions: int | None = None) -> DataFrame:
     v = F.col(value_col)
-    shared_dir(df.sparkSession)
-    counts = (df.where(v.isNotNull()).groupBy(*group_cols, value_col)
-                .agg(F.count(F.lit(1)).alias("_c"))
-                .checkpoint(eager=True))
-    widest = counts.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
-    if widest <= window_limit:
-        w = Window.partitionBy(*group_cols).orderBy(value_col) \
-                  .rowsBetween(Window.unboundedPreceding, 0)
-        cum = counts.withColumn("_cum", F.sum("_c").over(w))
-    else:
-        cum = running_sum(counts, group_cols, [value_col], "_c", "_cum")
-    totals = counts.groupBy(*group_cols).agg(F.sum("_c").alias("_n"))
-    j = cum.join(totals, group_cols)
+    counts = df.where(v.isNotNull()).groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_sum(counts, group_cols, [value_col], "_c", "_cum", partitions, total_col="_n")
     picks = []
     for name, q in qs.items():
         rank = F.greatest(F.ceil(F.col("_n") * F.lit(q)), F.lit(1))
         hit = (F.col("_cum") >= rank) & (F.col("_cum") - F.col("_c") < rank)
         picks.append(F.min(F.when(hit, v)).alias(name))
-    return j.groupBy(*group_cols).agg(*picks)
+    return cum.groupBy(*group_cols).agg(*picks)

@@ -44,31 +44,42 @@ def _offsets(placed: DataFrame, group_cols: list[str], weight) -> DataFrame:
                     .agg(F.sum(weight).alias("_blk"), F.min("_mid").alias("_first")))
     before = Window.partitionBy(*group_cols).orderBy("_pid") \
                    .rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.withColumn("_offset", F.coalesce(F.sum("_blk").over(before), F.lit(0))) \
-                 .select("_pid", *group_cols, "_offset", "_first")
+    return blocks.withColumns({"_offset": F.coalesce(F.sum("_blk").over(before), F.lit(0)),
+                               "_total": F.sum("_blk").over(Window.partitionBy(*group_cols))}) \
+                 .select("_pid", *group_cols, "_offset", "_first", "_total")
+
+
+def _with_offsets(placed: DataFrame, blocks: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Each placed row with its block's columns (null is a group like any other)."""
+    keys = ["_pid", *group_cols]
+    right = blocks.withColumnsRenamed({c: f"_block_{c}" for c in keys})
+    on = [placed[c].eqNullSafe(right[f"_block_{c}"]) for c in keys]
+    return placed.join(right, on).drop(*[f"_block_{c}" for c in keys])
 
 
 def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str],
            rank_col: str = "rn", partitions: int | None = None) -> DataFrame:
     """Exact ``row_number()`` per group in ``order_cols`` order."""
     placed = _placed(df, [*group_cols, *order_cols], partitions)
-    out = placed.join(_offsets(placed, group_cols, F.lit(1)), ["_pid", *group_cols])
+    out = _with_offsets(placed, _offsets(placed, group_cols, F.lit(1)), group_cols)
     return (out.withColumn(rank_col, (F.col("_offset") + F.col("_mid") - F.col("_first") + 1)
                            .cast("long"))
-               .drop("_pid", "_mid", "_offset", "_first"))
+               .drop("_pid", "_mid", "_offset", "_first", "_total"))
 
 
 def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str], weight: str,
-                out_col: str = "cum", partitions: int | None = None) -> DataFrame:
-    """Inclusive running sum of ``weight`` per group in ``order_cols`` order.
+                out_col: str = "cum", partitions: int | None = None, total_col: str = "_total") -> DataFrame:
+    """Inclusive running sum of ``weight`` per group in ``order_cols`` order,
+    and the group's whole weight in ``total_col``.
     Inside a partition the sum is a window over ``(partition, group)``, which
     hashes a hot group's blocks to different tasks."""
     placed = _placed(df, [*group_cols, *order_cols], partitions)
     local = Window.partitionBy("_pid", *group_cols).orderBy("_mid") \
                   .rowsBetween(Window.unboundedPreceding, 0)
-    out = (placed.withColumn("_local", F.sum(weight).over(local))
-                 .join(_offsets(placed, group_cols, F.col(weight)), ["_pid", *group_cols]))
+    out = _with_offsets(placed.withColumn("_local", F.sum(weight).over(local)),
+                        _offsets(placed, group_cols, F.col(weight)), group_cols)
     return (out.withColumn(out_col, F.col("_offset") + F.col("_local"))
+               .withColumnRenamed("_total", total_col)
                .drop("_pid", "_mid", "_offset", "_first", "_local"))
 
 

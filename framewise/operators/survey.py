@@ -105,10 +105,12 @@ def dispersion_ordered(survey: DataFrame) -> DataFrame:
 
 
 def cv_pivot(survey: DataFrame, sexes=("Females", "Males")) -> DataFrame:
-    """Age group x sex table of CV (one value per cell by construction)."""
-    return (_dispersion_raw(survey)
+    """Age group x sex table of CV (one value per cell by construction); all values that are not
+    among ``sexes`` (null included) are measured together in the column ``Other``."""
+    sex = F.when(F.col("Sex").isin(list(sexes)), F.col("Sex")).otherwise("Other")
+    return (_dispersion_raw(survey.withColumn("Sex", sex))
             .groupBy("Age_group")
-            .pivot("Sex", list(sexes))
+            .pivot("Sex", [*sexes, "Other"])
             .agg(_r6(F.max("cv")))
             .orderBy(age_order_key("Age_group")))
 

@@ -41,6 +41,13 @@ SELECT vec_id AS frame_id, concat('s', CAST((vec_id // 5) % 4 AS VARCHAR)) AS st
 FROM embeddings
 """
 
+PICTURES = """
+SELECT frame_id, label, CASE frame_id % 3 WHEN 0 THEN 8 WHEN 1 THEN 4 ELSE 16 END AS height,
+  CASE frame_id % 3 WHEN 0 THEN 8 WHEN 1 THEN 16 ELSE 4 END AS width, pixels,
+  list_transform(range(0, 3 * len(pixels)), lambda k: CAST((pixels[k // 3 + 1] * (k % 3 + 1) + k % 3 * 37) % 256 AS INT)) AS bgr
+FROM fx_frames
+"""
+
 PRED = """
 SELECT vec_id AS sample_id, label AS actual,
   CASE WHEN vec_id % 3 = 0 THEN CAST((vec_id * 7 + label) % 10 AS INT) ELSE label END AS predicted
@@ -61,7 +68,7 @@ FROM range(0, 29) t(i)
 """
 
 FIXTURES = {
-    "survey": SURVEY, "sl_users": SL_USERS, "landmarks": LANDMARKS, "frames": FRAMES,
+    "survey": SURVEY, "sl_users": SL_USERS, "landmarks": LANDMARKS, "frames": FRAMES, "pictures": PICTURES,
     "pred": PRED, "image_names": IMAGE_NAMES, "labels_dim": LABELS_DIM,
 }
 

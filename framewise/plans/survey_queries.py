@@ -18,32 +18,37 @@ GROUP BY Age_group, Sex HAVING count(VALUE) > 1 AND var_pop(VALUE) > 0
 """
 
 
+def _hearing_loss(spark, sf, *columns):
+    """Hearing-loss facts with ``columns``; other dimensions are not joined."""
+    return fx.survey(spark, sf, (*columns, "Categories", "VALUE"), hearing_loss=True)
+
+
 @register("survey_avg_age_sex", fixtures=("survey",), sql=f"""
 SELECT Age_group, Sex, round(avg(VALUE), 6) AS avg_hearing_loss, {_AGE_FROM} AS age_from
 FROM fx_survey WHERE {_HL} GROUP BY Age_group, Sex""")
 def survey_avg_age_sex(spark, sf):
-    return S.avg_by_age_sex(fx.survey(spark, sf))
+    return S.avg_by_age_sex(_hearing_loss(spark, sf, "Age_group", "Sex"))
 
 
 @register("survey_range_rate", fixtures=("survey",), sql=f"""
 SELECT Age_group, round((max(VALUE) - min(VALUE)) / count(*), 6) AS rate_of_change
 FROM fx_survey WHERE {_HL} GROUP BY Age_group""")
 def survey_range_rate(spark, sf):
-    return S.range_rate(fx.survey(spark, sf))
+    return S.range_rate(_hearing_loss(spark, sf, "Age_group"))
 
 
 @register("survey_avg_year", fixtures=("survey",), sql="""
 SELECT REF_DATE, round(avg(VALUE), 6) AS avg_hearing_loss
 FROM fx_survey WHERE Categories = 'Hearing loss' GROUP BY REF_DATE""")
 def survey_avg_year(spark, sf):
-    return S.avg_by_year(fx.survey(spark, sf))
+    return S.avg_by_year(_hearing_loss(spark, sf, "REF_DATE"))
 
 
 @register("survey_avg_geo", fixtures=("survey",), sql="""
 SELECT GEO, round(avg(VALUE), 6) AS avg_hearing_loss
 FROM fx_survey WHERE Categories = 'Hearing loss' GROUP BY GEO""")
 def survey_avg_geo(spark, sf):
-    return S.avg_by_geo(fx.survey(spark, sf))
+    return S.avg_by_geo(_hearing_loss(spark, sf, "GEO"))
 
 
 @register("survey_confidence", fixtures=("survey",), sql="""
@@ -52,29 +57,31 @@ SELECT REF_DATE, round(avg(VALUE), 6) AS avg_estimate,
        round(avg(CASE WHEN Characteristics LIKE '%High%' THEN VALUE END), 6) AS avg_high_confidence
 FROM fx_survey WHERE Categories = 'Hearing loss' GROUP BY REF_DATE""")
 def survey_confidence(spark, sf):
-    return S.confidence(fx.survey(spark, sf))
+    return S.confidence(_hearing_loss(spark, sf, "REF_DATE", "Characteristics"))
 
 
 @register("survey_dispersion", fixtures=("survey",), sql=_DISP)
 def survey_dispersion(spark, sf):
-    return S.dispersion(fx.survey(spark, sf))
+    return S.dispersion(_hearing_loss(spark, sf, "Age_group", "Sex"))
 
 
 @register("survey_dispersion_ordered", fixtures=("survey",),
           sql=f"SELECT *, {_ORD} AS ord FROM ({_DISP}) d")
 def survey_dispersion_ordered(spark, sf):
-    return S.dispersion_ordered(fx.survey(spark, sf))
+    return S.dispersion_ordered(_hearing_loss(spark, sf, "Age_group", "Sex"))
 
 
 @register("survey_cv_pivot", fixtures=("survey",), sql=f"""
 SELECT Age_group,
   round(max(CASE WHEN Sex = 'Females' THEN cv END), 6) AS Females,
-  round(max(CASE WHEN Sex = 'Males' THEN cv END), 6) AS Males
-FROM (SELECT Age_group, Sex, stddev_pop(VALUE) / nullif(avg(VALUE), 0) AS cv FROM fx_survey
+  round(max(CASE WHEN Sex = 'Males' THEN cv END), 6) AS Males,
+  round(max(CASE WHEN Sex = 'Other' THEN cv END), 6) AS Other
+FROM (SELECT Age_group, CASE WHEN Sex IN ('Females', 'Males') THEN Sex ELSE 'Other' END AS Sex,
+             stddev_pop(VALUE) / nullif(avg(VALUE), 0) AS cv FROM fx_survey
       WHERE {_HL} AND VALUE IS NOT NULL
-      GROUP BY Age_group, Sex HAVING count(VALUE) > 1 AND var_pop(VALUE) > 0) q GROUP BY Age_group""")
+      GROUP BY ALL HAVING count(VALUE) > 1 AND var_pop(VALUE) > 0) q GROUP BY Age_group""")
 def survey_cv_pivot(spark, sf):
-    return S.cv_pivot(fx.survey(spark, sf))
+    return S.cv_pivot(_hearing_loss(spark, sf, "Age_group", "Sex"))
 
 
 @register("survey_quartiles", fixtures=("survey",), sql=f"""
@@ -82,13 +89,13 @@ SELECT Age_group, quantile_disc(VALUE, 0.25) AS q1, quantile_disc(VALUE, 0.5) AS
        quantile_disc(VALUE, 0.75) AS q3
 FROM fx_survey WHERE {_HL} GROUP BY Age_group""")
 def survey_quartiles(spark, sf):
-    return S.quartiles(fx.survey(spark, sf))
+    return S.quartiles(_hearing_loss(spark, sf, "Age_group"))
 
 
 @register("age_band_order", fixtures=("survey",), sql=f"""
 SELECT Age_group, count(*) AS n_rows, {_AGE_FROM} AS age_from FROM fx_survey GROUP BY Age_group""")
 def age_band_order(spark, sf):
-    return S.age_bands(fx.survey(spark, sf))
+    return S.age_bands(fx.survey(spark, sf, ("Age_group",)))
 
 
 @register("yes_percentage", fixtures=("sl_users",), sql="""

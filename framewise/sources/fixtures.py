@@ -4,6 +4,7 @@
 ``sl_users``    sign-language survey, all strings, with blanks
 ``landmarks``   hand points per frame on a 640x480 picture
 ``frames``      8x8 grey frames, five per second, four streams
+``pictures``    the frames in three shapes, grey and as interleaved BGR
 ``pred``        (actual, predicted) pairs of a ten-class model
 ``image_names`` training file paths with label tokens
 ``labels_dim``  the 29-class dictionary
@@ -32,22 +33,36 @@ SURVEY_LINEITEM_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
 SURVEY_ORDERS_COLS = ("o_orderkey", "o_orderdate")
 
 
-def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+SURVEY_COLUMNS = ("REF_DATE", "GEO", "Age_group", "Sex", "Categories", "Characteristics", "VALUE")
+
+
+def survey(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = SURVEY_COLUMNS,
+           hearing_loss: bool = False) -> DataFrame:
+    """The survey facts; only the dimensions that ``columns`` need are joined (every line item has
+    its order, part and supplier, so the rows are the same).  ``hearing_loss`` keeps that category,
+    as a filter of the line item scan."""
     li = table(spark, sf_dir, "lineitem").select(*SURVEY_LINEITEM_COLS)
+    if hearing_loss:
+        li = li.where(F.col("l_returnflag") == "R")
     orders = table(spark, sf_dir, "orders").select(*SURVEY_ORDERS_COLS)
-    return survey_from(spark, sf_dir, li, orders)
+    return survey_from(spark, sf_dir, li, orders, columns)
 
 
-def survey_from(spark: SparkSession, sf_dir: str, li: DataFrame, orders: DataFrame) -> DataFrame:
+def survey_from(spark: SparkSession, sf_dir: str, li: DataFrame, orders: DataFrame,
+                columns: tuple[str, ...] = SURVEY_COLUMNS) -> DataFrame:
     """The survey facts from given lineitem/orders inputs (plain scans, or
     the bucketed copies of ``sources.staging``) and the dimension tables."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    supp_nation = supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey)
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(part, li.l_partkey == part.p_partkey)
-           .join(supp_nation, li.l_suppkey == supp_nation.s_suppkey))
+    j = li
+    if "REF_DATE" in columns:
+        j = j.join(orders, li.l_orderkey == orders.o_orderkey)
+    if "Age_group" in columns:
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+        j = j.join(part, li.l_partkey == part.p_partkey)
+    if "GEO" in columns:
+        supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+        supp_nation = supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey)
+        j = j.join(supp_nation, li.l_suppkey == supp_nation.s_suppkey)
     size = F.col("p_size")
     age = (F.when(size <= 5, "Ages 6 to 79").when(size <= 14, "Ages 6 to 11")
            .when(size <= 23, "Ages 12 to 19").when(size <= 32, "Ages 20 to 39")
@@ -55,16 +70,16 @@ def survey_from(spark: SparkSession, sf_dir: str, li: DataFrame, orders: DataFra
     ln3 = F.col("l_linenumber") % 3
     characteristic = (F.when(ln3 == 0, "Low 95% confidence interval")
                       .when(ln3 == 1, "High 95% confidence interval").otherwise("Estimate"))
-    return j.select(
-        F.year("o_orderdate").cast("int").alias("REF_DATE"),
-        F.col("n_name").alias("GEO"),
-        age.alias("Age_group"),
-        F.when(F.col("l_linestatus") == "F", "Females").otherwise("Males").alias("Sex"),
-        F.when(F.col("l_returnflag") == "R", "Hearing loss").otherwise("Other").alias("Categories"),
-        characteristic.alias("Characteristics"),
-        F.when(F.col("l_quantity") == 13, F.lit(None)).otherwise(F.col("l_quantity"))
-         .cast("double").alias("VALUE"),
-    )
+    facts = {
+        "REF_DATE": F.year("o_orderdate").cast("int"),
+        "GEO": F.col("n_name"),
+        "Age_group": age,
+        "Sex": F.when(F.col("l_linestatus") == "F", "Females").otherwise("Males"),
+        "Categories": F.when(F.col("l_returnflag") == "R", "Hearing loss").otherwise("Other"),
+        "Characteristics": characteristic,
+        "VALUE": F.when(F.col("l_quantity") == 13, F.lit(None)).otherwise(F.col("l_quantity")).cast("double"),
+    }
+    return j.select(*[facts[c].alias(c) for c in columns])
 
 
 def sl_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +131,17 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frame as an 8 x 8, 4 x 16 or 16 x 4 picture: ``pixels`` (grey) and ``bgr`` (three values
+    a pixel, all derived from the frame's 64)."""
+    kind = F.col("frame_id") % 3
+    bgr = F.transform(F.sequence(F.lit(0), F.size("pixels") * 3 - 1),
+                      lambda k: (F.get("pixels", (k / 3).cast("int")) * (k % 3 + 1) + k % 3 * 37) % 256)
+    return frames(spark, sf_dir).select(
+        "frame_id", "label", F.when(kind == 0, 8).when(kind == 1, 4).otherwise(16).alias("height"),
+        F.when(kind == 0, 8).when(kind == 1, 16).otherwise(4).alias("width"), "pixels", bgr.alias("bgr"))
+
+
 def pred(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "label")
     vid = F.col("vec_id")
