@@ -59,19 +59,22 @@ def crop(px, w: int, y0, y1, x0, x1) -> Column:
 
 
 def pool_mean(px, h: int, w: int, k: int = 2) -> Column:
-    """k x k mean pooling of an h x w frame -> (h/k) x (w/k) doubles."""
+    """k x k mean pooling of an h x w frame -> ceil(h/k) x ceil(w/k) doubles; where ``k`` does not
+    divide, the cells of the last row and column are means of the pixels they have."""
     arr = _c(px)
-    oh, ow = h // k, w // k
+    oh, ow = -(-h // k), -(-w // k)
 
     def cell(i):
         r0 = (i / ow).cast("int") * k  # output row * k
         c0 = (i % ow) * k
-        idx = [(r0 + dr) * w + c0 + dc for dr in range(k) for dc in range(k)]
         total = None
-        for ix in idx:
-            v = F.get(arr, ix).cast("double")
-            total = v if total is None else total + v
-        return total / float(k * k)
+        for dr in range(k):
+            for dc in range(k):
+                v = F.get(arr, (r0 + dr) * w + c0 + dc).cast("double")
+                if h % k or w % k:
+                    v = F.when((r0 + dr < h) & (c0 + dc < w), v).otherwise(0.0)
+                total = v if total is None else total + v
+        return total / (F.least(F.lit(k), h - r0) * F.least(F.lit(k), w - c0))
 
     return F.transform(F.sequence(F.lit(0), F.lit(oh * ow - 1)), cell)
 
@@ -91,22 +94,52 @@ def nearest_resize(px, w, y0, y1, x0, x1, oh: int, ow: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(oh * ow - 1)), cell)
 
 
-def rgb_swap(px, n_pixels: int) -> Column:
-    """BGR <-> RGB on an interleaved array of ``n_pixels`` pixels."""
+def bilinear_resize(px, h, w, oh: int, ow: int) -> Column:
+    """Half-pixel-centre bilinear resize of an h x w frame (``h``, ``w``: ints or per-row columns)
+    to oh x ow ints, rounded half to even and kept in 0..255; null for a null frame."""
     arr = _c(px)
-    return F.transform(F.sequence(F.lit(0), F.lit(3 * n_pixels - 1)),
-                       lambda k: F.get(arr, (k - k % 3) + 2 - k % 3))
+    h, w = (F.lit(v) if isinstance(v, int) else _c(v) for v in (h, w))
 
+    def source(i, n, on: int) -> Column:
+        at = (i.cast("double") + 0.5) * n.cast("double") / float(on) - 0.5
+        return F.least(F.greatest(at, F.lit(0.0)), (n - 1).cast("double"))
 
-def bgr_to_grey(px, n_pixels: int) -> Column:
-    """Luma 0.114 B + 0.587 G + 0.299 R, rounded half up, in exact integer math."""
+    def cell(i):
+        sy, sx = source((i / ow).cast("int"), h, oh), source(i % ow, w, ow)
+        y0, x0 = F.floor(sy).cast("int"), F.floor(sx).cast("int")
+        y1, x1 = F.least(y0 + 1, h - 1), F.least(x0 + 1, w - 1)
+        fy, fx = sy - y0, sx - x0
+
+        def at(y, x):
+            return F.get(arr, y * w + x).cast("double")
+
+        top = at(y0, x0) * (1 - fx) + at(y0, x1) * fx
+        bottom = at(y1, x0) * (1 - fx) + at(y1, x1) * fx
+        return F.least(F.greatest(F.rint(top * (1 - fy) + bottom * fy).cast("int"), F.lit(0)), F.lit(255))
+
+    return F.when(arr.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(oh * ow - 1)), cell))
+
+
+def _upto(n) -> Column:
+    """0 .. n - 1; empty for 0."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def rgb_swap(px) -> Column:
+    """BGR <-> RGB on an interleaved array of any number of pixels."""
+    arr = _c(px)
+    return F.transform(_upto(F.size(arr)), lambda k: F.get(arr, (k - k % 3) + 2 - k % 3))
+
+
+def bgr_to_grey(px) -> Column:
+    """Luma 0.114 B + 0.587 G + 0.299 R of every pixel, rounded half up, in exact integer math."""
     arr = _c(px)
 
     def grey(i):
         b, g, r = (F.get(arr, i * 3 + c) for c in range(3))
         return ((b * 114 + g * 587 + r * 299 + 500) / 1000).cast("int")
 
-    return F.transform(F.sequence(F.lit(0), F.lit(n_pixels - 1)), grey)
+    return F.transform(_upto((F.size(arr) / 3).cast("int")), grey)
 
 
 def scale(px, divisor: float = 255.0) -> Column:
@@ -123,10 +156,10 @@ def shift_and_clip(px, gain: int, offset: int, lo: int = 0, hi: int = 255) -> Co
 
 
 def stretch(px, top: int = 255) -> Column:
-    """``p * top / max`` truncated to int; null frame when its max is 0."""
+    """``p * top / max`` truncated to int; an all-black frame stays as it is."""
     arr = _c(px)
     m = F.array_max(arr)
-    return F.when(m > 0, F.transform(arr, lambda p: (p * float(top) / m).cast("int")))
+    return F.when(m > 0, F.transform(arr, lambda p: (p * float(top) / m).cast("int"))).otherwise(arr)
 
 
 def one_hot(label, k: int) -> Column:
@@ -136,54 +169,12 @@ def one_hot(label, k: int) -> Column:
 
 
 def argmax_decode(onehot) -> Column:
-    return argmax(onehot)
+    """Class of a one-hot vector; null where no class is set."""
+    return F.when(F.array_max(_c(onehot)) > 0, argmax(onehot))
 
 
 # ---- Arrow-batched helpers (the slow path, used only where SQL cannot) ----
 
-def _bilinear(arr: np.ndarray, h: int, w: int, oh: int, ow: int) -> np.ndarray:
-    """Half-pixel-centre bilinear resize of one h x w frame (OpenCV convention)."""
-    return _bilinear_batch(np.asarray(arr).reshape(1, h, w), oh, ow)[0].ravel()
-
-
-def _bilinear_batch(imgs: np.ndarray, oh: int, ow: int) -> np.ndarray:
-    """The same resize for a stack of n frames ``(n, h, w)`` -> ``(n, oh, ow)``,
-    as whole-array numpy operations (no loop over frames)."""
-    _, h, w = imgs.shape
-    img = imgs.astype(np.float64)
-    sy = (np.arange(oh) + 0.5) * h / oh - 0.5
-    sx = (np.arange(ow) + 0.5) * w / ow - 0.5
-    sy = np.clip(sy, 0, h - 1)
-    sx = np.clip(sx, 0, w - 1)
-    y0 = np.floor(sy).astype(int)
-    x0 = np.floor(sx).astype(int)
-    y1 = np.minimum(y0 + 1, h - 1)
-    x1 = np.minimum(x0 + 1, w - 1)
-    fy = (sy - y0)[None, :, None]
-    fx = (sx - x0)[None, None, :]
-    top = img[:, y0][:, :, x0] * (1 - fx) + img[:, y0][:, :, x1] * fx
-    bot = img[:, y1][:, :, x0] * (1 - fx) + img[:, y1][:, :, x1] * fx
-    out = top * (1 - fy) + bot * fy
-    return np.clip(np.rint(out), 0, 255).astype(np.int32)
-
-
-def bilinear_resize_udf(h: int, w: int, oh: int, ow: int):
-    """pandas_udf: ARRAY<INT> h x w -> ARRAY<INT> oh x ow (bilinear)."""
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def resize(col: pd.Series) -> pd.Series:
-        ok = col.map(lambda a: a is not None and len(a) == h * w).to_numpy()
-        values = [None] * len(col)
-        if ok.any():
-            stack = np.stack([np.asarray(a) for a in col[ok]]).reshape(-1, h, w)
-            resized = _bilinear_batch(stack, oh, ow).reshape(len(stack), oh * ow).tolist()
-            for pos, frame in zip(np.flatnonzero(ok), resized):
-                values[pos] = frame
-        return pd.Series(values, index=col.index, dtype=object)
-
-    return resize
-
-
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def bytes_to_ints(col: pd.Series) -> pd.Series:
     """BINARY -> ARRAY<INT> of its unsigned bytes (image ``data`` field)."""

@@ -10,6 +10,9 @@ from ..functions.columns import (file_stem, label_token, label_token_regex, lett
 from ..schemas import UNKNOWN_LABEL
 
 
+UNKNOWN_GLYPH = "?"
+
+
 def with_label(names: DataFrame, dim: DataFrame, path_col: str = "path",
                style: str = "underscore") -> DataFrame:
     """Adds ``label_token`` and ``label_id`` (unknown tokens -> 27).
@@ -45,14 +48,16 @@ def letter_ordinals(df: DataFrame, token_col: str = "label_token") -> DataFrame:
 
 
 def lookup(df: DataFrame, dim: DataFrame, key_col: str) -> DataFrame:
-    """Class index -> name and glyph (broadcast of the 29-row dictionary)."""
-    d = F.broadcast(dim.withColumnRenamed("label_id", key_col))
-    return df.join(d, key_col, "inner")
+    """Class index -> name and glyph (broadcast of the 29-row dictionary); rows of an unknown class
+    stay, with ``UNKNOWN_GLYPH`` for both."""
+    return lookup_as(df, dim.withColumnRenamed("label_id", key_col), key_col)
 
 
 def lookup_as(df: DataFrame, dim: DataFrame, key_col: str) -> DataFrame:
-    """Join an already-renamed slice of the dictionary on ``key_col`` (broadcast)."""
-    return df.join(F.broadcast(dim), key_col, "inner")
+    """Join an already-renamed slice of the dictionary on ``key_col`` (broadcast); its texts are
+    ``UNKNOWN_GLYPH`` for keys that it lacks."""
+    texts = [c for c in dim.columns if c != key_col]
+    return df.join(F.broadcast(dim), key_col, "left").na.fill(UNKNOWN_GLYPH, texts)
 
 
 def class_balance(df: DataFrame, label_col: str = "label_id") -> DataFrame:

@@ -2,9 +2,9 @@
 
 ``hand_crops``    landmarks -> centre/reach -> square box -> crop -> resize
                  (the batch conversion flow, without picture decoding)
-``training_rows`` colour frame -> grey -> 2x2 pooled -> label (no hand search)
+``training_rows`` colour picture -> grey -> resize -> label (no hand search)
 
-The hand flow has two exchanges: the landmarks of a frame are brought
+The hand flow has four exchanges: the landmarks of a frame are brought
 together (see ``operators.geometry``), and the frames (with their pixels) meet
 their boxes in one join on ``frame_id``.
 """
@@ -59,8 +59,9 @@ def debug_tee(frames: DataFrame, landmarks: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def training_rows(frames: DataFrame, n_colour_pixels: int = 16, side: int = 4) -> DataFrame:
-    """``(frame_id, label, pixels)``: the first 16 BGR pixels as a 4x4 colour
-    picture -> grey -> 2x2 mean pooling."""
-    grey = P.bgr_to_grey("pixels", n_colour_pixels)
-    return frames.select("frame_id", "label", P.pool_mean(grey, side, side, 2).alias("pixels"))
+def training_rows(pictures: DataFrame) -> DataFrame:
+    """``(frame_id, label, pixels)``: every BGR picture -> grey -> OUT x OUT
+    (bilinear, from the picture's own height and width)."""
+    grey = pictures.select("frame_id", "label", "height", "width", P.bgr_to_grey("bgr").alias("grey"))
+    return grey.select("frame_id", "label",
+                       P.bilinear_resize("grey", "height", "width", OUT, OUT).alias("pixels"))

@@ -63,17 +63,20 @@ def accuracy(pred: DataFrame, actual: str = "actual", predicted: str = "predicte
 def confusion(pred: DataFrame, classes: list[int], actual: str = "actual",
               predicted: str = "predicted", prefix: str = "p_") -> DataFrame:
     """Rows: every class seen as actual or predicted; columns: ``classes``
-    (the model's declared output classes); zero-filled counts.
+    (the model's declared output classes) and ``{prefix}other`` (any other
+    prediction, null included); zero-filled counts that add up to all pairs.
 
     One scan: each pair adds 1 at (actual, predicted) and a zero-weight
     marker on its predicted class, so classes only ever predicted still get
     a row; one partial/final pivoting aggregate does the rest."""
     a, p = F.col(actual), F.col(predicted)
+    other = min(classes) - 1
     sides = F.array(
-        F.struct(a.alias("actual"), p.alias("_col"), F.lit(1).alias("_w")),
+        F.struct(a.alias("actual"), F.when(p.isin(classes), p).otherwise(F.lit(other)).alias("_col"), F.lit(1).alias("_w")),
         F.struct(p.alias("actual"), F.lit(None).cast(pred.schema[predicted].dataType).alias("_col"),
                  F.lit(0).alias("_w")))
     counts = (pred.select(F.inline(sides))
-                  .groupBy("actual").pivot("_col", classes).agg(F.sum("_w")))
-    return counts.select("actual", *[F.coalesce(F.col(str(c)), F.lit(0)).cast("long").alias(f"{prefix}{c}")
-                                     for c in classes])
+                  .groupBy("actual").pivot("_col", [*classes, other]).agg(F.sum("_w")))
+    names = {**{c: f"{prefix}{c}" for c in classes}, other: f"{prefix}other"}
+    return counts.select("actual", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("long").alias(name)
+                                     for c, name in names.items()])

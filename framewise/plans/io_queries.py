@@ -40,23 +40,23 @@ def src_csv_strings(spark, sf):
 
 
 @register("src_csv_inferred", fixtures=("frames",), sql=f"""
-SELECT CAST(frame_id AS INT) AS frame_id, label, {", ".join(f"pixels[{i + 1}] AS pixel_{i}" for i in range(8))}
+SELECT CAST(frame_id AS INT) AS frame_id, label, {", ".join(f"pixels[{i + 1}] AS pixel_{i}" for i in range(64))}
 FROM fx_frames""")
 def src_csv_inferred(spark, sf):
-    wide = fx.frames(spark, sf).select("frame_id", "label", *P.to_columns("pixels", 8))
+    wide = fx.frames(spark, sf).select("frame_id", "label", *P.to_columns("pixels", 64))
     path = IO.write_csv(wide, fresh_path(spark, "csv-inferred"))
     return IO.read_csv_inferred(spark, path)
 
 
 @register("src_csv_headerless", fixtures=("frames",), sql=f"""
-SELECT label, {", ".join(f"pixels[{i}] AS pixel{i}" for i in range(1, 17))}, frame_id FROM fx_frames""")
+SELECT label, {", ".join(f"pixels[{i}] AS pixel{i}" for i in range(1, 65))}, frame_id FROM fx_frames""")
 def src_csv_headerless(spark, sf):
-    """Training CSV without a header: ``label, pixel1 … pixel16, frame_id``."""
+    """Training CSV without a header: ``label, pixel1 … pixel64, frame_id``."""
     fr = fx.frames(spark, sf)
-    wide = fr.select("label", *P.to_columns("pixels", 16, prefix="c"), "frame_id")
+    wide = fr.select("label", *P.to_columns("pixels", 64, prefix="c"), "frame_id")
     path = IO.write_csv(wide, fresh_path(spark, "csv-headerless"), header=False)
-    names = ["label"] + [f"pixel{i}" for i in range(1, 17)] + ["frame_id"]
-    types = [T.IntegerType()] * 17 + [T.LongType()]
+    names = ["label"] + [f"pixel{i}" for i in range(1, 65)] + ["frame_id"]
+    types = [T.IntegerType()] * 65 + [T.LongType()]
     return IO.read_csv_headerless(spark, path, names, types)
 
 

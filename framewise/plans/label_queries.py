@@ -63,8 +63,8 @@ def letter_ordinal(spark, sf):
 
 
 @register("label_lookup", fixtures=("pred", "labels_dim"), sql="""
-SELECT p.sample_id, p.predicted, d.label_name, d.glyph
-FROM fx_pred p JOIN fx_labels_dim d ON d.label_id = p.predicted""")
+SELECT p.sample_id, p.predicted, coalesce(d.label_name, '?') AS label_name, coalesce(d.glyph, '?') AS glyph
+FROM fx_pred p LEFT JOIN fx_labels_dim d ON d.label_id = p.predicted""")
 def label_lookup(spark, sf):
     return L.lookup(fx.pred(spark, sf), fx.labels_dim(spark), "predicted") \
             .select("sample_id", "predicted", "label_name", "glyph")

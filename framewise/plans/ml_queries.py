@@ -15,6 +15,7 @@ from ..streaming import feeder
 from ..streaming import queries as SQ
 from .catalog import register
 from .geometry_queries import _B
+from .pixel_queries import _duck_bilinear
 
 
 def _training(spark, sf):
@@ -96,8 +97,8 @@ def predict_transcript(spark, sf):
     model, t = _rf_model(spark, sf)
     s = M.scored(model, t, keep=("frame_id",))
     fr = fx.frames(spark, sf).select("frame_id", "stream_name", "ts")
-    glyphs = F.broadcast(fx.labels_dim(spark).select(F.col("label_id").alias("prediction"), "glyph"))
-    return transcripts(s.join(fr, "frame_id").join(glyphs, "prediction"))
+    glyphs = fx.labels_dim(spark).select(F.col("label_id").alias("prediction"), "glyph")
+    return transcripts(L.lookup_as(s.join(fr, "frame_id"), glyphs, "prediction"))
 
 
 TRANSCRIPT_BLOCK = 64
@@ -120,8 +121,8 @@ def transcripts(lettered):
 
 @register("transcript_from_labels", fixtures=("frames", "labels_dim"), sql="""
 SELECT stream_name, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS minute,
-       string_agg(glyph, '' ORDER BY frame_id) AS line
-FROM fx_frames f JOIN fx_labels_dim d ON d.label_id = f.label GROUP BY ALL""")
+       string_agg(coalesce(glyph, '?'), '' ORDER BY frame_id) AS line
+FROM fx_frames f LEFT JOIN fx_labels_dim d ON d.label_id = f.label GROUP BY ALL""")
 def transcript_from_labels(spark, sf):
     """The join-and-concatenate step of the transcript on the true labels."""
     fr = fx.frames(spark, sf).select("frame_id", "stream_name", "ts", F.col("label").alias("label_id"))
@@ -152,8 +153,8 @@ def flagship_letters(spark, sf):
     scored = M.scored(model, t, keep=("frame_id",))
     glyphs = fx.labels_dim(spark).select(F.col("label_id").alias("prediction"),
                                          F.col("glyph").alias("letter"))
-    lettered = (scored.join(frames.select("frame_id", "stream_name", "ts"), "frame_id")
-                      .join(F.broadcast(glyphs), "prediction"))
+    lettered = L.lookup_as(scored.join(frames.select("frame_id", "stream_name", "ts"), "frame_id"), glyphs,
+                           "prediction")
     return B.mode_label(lettered, "letter").withColumnRenamed("mode_label", "letter")
 
 
@@ -185,14 +186,12 @@ def debug_stage_tee(spark, sf):
     return PR.debug_tee(fx.frames(spark, sf), fx.landmarks(spark, sf)).select("stage", "frame_id", "values")
 
 
-_GREY = ("list_transform(range(0, 16), lambda i: CAST((pixels[i * 3 + 1] * 114 + pixels[i * 3 + 2] * 587 "
-         "+ pixels[i * 3 + 3] * 299 + 500) // 1000 AS INT))")
+_GREY = ("list_transform(range(0, len(bgr) // 3), lambda i: CAST((bgr[i * 3 + 1] * 114 + bgr[i * 3 + 2] * 587 "
+         "+ bgr[i * 3 + 3] * 299 + 500) // 1000 AS INT))")
 
 
-@register("training_prep_pipeline", fixtures=("frames",), sql=f"""
-SELECT frame_id, label, list_transform(range(0, 4), lambda i:
-  (g[(i // 2) * 8 + (i % 2) * 2 + 1] + g[(i // 2) * 8 + (i % 2) * 2 + 2]
-   + g[(i // 2) * 8 + (i % 2) * 2 + 5] + g[(i // 2) * 8 + (i % 2) * 2 + 6])::DOUBLE / 4.0) AS pixels
-FROM (SELECT frame_id, label, {_GREY} AS g FROM fx_frames) t""")
+@register("training_prep_pipeline", fixtures=("frames", "pictures"), sql=f"""
+SELECT frame_id, label, {_duck_bilinear("height", "width", PR.OUT, PR.OUT)} AS pixels
+FROM (SELECT frame_id, label, height, width, {_GREY} AS pixels FROM fx_pictures) t""")
 def training_prep_pipeline(spark, sf):
-    return PR.training_rows(fx.frames(spark, sf))
+    return PR.training_rows(fx.pictures(spark, sf))

@@ -13,6 +13,8 @@ from .catalog import register
 H = W = 8
 N = H * W
 _F = ("frames",)
+_P = ("frames", "pictures")
+N_CLASSES = 29
 
 
 def _frames(spark, sf):
@@ -78,17 +80,17 @@ def split_label_features(spark, sf):
                        P.from_columns(*feature_cols).alias("features"))
 
 
-def _duck_bilinear(h: int, w: int, oh: int, ow: int) -> str:
+def _duck_bilinear(h: str, w: str, oh: int, ow: int) -> str:
     """DuckDB text of the half-pixel-centre bilinear resize: the same double
-    operations in the same order as the numpy kernel, rounded half to even."""
+    operations in the same order as the column expression, rounded half to even."""
     d = "::DOUBLE"
 
     def src(axis_i, n, on):
-        return f"least(greatest((({axis_i} + 0.5{d}) * {n}{d}) / {on}{d} - 0.5{d}, 0{d}), {n - 1}{d})"
+        return f"least(greatest((({axis_i} + 0.5{d}) * {n}{d}) / {on}{d} - 0.5{d}, 0{d}), ({n} - 1){d})"
 
     sy, sx = src("(i // %d)" % ow, h, oh), src("(i %% %d)" % ow, w, ow)
     y0, x0 = f"CAST(floor({sy}) AS BIGINT)", f"CAST(floor({sx}) AS BIGINT)"
-    y1, x1 = f"least({y0} + 1, {h - 1})", f"least({x0} + 1, {w - 1})"
+    y1, x1 = f"least({y0} + 1, {h} - 1)", f"least({x0} + 1, {w} - 1)"
     fy, fx = f"({sy} - {y0})", f"({sx} - {x0})"
 
     def px(y, x):
@@ -101,25 +103,26 @@ def _duck_bilinear(h: int, w: int, oh: int, ow: int) -> str:
             f"CAST(least(greatest({val}, 0), 255) AS INT))")
 
 
-@register("arr_resize", fixtures=_F, sql=f"SELECT frame_id, {_duck_bilinear(8, 8, 5, 5)} AS resized FROM fx_frames")
+@register("arr_resize", fixtures=_P,
+          sql=f"SELECT frame_id, {_duck_bilinear('height', 'width', 5, 5)} AS resized FROM fx_pictures")
 def arr_resize(spark, sf):
-    """Bilinear 8x8 -> 5x5 (numpy over each Arrow batch)."""
-    resize = P.bilinear_resize_udf(H, W, 5, 5)
-    return _frames(spark, sf).select("frame_id", resize("pixels").alias("resized"))
+    """Bilinear, each picture from its own height and width to 5x5."""
+    return fx.pictures(spark, sf).select(
+        "frame_id", P.bilinear_resize("pixels", "height", "width", 5, 5).alias("resized"))
 
 
-@register("rgb_swap", fixtures=_F, sql="""
-SELECT frame_id, list_transform(range(0, 48), lambda k: pixels[(k - k % 3) + 2 - k % 3 + 1]) AS rgb FROM fx_frames""")
+@register("rgb_swap", fixtures=_P, sql="""
+SELECT frame_id, list_transform(range(0, len(bgr)), lambda k: bgr[(k - k % 3) + 2 - k % 3 + 1]) AS rgb FROM fx_pictures""")
 def rgb_swap(spark, sf):
-    return _frames(spark, sf).select("frame_id", P.rgb_swap("pixels", 16).alias("rgb"))
+    return fx.pictures(spark, sf).select("frame_id", P.rgb_swap("bgr").alias("rgb"))
 
 
-@register("bgr_to_grey", fixtures=_F, sql="""
-SELECT frame_id, list_transform(range(0, 16), lambda i:
-  CAST((pixels[i * 3 + 1] * 114 + pixels[i * 3 + 2] * 587 + pixels[i * 3 + 3] * 299 + 500) // 1000 AS INT)) AS grey
-FROM fx_frames""")
+@register("bgr_to_grey", fixtures=_P, sql="""
+SELECT frame_id, list_transform(range(0, len(bgr) // 3), lambda i:
+  CAST((bgr[i * 3 + 1] * 114 + bgr[i * 3 + 2] * 587 + bgr[i * 3 + 3] * 299 + 500) // 1000 AS INT)) AS grey
+FROM fx_pictures""")
 def bgr_to_grey(spark, sf):
-    return _frames(spark, sf).select("frame_id", P.bgr_to_grey("pixels", 16).alias("grey"))
+    return fx.pictures(spark, sf).select("frame_id", P.bgr_to_grey("bgr").alias("grey"))
 
 
 @register("pixels_scale", fixtures=_F,
@@ -136,7 +139,7 @@ def pixels_clip(spark, sf):
 
 @register("pixels_stretch", fixtures=_F, sql="""
 SELECT frame_id, CASE WHEN list_max(pixels) > 0 THEN
-  list_transform(pixels, lambda p: CAST(trunc(p * 255.0::DOUBLE / list_max(pixels)) AS INT)) END AS stretched
+  list_transform(pixels, lambda p: CAST(trunc(p * 255.0::DOUBLE / list_max(pixels)) AS INT)) ELSE pixels END AS stretched
 FROM fx_frames""")
 def pixels_stretch(spark, sf):
     return _frames(spark, sf).select("frame_id", P.stretch("pixels").alias("stretched"))
@@ -157,11 +160,11 @@ def pixels_regroup(spark, sf):
     return FR.regroup(flat, N)
 
 
-@register("label_one_hot", fixtures=_F, sql="""
-SELECT frame_id, label, list_transform(range(0, 10), lambda i: CASE WHEN i = label THEN 1 ELSE 0 END) AS one_hot,
-       label AS decoded FROM fx_frames""")
+@register("label_one_hot", fixtures=_F, sql=f"""
+SELECT frame_id, label, list_transform(range(0, {N_CLASSES}), lambda i: CASE WHEN i = label THEN 1 ELSE 0 END) AS one_hot,
+       CASE WHEN label BETWEEN 0 AND {N_CLASSES - 1} THEN label END AS decoded FROM fx_frames""")
 def label_one_hot(spark, sf):
-    oh = _frames(spark, sf).select("frame_id", "label", P.one_hot("label", 10).alias("one_hot"))
+    oh = _frames(spark, sf).select("frame_id", "label", P.one_hot("label", N_CLASSES).alias("one_hot"))
     return oh.withColumn("decoded", P.argmax_decode("one_hot"))
 
 
@@ -177,13 +180,13 @@ def table_shape(spark, sf):
     return wide.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(wide.columns)))
 
 
-@register("frame_metadata", fixtures=_F, sql="""
-SELECT frame_id, CAST(to_json({'height': CAST(trunc(sqrt(len(pixels))) AS INT),
-                               'width': CAST(trunc(sqrt(len(pixels))) AS INT), 'channels': 1}) AS VARCHAR) AS metadata,
-       len(pixels) AS n_values
-FROM fx_frames""")
+@register("frame_metadata", fixtures=_P, sql="""
+SELECT frame_id, CAST(to_json({'height': height, 'width': width,
+                               'channels': CAST(len(bgr) // (height * width) AS INT)}) AS VARCHAR) AS metadata,
+       len(bgr) AS n_values
+FROM fx_pictures""")
 def frame_metadata(spark, sf):
-    side = F.sqrt(F.size("pixels")).cast("int")
-    meta = F.struct(side.alias("height"), side.alias("width"), F.lit(1).alias("channels"))
-    return _frames(spark, sf).select("frame_id", F.to_json(meta).alias("metadata"),
-                                     F.size("pixels").cast("bigint").alias("n_values"))
+    channels = (F.size("bgr") / (F.col("height") * F.col("width"))).cast("int")
+    meta = F.struct("height", "width", channels.alias("channels"))
+    return fx.pictures(spark, sf).select("frame_id", F.to_json(meta).alias("metadata"),
+                                         F.size("bgr").cast("bigint").alias("n_values"))

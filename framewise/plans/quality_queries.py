@@ -12,7 +12,7 @@ from ..sources import fixtures as fx
 from ..sources.tables import table
 from .catalog import register
 
-CLASSES = list(range(10))
+CLASSES = list(range(29))
 _K = """x AS (SELECT actual AS cls, 1 AS ap, 0 AS pp, CASE WHEN actual = predicted THEN 1 ELSE 0 END AS tp FROM fx_pred
            UNION ALL SELECT predicted, 0, 1, 0 FROM fx_pred),
 k AS (SELECT cls, CAST(sum(tp) AS DOUBLE) AS tp, CAST(sum(pp) AS DOUBLE) AS pp, CAST(sum(ap) AS DOUBLE) AS ap
@@ -27,7 +27,8 @@ _BAD_TEXT = "event_id % 50 = 7"
 
 @register("confusion_matrix", fixtures=("pred",), sql=f"""
 WITH cls AS (SELECT actual AS c FROM fx_pred UNION SELECT predicted FROM fx_pred)
-SELECT c AS actual, {", ".join(f"count(p.sample_id) FILTER (WHERE p.predicted = {c}) AS p_{c}" for c in CLASSES)}
+SELECT c AS actual, {", ".join(f"count(p.sample_id) FILTER (WHERE p.predicted = {c}) AS p_{c}" for c in CLASSES)},
+  count(p.sample_id) FILTER (WHERE p.predicted IS NULL OR p.predicted NOT IN ({", ".join(map(str, CLASSES))})) AS p_other
 FROM cls LEFT JOIN fx_pred p ON p.actual = cls.c GROUP BY c""")
 def confusion_matrix(spark, sf):
     return Q.confusion(fx.pred(spark, sf), CLASSES)
@@ -111,8 +112,8 @@ def union_bursts(spark, sf):
 
 
 @register("burst_max_letter", fixtures=("frames", "labels_dim"), sql=f"""
-SELECT stream_name, {_BURST} AS burst, max(d.glyph) AS max_letter
-FROM fx_frames f JOIN fx_labels_dim d ON d.label_id = f.label GROUP BY ALL""")
+SELECT stream_name, {_BURST} AS burst, max(coalesce(d.glyph, '?')) AS max_letter
+FROM fx_frames f LEFT JOIN fx_labels_dim d ON d.label_id = f.label GROUP BY ALL""")
 def burst_max_letter(spark, sf):
     fr = B.with_burst(fx.frames(spark, sf))
     glyphs = fx.labels_dim(spark).select(F.col("label_id").alias("label"), F.col("glyph").alias("letter"))

@@ -45,13 +45,11 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
     """Settings for a cluster run over ``input_bytes`` of input.
 
     Shuffle partitions start at about one per ``target_partition_bytes`` of
-    input, between two and twenty waves of cores (map statuses grow with
-    maps x reducers, so the count is capped; pruning and filters make the
-    shuffled bytes much smaller than the input).  AQE coalesces them to the
+    input, two waves of cores at least.  AQE coalesces them to the
     advisory size from measured map output and splits skewed join partitions.
     File splits stay at 256 MB so a scan task holds one row-group window."""
     cores = executors * cores_per_executor
-    partitions = min(20 * cores, max(2 * cores, input_bytes // target_partition_bytes))
+    partitions = max(2 * cores, input_bytes // target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "true",

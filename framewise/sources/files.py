@@ -66,14 +66,16 @@ def read_binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFr
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
 
 
-def read_images(spark: SparkSession, path: str, drop_invalid: bool = True) -> DataFrame:
-    """Decoded images: ``image.origin/height/width/nChannels/mode/data`` (BGR)."""
+def read_images(spark: SparkSession, path: str, drop_invalid: bool = False) -> DataFrame:
+    """Decoded images: ``image.origin/height/width/nChannels/mode/data`` (BGR); a file that cannot be
+    decoded stays, with height -1."""
     return spark.read.format("image").option("dropInvalid", drop_invalid).load(path)
 
 
 def image_pixels(images: DataFrame) -> DataFrame:
-    """Flatten the image struct and turn its bytes into ``pixels ARRAY<INT>``."""
+    """Flatten the image struct and turn its bytes into ``pixels ARRAY<INT>``; undecodable
+    files are flagged ``is_reject``."""
     return images.select(
         F.col("image.origin").alias("origin"), F.col("image.height").alias("height"),
         F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"),
-        bytes_to_ints(F.col("image.data")).alias("pixels"))
+        bytes_to_ints(F.col("image.data")).alias("pixels"), (F.col("image.height") < 0).alias("is_reject"))

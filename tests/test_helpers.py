@@ -95,7 +95,7 @@ def test_approx_quartiles_equal_exact_at_high_accuracy(spark, sf_dir):
 def test_cluster_conf_sizes_partitions():
     from framewise.session import cluster_conf
     c = cluster_conf(100 * 2 ** 40, executors=1000, cores_per_executor=4)
-    assert int(c["spark.sql.shuffle.partitions"]) == 80_000   # capped at 20 waves
+    assert int(c["spark.sql.shuffle.partitions"]) == 409_600   # one per 256 MB
     small = cluster_conf(10 * 2 ** 30, executors=10)
     assert int(small["spark.sql.shuffle.partitions"]) == 80    # at least 2 waves
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -32,7 +32,7 @@ def test_explode_then_regroup_is_identity(spark, sf_dir):
 
 def test_one_hot_then_argmax_is_identity(spark, sf_dir):
     fr = fx.frames(spark, sf_dir)
-    bad = fr.where(P.argmax(P.one_hot("label", 10)) != F.col("label")).count()
+    bad = fr.where(P.argmax(P.one_hot("label", 29)) != F.col("label")).count()
     assert bad == 0
 
 
@@ -61,19 +61,55 @@ def test_no_hand_frames_get_picture_centre(spark, sf_dir):
 @given(st.lists(st.integers(0, 255), min_size=48, max_size=48))
 def test_grey_matches_integer_luma(spark, px):
     df = spark.createDataFrame([(px,)], "pixels array<int>")
-    got = df.select(P.bgr_to_grey("pixels", 16).alias("g")).first().g
+    got = df.select(P.bgr_to_grey("pixels").alias("g")).first().g
     a = np.array(px).reshape(16, 3)
     want = ((a[:, 0] * 114 + a[:, 1] * 587 + a[:, 2] * 299 + 500) // 1000).tolist()
     assert got == want
 
 
-def test_bilinear_resize_keeps_constant_frames_and_shape():
-    flat = np.full(64, 77)
-    out = P._bilinear(flat, 8, 8, 5, 5)
-    assert out.shape == (25,) and (out == 77).all()
-    ramp = np.tile(np.arange(8) * 10, 8)
-    out = P._bilinear(ramp, 8, 8, 4, 4).reshape(4, 4)
-    assert (np.diff(out, axis=1) > 0).all()
+def _bilinear(px, h, w, oh, ow):
+    img = np.array(px, dtype=float).reshape(h, w)
+    sy = np.clip((np.arange(oh) + 0.5) * h / oh - 0.5, 0, h - 1)
+    sx = np.clip((np.arange(ow) + 0.5) * w / ow - 0.5, 0, w - 1)
+    y0, x0 = np.floor(sy).astype(int), np.floor(sx).astype(int)
+    y1, x1 = np.minimum(y0 + 1, h - 1), np.minimum(x0 + 1, w - 1)
+    fy, fx = (sy - y0)[:, None], (sx - x0)[None, :]
+    top = img[y0][:, x0] * (1 - fx) + img[y0][:, x1] * fx
+    bottom = img[y1][:, x0] * (1 - fx) + img[y1][:, x1] * fx
+    return np.clip(np.rint(top * (1 - fy) + bottom * fy), 0, 255).astype(int).ravel().tolist()
+
+
+def test_bilinear_resize_takes_any_shape(spark):
+    rng = np.random.default_rng(5)
+    rows = [(h, w, rng.integers(0, 256, h * w).tolist()) for h, w in [(8, 8), (7, 7), (1, 9), (4, 16), (3, 2)]]
+    df = spark.createDataFrame([*rows, (8, 8, None), (8, 8, [77] * 64)], "h int, w int, px array<int>")
+    got = df.select("h", "w", "px", P.bilinear_resize("px", "h", "w", 5, 4).alias("r")).collect()
+    for r in got:
+        assert r.r == (None if r.px is None else _bilinear(r.px, r.h, r.w, 5, 4))
+
+
+def test_odd_inputs_keep_every_row(spark):
+    from framewise.operators import labels as L
+    from framewise.operators import quality as Q
+    from framewise.operators import survey as S
+    pairs = spark.createDataFrame([(1, 1), (1, 12), (2, 40), (2, None)], "actual int, predicted int")
+    m = {r.actual: r.asDict() for r in Q.confusion(pairs, list(range(29))).collect()}
+    assert m[1]["p_1"] == 1 and m[1]["p_12"] == 1 and m[2]["p_other"] == 2
+    named = L.lookup(pairs, fx.labels_dim(spark), "predicted").collect()
+    assert len(named) == 4 and sorted(r.glyph for r in named) == ["?", "?", "B", "M"]
+    one = spark.createDataFrame([(28,), (29,)], "label int").select("label", P.one_hot("label", 29).alias("v"))
+    assert [r.d for r in one.orderBy("label").select(P.argmax_decode("v").alias("d")).collect()] == [28, None]
+    facts = spark.createDataFrame([("Ages 6 to 11", s, "Hearing loss", float(v)) for s in ("Females", "Both sexes")
+                                   for v in (1, 3)], "Age_group string, Sex string, Categories string, VALUE double")
+    assert [tuple(r) for r in S.cv_pivot(facts).collect()] == [("Ages 6 to 11", 0.5, None, 0.5)]
+    pooled = spark.createDataFrame([(list(range(9)),)], "px array<int>").select(P.pool_mean("px", 3, 3, 2).alias("p"))
+    assert pooled.first().p == [2.0, 3.5, 6.5, 8.0]
+
+
+def test_broken_picture_is_flagged(spark):
+    root = fresh_path(spark, "broken")
+    spark.createDataFrame([("not a picture",)], "value string").coalesce(1).write.text(root)
+    assert [r.is_reject for r in IO.image_pixels(IO.read_images(spark, root)).collect()] == [True]
 
 
 def test_png_golden_rgb_decodes_to_bgr(spark):
@@ -115,29 +151,18 @@ def test_pixel_ops_match_numpy(spark, px, y0, h, x0, w):
     r = df.select(
         P.crop("pixels", 8, y0, y1, x0, x1).alias("crop"),
         P.pool_mean("pixels", 8, 8, 2).alias("pool"),
-        P.rgb_swap("pixels", 16).alias("rgb"),
+        P.rgb_swap(F.slice("pixels", 1, 63)).alias("rgb"),
         P.stretch("pixels").alias("stretch"),
         P.argmax("pixels").alias("am"),
         P.nearest_resize("pixels", 8, F.lit(y0), F.lit(y1), F.lit(x0), F.lit(x1), 4, 4).alias("nn"),
     ).first()
     assert r.crop == a[y0:y1, x0:x1].tolist()
     assert r.pool == a.reshape(4, 2, 4, 2).mean(axis=(1, 3)).ravel().tolist()
-    bgr = np.array(px[:48]).reshape(16, 3)
+    bgr = np.array(px[:63]).reshape(21, 3)
     assert r.rgb == bgr[:, ::-1].ravel().tolist()
     m = a.max()
-    assert r.stretch == (None if m == 0 else (a.ravel() * 255.0 / m).astype(int).tolist())
+    assert r.stretch == (px if m == 0 else (a.ravel() * 255.0 / m).astype(int).tolist())
     assert r.am == int(np.argmax(a.ravel()))
     rows = [y0 + (i * (y1 - y0)) // 4 for i in range(4)]
     cols = [x0 + (j * (x1 - x0)) // 4 for j in range(4)]
     assert r.nn == a[np.ix_(rows, cols)].ravel().tolist()
-
-
-def test_resize_udf_equals_per_frame_numpy(spark, sf_dir):
-    fr = fx.frames(spark, sf_dir).select("frame_id", "pixels").orderBy("frame_id").limit(40)
-    fr = fr.unionByName(spark.createDataFrame([(10 ** 9, None)], "frame_id bigint, pixels array<int>"))
-    got = fr.select("frame_id", "pixels", P.bilinear_resize_udf(8, 8, 5, 5)("pixels").alias("r")).collect()
-    for row in got:
-        if row.pixels is None:
-            assert row.r is None
-        else:
-            assert row.r == P._bilinear(np.array(row.pixels), 8, 8, 5, 5).tolist()
