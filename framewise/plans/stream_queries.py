@@ -10,8 +10,6 @@ from ..streaming import feeder
 from ..streaming import queries as SQ
 from .catalog import register
 
-_CLOSED = """m AS (SELECT max(ts) - INTERVAL 10 SECOND AS wm FROM {src})"""
-
 
 def _bursts(spark, sf):
     return feeder.write_bursts(fx.frames(spark, sf), fresh_path(spark, "bursts-in"))
@@ -24,15 +22,13 @@ def stream_max_letter(spark, sf):
     return SQ.latest_per_key(spark, SQ.run_update(agg, "max-letter"), ["user_id"])
 
 
-@register("stream_window_append", sql=f"""
-WITH w AS (SELECT date_trunc('hour', ts) AS ws, event_type, count(*) AS n FROM events GROUP BY ALL),
-{_CLOSED.format(src="events")}
-SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, n
-FROM w JOIN m ON ws + INTERVAL 1 HOUR <= m.wm""")
+@register("stream_window_append", sql="""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n
+FROM events GROUP BY ALL""")
 def stream_window_append(spark, sf):
-    """Hourly counts per event type; only windows closed by the watermark."""
+    """Hourly counts per event type, upserted per batch; the watermark evicts closed windows."""
     counts = SQ.windowed_counts(SQ.events_stream(spark, sf), "ts", "1 hour", ["event_type"])
-    return spark.read.parquet(SQ.run_append(counts, kind="window-append"))
+    return SQ.latest_per_key(spark, SQ.run_update(counts, "window-counts"), ["window_start", "event_type"])
 
 
 @register("stream_pixel_explode", fixtures=("frames",), sql="""
@@ -48,27 +44,23 @@ def stream_pixel_explode(spark, sf):
     return spark.read.schema("frame_id BIGINT, pos INT, pixel INT").option("header", "true").csv(out)
 
 
-@register("stream_multi_source", fixtures=("frames",), sql=f"""
-WITH w AS (SELECT stream_name, date_trunc('second', ts) AS ws, count(*) AS n, max(label) AS max_label
-           FROM fx_frames GROUP BY ALL),
-{_CLOSED.format(src="fx_frames")}
-SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, stream_name, n, max_label
-FROM w JOIN m ON ws + INTERVAL 1 SECOND <= date_trunc('second', m.wm)""")
+@register("stream_multi_source", fixtures=("frames",), sql="""
+SELECT strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS window_start, stream_name, count(*) AS n,
+       max(label) AS max_label
+FROM fx_frames GROUP BY ALL""")
 def stream_multi_source(spark, sf):
     """All streams in one query: ``stream_name`` (the partition folder) is a
     key of the one-second windows."""
     stream = SQ.burst_stream(spark, _bursts(spark, sf))
     counts = SQ.windowed_counts(stream, "timestamp", "1 second", ["stream_name"],
                                 {"max_label": F.max("label")})
-    return spark.read.parquet(SQ.run_append(counts, kind="multi-source"))
+    return SQ.latest_per_key(spark, SQ.run_update(counts, "multi-source"), ["window_start", "stream_name"])
 
 
-@register("stream_late_data", fixtures=("frames",), sql=f"""
-WITH h AS (SELECT * FROM fx_frames WHERE frame_id >= (SELECT count(*) FROM fx_frames) // 2),
-w AS (SELECT stream_name, date_trunc('second', ts) AS ws, count(*) AS n FROM h GROUP BY ALL),
-{_CLOSED.format(src="h")}
-SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, stream_name, n
-FROM w JOIN m ON ws + INTERVAL 1 SECOND <= date_trunc('second', m.wm)""")
+@register("stream_late_data", fixtures=("frames",), sql="""
+WITH h AS (SELECT * FROM fx_frames WHERE frame_id >= (SELECT count(*) FROM fx_frames) // 2)
+SELECT strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS window_start, stream_name, count(*) AS n
+FROM h GROUP BY ALL""")
 def stream_late_data(spark, sf):
     """Two arrivals, out of order.  The later half of the frames lands and is
     processed first; the query then restarts from its checkpoint when the
@@ -81,5 +73,5 @@ def stream_late_data(spark, sf):
         feeder.write_bursts(arrival, root)
         counts = SQ.windowed_counts(SQ.burst_stream(spark, root), "timestamp", "1 second",
                                     ["stream_name"])
-        SQ.run_append(counts, out=out, checkpoint=ckpt)
-    return spark.read.parquet(out)
+        SQ.run_update(counts, out=out, checkpoint=ckpt)
+    return SQ.latest_per_key(spark, out, ["window_start", "stream_name"])

@@ -76,7 +76,8 @@ def max_letter_per_key(stream: DataFrame, key: str, letter: str, ts: str) -> Dat
 def windowed_counts(stream: DataFrame, ts: str, size: str, keys: list[str],
                     extra_aggs: dict | None = None) -> DataFrame:
     """Tumbling event-time windows with a watermark: state is dropped once a
-    window closes, and append mode emits each window exactly once.
+    window closes; append mode emits each closed window exactly once, update
+    mode every change.
     ``extra_aggs`` maps output names to aggregate Columns."""
     extra = extra_aggs or {}
     aggs = [F.count(F.lit(1)).alias("n")] + [c.alias(name) for name, c in extra.items()]
@@ -131,16 +132,18 @@ def run_append_parallel(sinks: list[tuple[DataFrame, str, dict | None, str]]) ->
     return [out for _, out in started]
 
 
-def run_update(df: DataFrame, kind: str = "stream-upsert") -> str:
-    """Update-mode aggregate -> one Parquet folder per batch id."""
+def run_update(df: DataFrame, kind: str = "stream-upsert", out: str | None = None,
+               checkpoint: str | None = None) -> str:
+    """Update-mode aggregate -> one Parquet folder per batch id; windows that are still open at the
+    end of the input come out too.  Passing the ``out``/``checkpoint`` of an earlier run resumes it."""
     spark = df.sparkSession
-    out = fresh_path(spark, kind)
+    out = out or fresh_path(spark, kind)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
 
     q = (df.writeStream.outputMode("update").foreachBatch(upsert)
-           .option("checkpointLocation", fresh_path(spark, kind + "-ckpt"))
+           .option("checkpointLocation", checkpoint or fresh_path(spark, kind + "-ckpt"))
            .trigger(availableNow=True).start())
     _check(q)
     return out
