@@ -1,8 +1,8 @@
 """Connected components of an edge table by alternating large and small stars.
 
 Every round is joins and partial aggregates on plain rows: no adjacency list is ever collected, so a
-node with a third of all links costs no more than its rows (skewed join partitions are split by
-AQE).  The number of rounds grows with the logarithm of the longest path.
+node with a third of all links costs no more than its rows (the aggregated side of each join is
+written first, so AQE can split the skewed partitions of the other).  The number of rounds grows with the logarithm of the longest path.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, saved
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
@@ -23,10 +23,10 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     before = None
     for _ in range(rounds):
         both = cur.unionAll(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = saved(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
-        root = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = saved(large.distinct(), "large")
+        root = saved(large.groupBy("u").agg(F.min("v").alias("m")), "roots")
         small = large.join(root, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         cur = checkpointed(small.unionAll(root.select("u", F.col("m").alias("v"))).distinct())
         now = cur.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"),

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, unique_name
+from .common import checkpointed, saved, unique_name
 from .components import components
 
 PIVOTS = [xxhash.xxh64_intdigest(b"reference %d" % i) for i in range(16)]
@@ -149,7 +149,8 @@ def links(fps: DataFrame, max_bits: int, tile: int = TILE) -> DataFrame:
     """(a, b): links between the distinct fingerprints of ``fps`` whose transitive closure is that
     of all pairs at ``max_bits`` or fewer differing bits."""
     rows = _buckets(fps, max_bits)
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, so that the join has a plain shuffle on both sides and AQE can split a large bucket
+    sizes = saved(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     blocks = F.ceil(F.col("n") / F.lit(tile)).cast("int")
     placed = (rows.join(sizes, "key").withColumn("blocks", blocks)
                   .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")))
@@ -196,11 +197,12 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     linked = components(links(distinct.select("fp"), max_bits, tile))
     linked = checkpointed(linked)
     members = linked.unionAll(linked.select(F.col("root").alias("node"), "root").distinct())
-    named = members.join(distinct, F.col("node") == F.col("fp")).select("fp", "root", "least")
-    names = named.groupBy("root").agg(F.min("least").alias("name"))
+    named = saved(members.join(distinct, F.col("node") == F.col("fp")).select("fp", "root", "least"), "members")
+    # the aggregated side of each join is written: AQE then splits the other side's hot keys
+    names = saved(named.groupBy("root").agg(F.min("least").alias("name")), "names")
     named = named.join(names, "root").select("fp", "name")
-    label = (distinct.join(named, "fp", "left")
-                     .select("fp", F.coalesce("name", "least").alias("component_id")))
+    label = saved(distinct.join(named, "fp", "left")
+                          .select("fp", F.coalesce("name", "least").alias("component_id")), "labels")
     return (docs.join(label, "fp")
                 .select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                         "component_id"))
