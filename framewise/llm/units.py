@@ -64,6 +64,7 @@ def repeated_units(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     place = F.struct("id", "key", "pos")
     first = (found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                   .where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first"))
+    first = saved(first, "first")  # a plain shuffle on both sides of the join: AQE can split a hot digest
     later = found.join(first, "digest").where(~place.eqNullSafe(F.col("first"))) \
                  .select("id", "key", "pos", "unit", "words", "start", "end").distinct()
     # lines that follow each other (blank ones between them aside) differ from their rank by the same number
