@@ -87,6 +87,7 @@ def removed_words(df: DataFrame, id_col: str, text_col: str, host_col: str, max_
                        F.size(words(F.col("line"))).alias("n"))
     held = saved(held.groupBy("h", "id", "key", "row").agg(F.sum("n").alias("n")), "hostlines")
     frequent = held.groupBy("h").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > max_docs)
+    frequent = saved(frequent.select("h"), "frequent")  # so that AQE can split the other side of the join
     lost = held.join(frequent, "h", "left_semi").groupBy("id", "key", "row").agg(F.sum("n").alias("removed"))
     return lost.groupBy("id", "key").agg(F.max("removed").alias("removed"))  # repeated rows are alike
 
