@@ -3,26 +3,24 @@
 * The /255 scaling is a pipeline stage, so the saved ``PipelineModel``
   applies the same preprocessing at serving time as at training time.
 * Splits are keyed (md5 of the frame id), so they are stable across runs.
-* Foreign models are served with ``predict_batch_udf``: one model build per
-  Python worker, Arrow batches in, numpy out.
+* The checkable fixed-weight scorer and the served model are in
+  ``operators.scoring``.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import ElementwiseProduct, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, predict_batch_udf
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import keyed_bucket
 
@@ -120,47 +118,3 @@ def label_indexer(input_col: str, output_col: str) -> StringIndexer:
 def save_and_load(model: PipelineModel, path: str) -> PipelineModel:
     model.write().overwrite().save(path)
     return PipelineModel.load(path)
-
-
-# ---- foreign model served through predict_batch_udf ----
-
-def mlp_weights(model: PipelineModel) -> tuple[list[int], np.ndarray]:
-    m = model.stages[-1]
-    return list(m.getLayers()), m.weights.toArray()
-
-
-def mlp_forward(weights: np.ndarray, layers: list[int], x: np.ndarray) -> np.ndarray:
-    """Spark's perceptron: affine layers (column-major out x in weights, then
-    bias), sigmoid between layers, softmax at the end."""
-    off = 0
-    a = x
-    for k in range(len(layers) - 1):
-        nin, nout = layers[k], layers[k + 1]
-        w = weights[off:off + nin * nout].reshape(nin, nout)
-        off += nin * nout
-        b = weights[off:off + nout]
-        off += nout
-        z = a @ w + b
-        if k < len(layers) - 2:
-            a = 1.0 / (1.0 + np.exp(-z))
-        else:
-            z = z - z.max(axis=1, keepdims=True)
-            e = np.exp(z)
-            a = e / e.sum(axis=1, keepdims=True)
-    return a
-
-
-def perceptron_udf(layers: list[int], weights: np.ndarray, batch_size: int = 1024):
-    """``predict_batch_udf`` scoring raw pixel arrays with exported weights
-    (bounded by the architecture, a few thousand doubles)."""
-    w = np.asarray(weights, dtype=np.float64)
-    n_in = layers[0]
-
-    def make_predict_fn():
-        def predict(x: np.ndarray) -> np.ndarray:
-            probs = mlp_forward(w, layers, x.reshape(-1, n_in) / 255.0)
-            return probs.argmax(axis=1).astype(np.int32)
-        return predict
-
-    return predict_batch_udf(make_predict_fn, return_type=T.IntegerType(), batch_size=batch_size,
-                             input_tensor_shapes=[[n_in]])

@@ -27,20 +27,22 @@ def _grid(v, scale: int, size: int):
 
 
 def hand_crops(frames: DataFrame, landmarks: DataFrame, side: int = 8,
-               width: int = G.FRAME_W, height: int = G.FRAME_H, tee: str | None = None) -> DataFrame:
+               width: int = G.FRAME_W, height: int = G.FRAME_H, tee: str | None = None,
+               keep: tuple[str, ...] = ()) -> DataFrame:
     """``(frame_id, pixels)``: the square hand box of each frame, mapped onto
-    its ``side x side`` grid and resampled to OUT x OUT (nearest).
+    its ``side x side`` grid and resampled to OUT x OUT (nearest).  ``keep``
+    carries further frame columns through the same join.
 
     With ``tee`` the intermediate stage rows (box, crop) are also written as
     Parquet under that folder for inspection."""
-    boxes = G.boxes_for_frames(frames, landmarks, keep=("pixels",))
+    boxes = G.boxes_for_frames(frames, landmarks, keep=("pixels", *keep))
     gx0 = _grid(F.col("sx0"), side, width)
     gy0 = _grid(F.col("sy0"), side, height)
     gx1 = F.greatest(gx0 + 1, F.ceil(F.col("sx1") * side / width).cast("int"))
     gy1 = F.greatest(gy0 + 1, F.ceil(F.col("sy1") * side / height).cast("int"))
-    gridded = boxes.select("frame_id", "pixels", gx0.alias("gx0"), gy0.alias("gy0"),
+    gridded = boxes.select("frame_id", *keep, "pixels", gx0.alias("gx0"), gy0.alias("gy0"),
                            F.least(gx1, F.lit(side)).alias("gx1"), F.least(gy1, F.lit(side)).alias("gy1"))
-    out = gridded.select("frame_id", P.nearest_resize(
+    out = gridded.select("frame_id", *keep, P.nearest_resize(
         "pixels", side, F.col("gy0"), F.col("gy1"), F.col("gx0"), F.col("gx1"), OUT, OUT).alias("pixels"),
         F.array("gx0", "gy0", "gx1", "gy1").alias("box"))
     if tee:
@@ -48,7 +50,7 @@ def hand_crops(frames: DataFrame, landmarks: DataFrame, side: int = 8,
         rows = F.array(F.struct(F.lit("box").alias("stage"), "frame_id", F.col("box").alias("values")),
                        F.struct(F.lit("crop").alias("stage"), "frame_id", F.col("pixels").alias("values")))
         out.select(F.inline(rows)).write.mode("overwrite").partitionBy("stage").parquet(tee)
-    return out.select("frame_id", "pixels")
+    return out.select("frame_id", *keep, "pixels")
 
 
 def debug_tee(frames: DataFrame, landmarks: DataFrame) -> DataFrame:

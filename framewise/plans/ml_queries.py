@@ -1,5 +1,5 @@
 """Registered model queries (rows-only where the result depends on a fitted
-model) and the frame-preparation flows (checked in SQL)."""
+model), the scoring flows and the frame-preparation flows (checked in SQL)."""
 
 from __future__ import annotations
 
@@ -9,7 +9,9 @@ from ..operators import bursts as B
 from ..operators import labels as L
 from ..operators import ml as M
 from ..operators import prep as PR
-from ..session import fresh_path, shared_dir
+from ..operators import quality as Q
+from ..operators import scoring as SC
+from ..session import fresh_path
 from ..sources import fixtures as fx
 from ..streaming import feeder
 from ..streaming import queries as SQ
@@ -63,42 +65,77 @@ def ml_label_index(spark, sf):
     return model.transform(names)
 
 
-@register("ml_save_load")
+@register("ml_save_load", fixtures=("frames",), sql="""
+SELECT frame_id, true AS agree FROM fx_frames
+WHERE ('0x' || substr(md5(CAST(frame_id AS VARCHAR)), 1, 8))::UBIGINT % 100 >= 75""")
 def ml_save_load(spark, sf):
-    """Fit, save to the shared folder, load back and score the held-out rows."""
+    """Fit, save to the shared folder, load back: per held-out row, do both models agree?"""
     model, t = _rf_model(spark, sf)
     loaded = M.save_and_load(model, fresh_path(spark, "model-rf"))
-    return _held_out(loaded, t)
+    fitted = model.transform(t.where("NOT is_train")).select("frame_id", "pixels", F.col("prediction").alias("fitted"))
+    return loaded.transform(fitted).select("frame_id", (F.col("fitted") == F.col("prediction")).alias("agree"))
 
 
-@register("predict_batch")
+@register("ml_evaluate")
+def ml_evaluate(spark, sf):
+    """Per-class report of the fitted forest on the held-out rows."""
+    model, t = _rf_model(spark, sf)
+    held = _held_out(model, t).withColumn("target", F.col("target").cast("int"))
+    return Q.report(held, actual="target", predicted="prediction")
+
+
+# Oracle text of operators.scoring.linear_class: 29 integer scores, smallest class of the highest.
+def _duck_linear(px: str) -> str:
+    scores = (f"list_transform(range(0, 29), lambda k: list_sum(list_transform(range(0, len({px})), lambda i: "
+              f"CAST({px}[i + 1] AS BIGINT) * ((i * (2 * k + 1) + 7 * k) % 23 - 11))))")
+    return f"CAST(list_position({scores}, list_max({scores})) - 1 AS INT)"
+
+
+_SCORED = f"""SELECT s.*, coalesce(d.glyph, '?') AS glyph FROM (
+  SELECT frame_id, stream_name, ts, label, {_duck_linear("pixels")} AS prediction FROM fx_frames) s
+LEFT JOIN fx_labels_dim d ON d.label_id = s.prediction"""
+
+
+def _lettered(spark, scored):
+    """Scored rows with the class glyph (29-row dictionary, broadcast)."""
+    glyphs = fx.labels_dim(spark).select(F.col("label_id").alias("prediction"), "glyph")
+    return L.lookup_as(scored, glyphs, "prediction")
+
+
+def _scored_frames(spark, sf):
+    return _lettered(spark, SC.linear_model().transform(fx.frames(spark, sf)))
+
+
+@register("predict_batch", fixtures=("frames", "labels_dim"), sql=f"SELECT frame_id, prediction, glyph FROM ({_SCORED}) t")
 def predict_batch(spark, sf):
     """Score every frame and attach the class name (broadcast dictionary)."""
-    model, t = _rf_model(spark, sf)
-    s = M.scored(model, t, keep=("frame_id",))
-    return L.lookup(s, fx.labels_dim(spark), "prediction").select("frame_id", "prediction", "glyph")
+    return _scored_frames(spark, sf).select("frame_id", "prediction", "glyph")
 
 
-@register("udf_predict_batch")
+@register("udf_predict_batch", fixtures=("frames", "labels_dim"), sql=f"SELECT frame_id, prediction FROM ({_SCORED}) t")
 def udf_predict_batch(spark, sf):
-    """The fitted perceptron exported as plain weights and served through
-    ``predict_batch_udf`` (Arrow batches, one model build per worker)."""
-    t = _training(spark, sf)
-    model = M.fit(M.mlp(), t.where("is_train"))
-    layers, weights = M.mlp_weights(model)
-    score = M.perceptron_udf(layers, weights)
-    return t.select("frame_id", score(F.col("pixels").cast("array<double>")).alias("prediction"))
+    """An outside numpy model served through ``predict_batch_udf`` (Arrow
+    batches, one model build per worker)."""
+    score = SC.served_udf(n_pixels=64)
+    return fx.frames(spark, sf).select("frame_id", score(F.col("pixels").cast("array<double>")).alias("prediction"))
 
 
-@register("predict_transcript")
+@register("pred_truth_pairs", fixtures=("frames", "labels_dim"), sql=f"""
+SELECT frame_id, label AS actual, prediction, label = prediction AS hit FROM ({_SCORED}) t""")
+def pred_truth_pairs(spark, sf):
+    """Predictions paired with the true labels by key, not by row position."""
+    truth = fx.frames(spark, sf).select("frame_id", F.col("label").alias("actual"))
+    pairs = truth.join(_scored_frames(spark, sf).select("frame_id", "prediction"), "frame_id")
+    return pairs.withColumn("hit", F.col("actual") == F.col("prediction"))
+
+
+@register("predict_transcript", fixtures=("frames", "labels_dim"), sql=f"""
+SELECT stream_name, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS minute,
+       string_agg(glyph, '' ORDER BY frame_id) AS line FROM ({_SCORED}) t GROUP BY ALL""")
 def predict_transcript(spark, sf):
     """Predicted letters joined into one line per stream and minute, in frame
     order."""
-    model, t = _rf_model(spark, sf)
-    s = M.scored(model, t, keep=("frame_id",))
-    fr = fx.frames(spark, sf).select("frame_id", "stream_name", "ts")
-    glyphs = fx.labels_dim(spark).select(F.col("label_id").alias("prediction"), "glyph")
-    return transcripts(L.lookup_as(s.join(fr, "frame_id"), glyphs, "prediction"))
+    return transcripts(_scored_frames(spark, sf))
 
 
 TRANSCRIPT_BLOCK = 64
@@ -129,33 +166,41 @@ def transcript_from_labels(spark, sf):
     return transcripts(L.lookup(fr, fx.labels_dim(spark), "label_id"))
 
 
-@register("stream_predict")
+def _burst_letters(spark, root, max_files=None):
+    """The burst file stream, scored and lettered."""
+    stream = SQ.burst_stream(spark, root, max_files).withColumnRenamed("Pixels", "pixels")
+    return _lettered(spark, SC.linear_model().transform(stream))
+
+
+@register("stream_predict", fixtures=("frames", "labels_dim"), sql=f"""
+SELECT frame_id, concat(stream_name, '_', strftime(ts, '%Y%m%d%H%M%S')) AS burst,
+       strftime(ts, '%Y%m%d %H:%M:%S') AS time, prediction, glyph FROM ({_SCORED}) t""")
 def stream_predict(spark, sf):
-    """The batch-fitted model applied to the burst file stream."""
-    model, _ = _rf_model(spark, sf)
+    """The model applied to the burst file stream, with file name, time and letter."""
     root = feeder.write_bursts(fx.frames(spark, sf), fresh_path(spark, "bursts-in"))
-    stream = SQ.burst_stream(spark, root).withColumnRenamed("Pixels", "pixels")
-    scored = model.transform(stream).select("frame_id", "stream_name",
-                                            F.col("prediction").cast("int").alias("prediction"))
-    return spark.read.parquet(SQ.run_append(scored, kind="stream-predict"))
+    rows = _burst_letters(spark, root, max_files=BATCH_FILES).select(
+        "frame_id", F.col("Filename").alias("burst"), F.col("Time").alias("time"), "prediction", "glyph")
+    return spark.read.schema(rows.schema).parquet(SQ.run_append(rows, kind="stream-predict"))
 
 
-@register("flagship_letters")
-def flagship_letters(spark, sf):
-    """The whole batch flow: landmarks -> hand box -> crop -> 4x4 resample ->
-    model score -> letter -> most frequent letter of each stream second."""
-    frames = fx.frames(spark, sf)
-    shared_dir(spark)
-    # the crops feed both the fit and the scoring: computed once, kept in the shared folder
-    prepared = PR.hand_crops(frames, fx.landmarks(spark, sf)).checkpoint(eager=True)
-    t = M.training_frames(prepared, n_pixels=PR.OUT * PR.OUT)
-    model = M.fit(M.random_forest(), t.where("is_train"))
-    scored = M.scored(model, t, keep=("frame_id",))
-    glyphs = fx.labels_dim(spark).select(F.col("label_id").alias("prediction"),
-                                         F.col("glyph").alias("letter"))
-    lettered = L.lookup_as(scored.join(frames.select("frame_id", "stream_name", "ts"), "frame_id"), glyphs,
-                           "prediction")
-    return B.mode_label(lettered, "letter").withColumnRenamed("mode_label", "letter")
+BATCH_FILES = 256  # burst files a micro-batch takes
+
+
+def burst_letters(spark, root, max_files=BATCH_FILES, out=None, checkpoint=None):
+    """Run the stream flow over the burst files below ``root``: score, letter, event time from the
+    ``Time`` text, greatest letter per burst file name, update mode with an upsert per batch.
+    Returns the sink folder; with ``out``/``checkpoint`` of an earlier run it resumes that one."""
+    best = SQ.max_letter_per_key(_burst_letters(spark, root, max_files), "Filename", "glyph", "timestamp")
+    return SQ.run_update(best.withColumnRenamed("Filename", "burst"), "burst-letters", out, checkpoint)
+
+
+@register("stream_burst_letters", fixtures=("frames", "labels_dim"), sql=f"""
+SELECT concat(stream_name, '_', strftime(ts, '%Y%m%d%H%M%S')) AS burst, max(glyph) AS max_letter
+FROM ({_SCORED}) t GROUP BY ALL""")
+def stream_burst_letters(spark, sf):
+    """The whole stream flow: burst files -> score -> letter -> greatest letter per burst."""
+    root = feeder.write_bursts(fx.frames(spark, sf), fresh_path(spark, "bursts-in"))
+    return SQ.latest_per_key(spark, burst_letters(spark, root), ["burst"])
 
 
 # ---- preparation flows ----
@@ -176,6 +221,27 @@ def frame_prep_pipeline(spark, sf):
     return PR.hand_crops(fx.frames(spark, sf), fx.landmarks(spark, sf))
 
 
+_CROPS = f"""{_GRID},
+crops AS (SELECT f.frame_id, stream_name, ts, list_transform(range(0, 16), lambda i:
+  f.pixels[(gy0 + (i // 4) * (gy1 - gy0) // 4) * 8 + gx0 + (i % 4) * (gx1 - gx0) // 4 + 1]) AS px
+FROM fx_frames f JOIN gr ON f.frame_id = gr.frame_id)"""
+
+
+@register("flagship_letters", fixtures=("landmarks", "frames", "labels_dim"), sql=f"""{_CROPS},
+s AS (SELECT stream_name, ts, {_duck_linear("px")} AS prediction FROM crops),
+n AS (SELECT stream_name, strftime(ts, '%Y%m%d%H%M%S') AS burst, coalesce(glyph, '?') AS letter, count(*) AS n
+      FROM s LEFT JOIN fx_labels_dim d ON d.label_id = s.prediction GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY stream_name, burst ORDER BY n DESC, letter DESC) AS rn FROM n)
+SELECT stream_name, burst, letter, n FROM r WHERE rn = 1""")
+def flagship_letters(spark, sf):
+    """The whole batch flow: landmarks -> hand box -> crop -> 4x4 resample ->
+    model score -> letter -> most frequent letter of each stream second.
+    The frames are scanned and joined once for their pixels, stream and time."""
+    crops = PR.hand_crops(fx.frames(spark, sf), fx.landmarks(spark, sf), keep=("stream_name", "ts"))
+    lettered = _lettered(spark, SC.linear_model().transform(crops)).withColumnRenamed("glyph", "letter")
+    return B.mode_label(lettered, "letter").withColumnRenamed("mode_label", "letter")
+
+
 @register("debug_stage_tee", fixtures=("landmarks", "frames"), sql=f"""{_GRID}
 SELECT 'box' AS stage, frame_id, [gx0, gy0, gx1, gy1] AS "values" FROM gr
 UNION ALL

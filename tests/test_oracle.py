@@ -17,16 +17,15 @@ def test_every_key_has_a_callable_and_most_have_sql():
     assert len(QUERIES) >= 94
     assert set(ORACLE) <= set(QUERIES)
     rows_only = sorted(set(QUERIES) - set(ORACLE))
-    # model-dependent results only
-    assert all(k.startswith(("ml_", "predict_", "udf_", "stream_predict", "flagship_"))
-               for k in rows_only), rows_only
+    # results of a fitted model only
+    assert rows_only == ["ml_evaluate", "ml_mlp", "ml_random_forest"]
 
 
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["stream_name", "burst", "letter", "n"]
     rows = df.collect()
-    assert rows and all(r.letter in "ABCD" and 1 <= r.n <= 5 for r in rows)
+    assert rows and all(1 <= r.n <= 5 for r in rows)
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
