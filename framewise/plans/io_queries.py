@@ -4,6 +4,7 @@ back through the source under test."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import pixels as P
@@ -13,6 +14,7 @@ from ..session import fresh_path
 from ..sources import files as IO
 from ..sources import fixtures as fx
 from ..sources import images as IMG
+from ..sources.tables import table
 from .catalog import register
 
 _PRED_SCHEMA = T.StructType([T.StructField("sample_id", T.LongType()),
@@ -90,21 +92,53 @@ def sink_parquet_roundtrip(spark, sf):
 
 
 def _png_folder(spark, sf):
+    """Every frame as a colour picture file of its own height and width."""
     root = fresh_path(spark, "png")
-    IMG.write_pngs(fx.frames(spark, sf), root, 8, 8).write.format("noop").mode("overwrite").save()
+    rgb = fx.pictures(spark, sf).select("frame_id", "height", "width", P.rgb_swap("bgr").alias("pixels"))
+    IMG.write_pngs(rgb, root, "height", "width", channels=3).write.format("noop").mode("overwrite").save()
     return root
 
 
-@register("src_binary_files", fixtures=("frames",), sql="SELECT frame_id FROM fx_frames")
+@register("src_binary_files", fixtures=("frames", "pictures"), sql="""
+SELECT frame_id, height, width, true AS whole FROM fx_pictures""")
 def src_binary_files(spark, sf):
-    """Whole-file scan of the frame pictures: one row per file."""
+    """Whole-file scan of the pictures: size from the bytes of each header, and whether the content
+    is as long as the file and closes with its end mark."""
     files = IO.read_binary_files(spark, _png_folder(spark, sf), "*.png")
-    return files.select(IMG.frame_key_from_path("path").alias("frame_id"))
 
+    def number(at: int):  # big-endian, four bytes from byte ``at``
+        return F.conv(F.hex(F.substring("content", at, 4)), 16, 10).cast("int")
 
-@register("src_image_decode", fixtures=("frames",), sql="""
-SELECT frame_id, 8 AS height, 8 AS width, 1 AS channels, pixels FROM fx_frames""")
+    ends = F.hex(F.substring("content", -8, 4)) == F.hex(F.lit("IEND"))
+    return files.select(IMG.frame_key_from_path("path").alias("frame_id"), number(21).alias("height"),
+                        number(17).alias("width"),
+                        ((F.octet_length("content") == F.col("length")) & ends).alias("whole"))
+
+
+@register("src_image_decode", fixtures=("frames", "pictures"), sql="""
+SELECT frame_id, height, width, 3 AS channels, bgr AS pixels FROM fx_pictures""")
 def src_image_decode(spark, sf):
     imgs = IO.image_pixels(IO.read_images(spark, _png_folder(spark, sf)))
     return imgs.select(IMG.frame_key_from_path("origin").alias("frame_id"),
                        "height", "width", "channels", "pixels")
+
+
+@register("src_text_lines", sql="""
+SELECT CAST(doc_id AS VARCHAR) || ':' || lang AS line, 2 AS n FROM documents""")
+def src_text_lines(spark, sf):
+    """Text lines appended twice to a folder of line files, read back and counted."""
+    lines = table(spark, sf, "documents").select(F.concat_ws(":", "doc_id", "lang").alias("line"))
+    path = fresh_path(spark, "lines")
+    for _ in range(2):
+        IO.append_lines(lines, path)
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@register("src_survey_csv", fixtures=("survey",), sql="""
+SELECT GEO, REF_DATE, round(avg(VALUE), 6) AS avg_value, count(*) AS n FROM fx_survey GROUP BY ALL""")
+def src_survey_csv(spark, sf):
+    """The survey through its own source: CSV with inferred types, VALUE cast to a float number."""
+    facts = fx.survey(spark, sf, ("REF_DATE", "GEO", "VALUE"))
+    back = IO.read_csv_inferred(spark, IO.write_csv(facts, fresh_path(spark, "survey-csv")))
+    return back.groupBy("GEO", "REF_DATE").agg(F.round(F.avg(F.col("VALUE").cast("double")), 6).alias("avg_value"),
+                                               F.count(F.lit(1)).alias("n"))

@@ -104,6 +104,21 @@ def train_overlap_report(spark, sf):
     return D.overlap(docs, table(spark, sf, "labels"), "doc_id")
 
 
+_FILE = "string_split(path, '/')[-1]"
+
+
+@register("train_minus_test_files", fixtures=("image_names",), sql=f"""
+WITH test AS (SELECT '/data/test/' || {_FILE} AS path FROM fx_image_names WHERE file_id % 7 = 0)
+SELECT file_id, {_FILE} AS name FROM fx_image_names t
+WHERE NOT EXISTS (SELECT 1 FROM test WHERE string_split(test.path, '/')[-1] = string_split(t.path, '/')[-1])""")
+def train_minus_test_files(spark, sf):
+    """Training files whose base name is in no other folder's list of test files."""
+    name = F.substring_index("path", "/", -1)
+    train = fx.image_names(spark, sf)
+    held = train.where(F.col("file_id") % 7 == 0).select(F.concat(F.lit("/data/test/"), name).alias("path"))
+    return D.minus(train.select("file_id", name.alias("name")), held.select(name.alias("name")), "name")
+
+
 @register("sample_every_nth", fixtures=("image_names", "labels_dim"), sql=f"""
 SELECT file_id, folder, rn FROM (
   SELECT file_id, label_token AS folder,

@@ -33,36 +33,6 @@ LABELS_DIM = T.StructType([
     T.StructField("glyph", T.StringType(), False),
 ])
 
-LABELLED_SAMPLE = T.StructType([
-    T.StructField("label", T.IntegerType(), True),
-    T.StructField("pixels", T.ArrayType(T.IntegerType()), True),
-])
-
-ORDERED_SAMPLE = T.StructType([
-    T.StructField("sequence", T.IntegerType(), True),
-    T.StructField("pixels", T.ArrayType(T.IntegerType()), True),
-])
-
-STREAM_RECORD = T.StructType([
-    T.StructField("Filename", T.StringType()),
-    T.StructField("Time", T.StringType()),
-    T.StructField("Pixels", T.ArrayType(T.IntegerType())),
-])
-
-FRAME = T.StructType([
-    T.StructField("frame_id", T.LongType()),
-    T.StructField("stream_name", T.StringType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("label", T.IntegerType()),
-    T.StructField("pixels", T.ArrayType(T.IntegerType())),
-])
-
-FRAME_METADATA = T.StructType([
-    T.StructField("height", T.IntegerType()),
-    T.StructField("width", T.IntegerType()),
-    T.StructField("channels", T.IntegerType()),
-])
-
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),

@@ -43,9 +43,10 @@ def _open_fs(root: str):
     return filesystem, base.rstrip("/")
 
 
-def write_pngs(frames: DataFrame, root: str, height: int, width: int, channels: int = 1,
+def write_pngs(frames: DataFrame, root: str, height: int | str, width: int | str, channels: int = 1,
                key: str = "frame_id") -> DataFrame:
-    """Write ``{root}/{key}.png`` per row; returns ``(key, path, n_bytes)`` rows.
+    """Write ``{root}/{key}.png`` per row; returns ``(key, path, n_bytes)`` rows.  ``height`` and
+    ``width`` are numbers, or names of columns with each picture's own size.
     The result is lazy — run an action on it to write."""
     out_schema = T.StructType([T.StructField(key, T.LongType()),
                                T.StructField("path", T.StringType()),
@@ -56,8 +57,8 @@ def write_pngs(frames: DataFrame, root: str, height: int, width: int, channels:
         filesystem.create_dir(base, recursive=True)
         for pdf in batches:
             paths, sizes = [], []
-            for k, px in zip(pdf[key], pdf["pixels"]):
-                data = encode_png(px, height, width, channels)
+            for k, px, h, w in zip(pdf[key], pdf["pixels"], pdf["_h"], pdf["_w"]):
+                data = encode_png(px, h, w, channels)
                 p = f"{base}/{int(k)}.png"
                 with filesystem.open_output_stream(p) as f:
                     f.write(data)
@@ -66,7 +67,8 @@ def write_pngs(frames: DataFrame, root: str, height: int, width: int, channels:
             yield pd.DataFrame({key: pdf[key].astype("int64"), "path": paths,
                                 "n_bytes": pd.Series(sizes, dtype="int64")})
 
-    return frames.select(key, "pixels").mapInPandas(write, out_schema)
+    sizes = [(F.col(v) if isinstance(v, str) else F.lit(v)).alias(n) for n, v in (("_h", height), ("_w", width))]
+    return frames.select(key, "pixels", *sizes).mapInPandas(write, out_schema)
 
 
 def frame_key_from_path(path_col: str = "path"):
