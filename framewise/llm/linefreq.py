@@ -1,9 +1,9 @@
 """Quality rules from line frequencies across documents, in DataFrame functions only.
 
 Normalised lines are hashed together with their host; the documents of each (host, line) are
-counted with a partial aggregate, so a host or line with a third of all rows is summed before the
-shuffle.  Lines above the limit are removed by a semi join (a frequent line's rows are split by
-AQE), and a document is rejected when too few of its words remain.
+counted with partial aggregates, so a host or line with a third of all rows is summed before the
+shuffle.  Lines above the limit are found by a semi join (a frequent line's rows are split by AQE)
+and cut out of the texts, and a document is rejected when too few of its words remain.
 """
 
 from __future__ import annotations
@@ -75,41 +75,56 @@ def _normal(line: Column) -> Column:
     return F.lower(F.btrim(F.regexp_replace(line, SPACE + "+", " ")))
 
 
-def removed_words(df: DataFrame, id_col: str, text_col: str, host_col: str, max_docs: int) -> DataFrame:
-    """(id, key, removed): words of the lines that more than ``max_docs`` documents of the same host
-    hold, for documents that have such lines.  ``key`` is the hash of the text."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.select(F.col(id_col).cast("string").alias("id"), F.xxhash64(text).alias("key"),
-                     F.monotonically_increasing_id().alias("row"),
-                     F.col(host_col).cast("string").alias("host"), lines(text).alias("lines"))
-    rows = rows.select("id", "key", "row", "host", F.explode("lines").alias("line"))  # row: one per document
-    held = rows.select("id", "key", "row", F.xxhash64("host", _normal(F.col("line"))).alias("h"),
-                       F.size(words(F.col("line"))).alias("n"))
-    held = saved(held.groupBy("h", "id", "key", "row").agg(F.sum("n").alias("n")), "hostlines")
-    frequent = held.groupBy("h").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > max_docs)
-    frequent = saved(frequent.select("h"), "frequent")  # so that AQE can split the other side of the join
-    lost = held.join(frequent, "h", "left_semi").groupBy("id", "key", "row").agg(F.sum("n").alias("removed"))
-    return lost.groupBy("id", "key").agg(F.max("removed").alias("removed"))  # repeated rows are alike
+def _key(text: Column, host: Column) -> Column:
+    """Identifies a document beside its id: what is removed follows from its text and host."""
+    return F.xxhash64(text, host.cast("string"))
+
+
+def removed_lines(df: DataFrame, id_col: str, text_col: str, host_col: str, max_docs: int) -> DataFrame:
+    """(id, key, removed): places, in the \\n-split text, of the lines that more than ``max_docs``
+    documents of the same host hold, for documents that have such lines."""
+    text, host = F.coalesce(F.col(text_col), F.lit("")), F.col(host_col)
+    rows = df.select(F.col(id_col).cast("string").alias("id"), _key(text, host).alias("key"),
+                     F.monotonically_increasing_id().alias("row"), host.cast("string").alias("host"),
+                     F.split(text, "\n", -1).alias("lines"))  # row: one per document
+    rows = rows.select("id", "key", "row", "host", F.posexplode("lines").alias("pos", "line"))
+    rows = rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    held = saved(rows.select("id", "key", "row", "pos", F.xxhash64("host", _normal(F.col("line"))).alias("h")), "hostlines")
+    docs = held.select("h", "row").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("docs"))
+    frequent = docs.where(F.col("docs") > max_docs).select("h")
+    frequent = saved(frequent, "frequent")  # so that AQE can split the other side of the join
+    lost = held.join(frequent, "h", "left_semi").groupBy("id", "key")
+    return lost.agg(F.sort_array(F.collect_set("pos")).alias("removed"))  # repeated rows are alike
 
 
 def line_frequency_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          host_col: str = "source", max_docs: int = 100, min_share: float = 0.5,
                          min_words: int = 20, max_repeat_pct: int = 30) -> DataFrame:
     """(``id_col``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    removed_words, kept), one row per input row.
+    removed_words, kept, ``text_col``, removed), one row per input row.
 
     Lines are compared lower-cased, trimmed, inner white space as one space; a line that more than
     ``max_docs`` rows of a host hold is removed everywhere in that host, and a document that keeps
-    under ``min_share`` of its words is rejected.  ``base_failed``: fewer than ``min_words`` words,
-    or over ``max_repeat_pct`` percent of words in repeated windows.  Null texts are empty and fail;
-    null hosts are one host; null ids and repeated rows are judged like others (a repeated row
-    counts as a document); an empty table gives none."""
+    under ``min_share`` of its words is rejected.  ``text_col`` is the text without these lines, of
+    rejected documents too, and ``removed`` their places among the \\n-split lines of the original
+    text; blank lines stay.  ``base_failed``: fewer than ``min_words`` words, or over
+    ``max_repeat_pct`` percent of words in repeated windows, both of the original text.  Null texts
+    are empty and fail; null hosts are one host; null ids and repeated rows are judged like others (a
+    repeated row counts as a document); an empty table gives none."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    counts = text_counts(df, text, [F.col(id_col).alias("id"), F.xxhash64(text).alias("key")])
-    lost = removed_words(df, id_col, text_col, host_col, max_docs).withColumnsRenamed({"id": "id2", "key": "key2"})
+    counts = text_counts(df, text, [F.col(id_col).alias("id"), _key(text, F.col(host_col)).alias("key"), text.alias("whole")])
+    lost = removed_lines(df, id_col, text_col, host_col, max_docs).withColumnsRenamed({"id": "id2", "key": "key2"})
+    # written as above, for rows that repeat; merged, as it grows with the input: the texts then move at every size
+    lost = saved(lost, "removed").hint("merge")
     both = counts.join(lost, (F.col("key") == F.col("key2")) & F.col("id").cast("string").eqNullSafe(F.col("id2")), "left")
+    cleaned = let(F.split("whole", "\n", -1), lambda x: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("removed")), lambda i: F.get(x, i)), "\n"))
+    both = both.withColumn("rest", F.when(F.col("removed").isNull(), F.col("whole")).otherwise(cleaned))
+    left = F.when(F.col("removed").isNull(), F.col("n_words")).otherwise(F.size(words(F.col("rest"))).cast("long"))
+    both = both.withColumn("left", left)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
-    left = F.col("n_words") - F.coalesce(F.col("removed"), F.lit(0))
     return both.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                       failed.alias("base_failed"), F.coalesce("removed", F.lit(0)).cast("long").alias("removed_words"),
-                       (~failed & (left >= F.lit(min_share) * F.col("n_words"))).alias("kept"))
+                       failed.alias("base_failed"), (F.col("n_words") - F.col("left")).alias("removed_words"),
+                       (~failed & (F.col("left") >= F.lit(min_share) * F.col("n_words"))).alias("kept"),
+                       F.col("rest").alias(text_col),
+                       F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))

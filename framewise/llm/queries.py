@@ -109,7 +109,7 @@ FROM base
 
 @query("op6_line_frequency", _OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linefreq.line_frequency_rules(read_table(spark, sf_dir, "documents"))
+    return linefreq.line_frequency_rules(read_table(spark, sf_dir, "documents")).drop("text", "removed")
 
 
 @query("op7_bpe")

@@ -54,6 +54,19 @@ def test_repeated_rows_count_and_agree(docs_of):
     assert len(got) == 3 and {r.removed_words for r in got} == {38}
 
 
+def test_frequent_lines_are_cut_out_of_the_text(docs_of):
+    own = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, f"Shared  line\n{own} {i}\n\n shared LINE\nend {i}\n", "en", "hot", 1) for i in range(4)]
+    rows += [(None, f"shared line\n{own} x", "en", "hot", 1)] * 2 + [(9, f"shared line\n{own}", "en", "hot", 1)]
+    rows += [(9, f"shared line\n{own}", "en", None, 1), (10, "shared line", "en", "hot", 1), (11, None, "en", "hot", 1)]
+    got = linefreq.line_frequency_rules(docs_of(rows), max_docs=4).collect()
+    have = sorted(((r.doc_id, r.text, r.removed, r.removed_words) for r in got), key=repr)
+    want = [(i, f"{own} {i}\n\nend {i}\n", [0, 3], 4) for i in range(4)]
+    want += [(None, f"{own} x", [0], 2)] * 2 + [(9, own, [0], 2), (9, f"shared line\n{own}", [], 0)]
+    want += [(10, "", [0], 2), (11, "", [], 0)]
+    assert have == sorted(want, key=repr)
+
+
 def test_classifier_on_held_out_labels(spark, sf_dir):
     sf = sf_dir.replace("sf0.001", "sf0.01")
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
