@@ -1,7 +1,9 @@
 """Frame preparation flows, composed from the geometry and pixel operators.
 
-``hand_crops``    landmarks -> centre/reach -> square box -> crop -> resize
-                 (the batch conversion flow, without picture decoding)
+``picture_crops`` landmarks -> centre/reach -> square box -> crop -> bilinear
+                 resize -> grey, on decoded colour pictures of any size
+                 (the batch conversion flow)
+``hand_crops``    the same boxes on the small grey frames, nearest resize
 ``training_rows`` colour picture -> grey -> resize -> label (no hand search)
 
 The hand flow has four exchanges: the landmarks of a frame are brought
@@ -30,8 +32,9 @@ def hand_crops(frames: DataFrame, landmarks: DataFrame, side: int = 8,
                width: int = G.FRAME_W, height: int = G.FRAME_H, tee: str | None = None,
                keep: tuple[str, ...] = ()) -> DataFrame:
     """``(frame_id, pixels)``: the square hand box of each frame, mapped onto
-    its ``side x side`` grid and resampled to OUT x OUT (nearest).  ``keep``
-    carries further frame columns through the same join.
+    its ``side x side`` grid and resampled to OUT x OUT (nearest).  A frame
+    that is not ``side x side`` gets null pixels.  ``keep`` carries further
+    frame columns through the same join.
 
     With ``tee`` the intermediate stage rows (box, crop) are also written as
     Parquet under that folder for inspection."""
@@ -42,8 +45,9 @@ def hand_crops(frames: DataFrame, landmarks: DataFrame, side: int = 8,
     gy1 = F.greatest(gy0 + 1, F.ceil(F.col("sy1") * side / height).cast("int"))
     gridded = boxes.select("frame_id", *keep, "pixels", gx0.alias("gx0"), gy0.alias("gy0"),
                            F.least(gx1, F.lit(side)).alias("gx1"), F.least(gy1, F.lit(side)).alias("gy1"))
-    out = gridded.select("frame_id", *keep, P.nearest_resize(
-        "pixels", side, F.col("gy0"), F.col("gy1"), F.col("gx0"), F.col("gx1"), OUT, OUT).alias("pixels"),
+    crop = P.nearest_resize("pixels", side, F.col("gy0"), F.col("gy1"), F.col("gx0"), F.col("gx1"), OUT, OUT)
+    out = gridded.select(
+        "frame_id", *keep, F.when(F.size("pixels") == side * side, crop).alias("pixels"),
         F.array("gx0", "gy0", "gx1", "gy1").alias("box"))
     if tee:
         # one pass: each row yields its box row and its crop row
@@ -53,6 +57,41 @@ def hand_crops(frames: DataFrame, landmarks: DataFrame, side: int = 8,
     return out.select("frame_id", *keep, "pixels")
 
 
+def picture_crops(pictures: DataFrame, landmarks: DataFrame, width: int = G.FRAME_W,
+                  height: int = G.FRAME_H, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(frame_id, pixels, is_reject)``: the square hand box of each decoded
+    picture (``height``, ``width``, interleaved ``bgr``), cut out at the
+    picture's own size, each channel resized to OUT x OUT (bilinear), then
+    grey.  ``width`` and ``height`` are those of the landmarks' canvas.  A
+    picture whose values are not three per pixel is flagged, with null pixels."""
+    boxes = G.boxes_for_frames(pictures, landmarks, keep=("height", "width", "bgr", *keep))
+    h, w = F.col("height"), F.col("width")
+
+    def low(c, n, size: int):
+        return F.greatest(F.lit(0), F.least(_grid(F.col(c), n, size), n - 1))
+
+    def high(c, start, n, size: int):
+        return F.least(F.greatest(F.col(start) + 1, F.ceil(F.col(c) * n / size).cast("int")), n)
+
+    whole = F.coalesce((h > 0) & (w > 0) & (F.size("bgr") == h * w * 3), F.lit(False))
+    rows = boxes.withColumn("whole", whole).withColumns({"gx0": low("sx0", w, width), "gy0": low("sy0", h, height)})
+    rows = rows.withColumns({"gx1": high("sx1", "gx0", w, width), "gy1": high("sy1", "gy0", h, height)})
+    rows = rows.withColumns({"ch": F.col("gy1") - F.col("gy0"), "cw": F.col("gx1") - F.col("gx0")})
+    cut = P.flatten(P.crop("bgr", w * 3, F.col("gy0"), F.col("gy1"), F.col("gx0") * 3, F.col("gx1") * 3))
+    rows = rows.withColumn("cut", F.when(F.col("whole"), cut))
+
+    def channel(c: int):
+        values = F.transform(F.sequence(F.lit(0), F.col("ch") * F.col("cw") - 1), lambda i: F.get("cut", i * 3 + c))
+        return F.when(F.col("whole"), values)
+
+    rows = rows.withColumns({f"c{c}": channel(c) for c in range(3)})
+    rows = rows.withColumns({f"r{c}": P.bilinear_resize(f"c{c}", "ch", "cw", OUT, OUT) for c in range(3)})
+    mixed = F.flatten(F.transform(F.arrays_zip("r0", "r1", "r2"), lambda p: F.array(p["r0"], p["r1"], p["r2"])))
+    small = rows.withColumn("small", F.when(F.col("whole"), mixed))
+    return small.select("frame_id", *keep, F.when(F.col("whole"), P.bgr_to_grey("small")).alias("pixels"),
+                        (~F.col("whole")).alias("is_reject"))
+
+
 def debug_tee(frames: DataFrame, landmarks: DataFrame) -> DataFrame:
     """Run :func:`hand_crops` with the stage tee on; return the tee rows."""
     spark = frames.sparkSession

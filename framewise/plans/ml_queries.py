@@ -12,11 +12,14 @@ from ..operators import prep as PR
 from ..operators import quality as Q
 from ..operators import scoring as SC
 from ..session import fresh_path
+from ..sources import files as IO
 from ..sources import fixtures as fx
+from ..sources import images as IMG
 from ..streaming import feeder
 from ..streaming import queries as SQ
 from .catalog import register
 from .geometry_queries import _B
+from .io_queries import _png_folder
 from .pixel_queries import _duck_bilinear
 
 
@@ -221,6 +224,30 @@ def frame_prep_pipeline(spark, sf):
     return PR.hand_crops(fx.frames(spark, sf), fx.landmarks(spark, sf))
 
 
+@register("picture_prep_pipeline", fixtures=("landmarks", "frames", "pictures"), sql=f"""WITH {_B},
+q AS (SELECT frame_id, x0 + dx AS sx0, x1 - dx AS sx1, y0 + CAST(floor(dy / 2.0) AS INT) AS sy0,
+             y1 - CAST(floor(dy / 2.0) AS INT) AS sy1 FROM g),
+box AS (SELECT p.*, sx1, sy1, greatest(0, least((sx0 * p.width) // 640, p.width - 1)) AS gx0,
+             greatest(0, least((sy0 * p.height) // 480, p.height - 1)) AS gy0
+      FROM q JOIN fx_pictures p ON p.frame_id = q.frame_id),
+own AS (SELECT frame_id, width AS pw, bgr, gx0, gy0,
+             least(greatest(gx0 + 1, CAST(ceil(sx1 * width / 640::DOUBLE) AS INT)), width) - gx0 AS width,
+             least(greatest(gy0 + 1, CAST(ceil(sy1 * height / 480::DOUBLE) AS INT)), height) - gy0 AS height FROM box),
+cut AS (SELECT frame_id, ch, width, height, list_transform(range(0, width * height),
+             lambda k: bgr[((gy0 + k // width) * pw + gx0 + k % width) * 3 + ch + 1]) AS pixels FROM own, range(0, 3) t(ch)),
+small AS (SELECT frame_id, ch, {_duck_bilinear("height", "width", PR.OUT, PR.OUT)} AS px FROM cut)
+SELECT b.frame_id, list_transform(range(0, 16), lambda i:
+  CAST((b.px[i + 1] * 114 + n.px[i + 1] * 587 + r.px[i + 1] * 299 + 500) // 1000 AS INT)) AS pixels, false AS is_reject
+FROM small b JOIN small n ON n.frame_id = b.frame_id JOIN small r ON r.frame_id = b.frame_id
+WHERE b.ch = 0 AND n.ch = 1 AND r.ch = 2""")
+def picture_prep_pipeline(spark, sf):
+    """Picture files -> decode -> hand box -> crop -> bilinear resize -> grey, keyed by the file name."""
+    decoded = IO.image_pixels(IO.read_images(spark, _png_folder(spark, sf))) \
+                .select(IMG.frame_key_from_path("origin").alias("frame_id"), "height", "width",
+                        F.col("pixels").alias("bgr"))
+    return PR.picture_crops(decoded, fx.landmarks(spark, sf))
+
+
 _CROPS = f"""{_GRID},
 crops AS (SELECT f.frame_id, stream_name, ts, list_transform(range(0, 16), lambda i:
   f.pixels[(gy0 + (i // 4) * (gy1 - gy0) // 4) * 8 + gx0 + (i % 4) * (gx1 - gx0) // 4 + 1]) AS px

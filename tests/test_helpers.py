@@ -99,3 +99,20 @@ def test_cluster_conf_sizes_partitions():
     small = cluster_conf(10 * 2 ** 30, executors=10)
     assert int(small["spark.sql.shuffle.partitions"]) == 80    # at least 2 waves
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_hand_crops_of_frames_and_pictures_of_other_sizes(spark):
+    from framewise.operators import prep as PR
+
+    marks = spark.createDataFrame([], "frame_id long, hand_id int, pos int, x int, y int")  # no hand: 480 x 480 in the middle
+    frames = spark.createDataFrame([(1, list(range(64))), (2, list(range(100)))], "frame_id long, pixels array<int>")
+    got = {r.frame_id: r.pixels for r in PR.hand_crops(frames, marks).collect()}
+    assert len(got[1]) == 16 and got[2] is None
+    # 8 rows of 12: the box is columns 1 to 10, blue only, the same in a column
+    bgr = [v for _ in range(8) for x in range(12) for v in (x * 20, 0, 0)]
+    pictures = spark.createDataFrame([(1, 8, 12, bgr), (2, 8, 12, bgr[:-1]), (3, -1, -1, [])],
+                                     "frame_id long, height int, width int, bgr array<int>")
+    rows = {r.frame_id: r for r in PR.picture_crops(pictures, marks).collect()}
+    blue = [20 * (1 + min(max((c + 0.5) * 10 / 4 - 0.5, 0), 9)) for c in range(4)]
+    assert rows[1].pixels == [(round(b) * 114 + 500) // 1000 for b in blue] * 4 and not rows[1].is_reject
+    assert all(rows[i].is_reject and rows[i].pixels is None for i in (2, 3))
