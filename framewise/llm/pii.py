@@ -87,14 +87,17 @@ def _phone_ok(span: str) -> bool:
 
 
 def _iban_spans(text: str) -> Iterator[tuple[int, int]]:
-    """The longest stretch from each start whose checksum holds, cut at its inner spaces."""
-    for m in _IBAN.finditer(text):
+    """The longest stretch from each start whose checksum holds, cut at its inner spaces; the search
+    goes on after that stretch, or at the next word where none holds."""
+    m = _IBAN.search(text)
+    while m:
         span = m[0]
-        while span:
-            if mod97(span):
-                yield m.start(), m.start() + len(span)
-                break
+        while span and not mod97(span):
             span = span.rpartition(" ")[0]
+        if span:
+            yield m.start(), m.start() + len(span)
+        skip = len(span) or m[0].find(" ") + 1 or len(m[0])
+        m = _IBAN.search(text, m.start() + skip)
 
 
 def _score(kind: str, text: str, start: int, end: int) -> float:

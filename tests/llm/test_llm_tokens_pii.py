@@ -80,3 +80,12 @@ def test_pii_odd_rows(odd, empty):
     assert [(s.kind, s.start, s.end, s.base) for s in rows[7]] == [("ip", 13, 20, True), ("email", 21, 27, True)]
     assert pii.find_personal_data(empty).count() == 0
     assert pii.find_personal_data(odd.withColumnsRenamed({"lang": "spans", "source": "id"})).count() == odd.count()
+
+
+def test_ibans_after_other_words_and_each_other():
+    two = "DE89 3704 0044 0532 0130 00 GB29 NWBK 6016 1331 9268 19"
+    spans = [(0, 27), (28, 55)]
+    assert [(s, e) for s, e, _ in pii.more_spans(two)] == spans
+    assert [(s, e) for s, e, _ in pii.more_spans("AB12 DE89370400440532013000")] == [(5, 27)]
+    assert [(s, e) for s, e, _ in pii.more_spans(two.replace("00 GB", "00, GB"))] == [(0, 27), (29, 56)]
+    assert pii.more_spans("AB12 DE88370400440532013000 CD34 EF56") == []
