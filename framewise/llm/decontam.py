@@ -24,22 +24,23 @@ from .words import ALNUM, hash_words
 BLOCK_BYTES = 8 << 20         # text of one index block
 ITEM_BYTES = 64 << 20         # text of items sent to the tasks at once; more go in slices
 _CANDIDATES = 1 << 20         # positions examined at a time
-_INDEX = ("block long, ids array<string>, bounds binary, terms binary, lists binary, gaps binary")
-_FOUND = ("block long, row int, id string, n_words long, spans array<struct<start:int,end:int>>, "
+_INDEX = ("block long, ids array<string>, keys binary, bounds binary, terms binary, lists binary, gaps binary")
+_FOUND = ("block long, row int, id string, key long, n_words long, spans array<struct<start:int,end:int>>, "
           "items array<string>")
 
 
 def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The positional index of all texts as a saved table.  Null texts have no words."""
+    """The positional index of all texts as a saved table; ``keys`` are the hashes of the texts.  Null
+    texts have no words."""
 
-    def block(number: int, ids: pa.Array, texts: pa.Array) -> tuple:
+    def block(number: int, ids: pa.Array, texts: pa.Array, keys: pa.Array) -> tuple:
         words = hash_words(texts, ALNUM)
         order = np.argsort(words.hashes, kind="stable").astype(np.int32)
         terms, first = np.unique(words.hashes[order], return_index=True)
         gaps = np.diff(order, prepend=np.int32(0)).astype(np.int32)
         gaps[first] = order[first]
         lists = np.append(first, len(order)).astype(np.int32)
-        return (number, ids.to_pylist(), words.bounds.astype(np.int32).tobytes(), terms.tobytes(),
+        return (number, ids.to_pylist(), keys.to_numpy().tobytes(), words.bounds.astype(np.int32).tobytes(), terms.tobytes(),
                 lists.tobytes(), gaps.tobytes())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,14 +51,14 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             while first < batch.num_rows:
                 limit = (sizes[first - 1] if first else 0) + BLOCK_BYTES
                 last = max(first + 1, int(np.searchsorted(sizes, limit, "right")))
-                row = block(number, batch.column(0)[first:last], batch.column(1)[first:last])
+                row = block(number, *(batch.column(c)[first:last] for c in (0, 1, 3)))
                 number, first = number + 1, last
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], t) for v, t in zip(row, (pa.int64(), pa.list_(pa.string()), *[pa.binary()] * 4))],
-                    ["block", "ids", "bounds", "terms", "lists", "gaps"])
+                    [pa.array([v], t) for v, t in zip(row, (pa.int64(), pa.list_(pa.string()), *[pa.binary()] * 5))],
+                    ["block", "ids", "keys", "bounds", "terms", "lists", "gaps"])
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.select(F.col(id_col).cast("string"), text.cast("binary"), F.octet_length(text))
+    rows = df.select(F.col(id_col).cast("string"), text.cast("binary"), F.octet_length(text), F.xxhash64(text))
     return saved(rows.mapInArrow(run, _INDEX), "positions")
 
 
@@ -198,10 +199,10 @@ def _search(index: DataFrame, windows: Windows, near: int | None) -> DataFrame:
                     items[at] = sorted(names - {None})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, row["block"], np.int64)), pa.array(np.arange(n, dtype=np.int32)),
-                     pa.array(row["ids"], pa.string()), pa.array(np.diff(block.bounds)),
+                     pa.array(row["ids"], pa.string()), pa.array(np.frombuffer(row["keys"], np.int64)), pa.array(np.diff(block.bounds)),
                      pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                      pa.array(items, pa.list_(pa.string()))],
-                    ["block", "row", "id", "n_words", "spans", "items"])
+                    ["block", "row", "id", "key", "n_words", "spans", "items"])
 
     return index.mapInArrow(run, _FOUND)
 
@@ -216,7 +217,7 @@ def _covered(spans: Column) -> Column:
 
 def find_items(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col: str = "text",
                window: int = 13, near: int | None = None, item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """(block, row, id, n_words, n_hit, spans, items) for every indexed text.
+    """(block, row, id, key, n_words, n_hit, spans, items) for every indexed text; ``key`` is its hash.
 
     ``near`` None: exact phrase matches of the items' windows; ``spans`` are the merged hit ranges.
     Otherwise proximity matches: places of a window's rarest term with all its other terms within
@@ -234,7 +235,7 @@ def find_items(index: DataFrame, items: DataFrame, id_col: str = "item_id", text
         found = part if found is None else found.unionAll(part)
     if slices > 1:
         found = (found.groupBy("block", "row")
-                      .agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"),
+                      .agg(F.first("id").alias("id"), F.first("key").alias("key"), F.first("n_words").alias("n_words"),
                            F.flatten(F.collect_list("spans")).alias("spans"),
                            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
     return found.withColumn("n_hit", _covered(F.col("spans")))
@@ -242,18 +243,21 @@ def find_items(index: DataFrame, items: DataFrame, id_col: str = "item_id", text
 
 def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   window: int = 13, share: int = 20, item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """(id, n_words, n_hit, spans, items, contaminated), one row per row of ``df``; contaminated:
-    some word is hit and ``share * n_hit >= n_words``.  ``id`` is the id as text.  Null and empty
+    """(id, key, n_words, n_hit, spans, items, contaminated), one row per row of ``df``; contaminated:
+    some word is hit and ``share * n_hit >= n_words``.  ``id`` is the id as text, ``key`` the hash of the text.  Null and empty
     texts have no words and are clean; repeated rows are judged one by one; no items: all clean; an
     empty table gives none."""
     found = find_items(build_index(df, id_col, text_col), items, window=window, item_bytes=item_bytes)
     flag = (F.col("n_hit") > 0) & (F.col("n_hit") * F.lit(share) >= F.col("n_words"))
-    return found.select("id", "n_words", "n_hit", "spans", "items", flag.alias("contaminated"))
+    return found.select("id", "key", "n_words", "n_hit", "spans", "items", flag.alias("contaminated"))
 
 
 def decontaminate(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns, whose id has no contaminated text (null ids included)."""
-    bad = unique_name(df, "bad_id")
+    """The rows of ``df``, all columns, whose own text is not contaminated.  Rows are told apart by id
+    and text, so clean rows of a repeated or null id stay."""
+    bad, key = unique_name(df, "bad_id"), unique_name(df, "bad_key")
     lose = (contamination(df, items, id_col, text_col).where("contaminated")
-            .select(F.col("id").alias(bad)).distinct())
-    return df.join(lose, df[id_col].cast("string").eqNullSafe(lose[bad]), "left_anti")
+            .select(F.col("id").alias(bad), F.col("key").alias(key)).distinct())
+    lose = saved(lose, "contaminated")  # a plain shuffle on both sides of the join: AQE can split repeated rows
+    same = (F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == lose[key]) & df[id_col].cast("string").eqNullSafe(lose[bad])
+    return df.join(lose, same, "left_anti")

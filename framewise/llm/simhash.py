@@ -23,7 +23,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, saved, unique_name
@@ -57,16 +57,23 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
-def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, fp): the fingerprint of every row as a signed long."""
+def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int, keyed: bool = False) -> DataFrame:
+    """(id, fp): the fingerprint of every row as a signed long; ``keyed``: also ``key``, the hash of
+    its text."""
+    names = ["id", "fp", "key"] if keyed else ["id", "fp"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], names)
 
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"),
+                     *([_key(F.col(text_col))] if keyed else []))
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def _key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _segments(max_bits: int) -> list[int]:
@@ -192,7 +199,14 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     other; null ids never name a component (a component of null ids only has a null
     ``component_id``); repeated rows and ids give one row each; an empty table gives none; other
     columns are not read."""
-    docs = checkpointed(fingerprints(df, id_col, text_col, shingle))
+    return (_named(fingerprints(df, id_col, text_col, shingle), max_bits, tile)
+            .select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                    "component_id"))
+
+
+def _named(docs: DataFrame, max_bits: int, tile: int = TILE) -> DataFrame:
+    """``docs`` (id, fp, other columns) with ``component_id``."""
+    docs = checkpointed(docs)
     distinct = docs.groupBy("fp").agg(F.min("id").alias("least"))
     linked = components(links(distinct.select("fp"), max_bits, tile))
     linked = checkpointed(linked)
@@ -203,17 +217,18 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     named = named.join(names, "root").select("fp", "name")
     label = saved(distinct.join(named, "fp", "left")
                           .select("fp", F.coalesce("name", "least").alias("component_id")), "labels")
-    return (docs.join(label, "fp")
-                .select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                        "component_id"))
+    return docs.join(label, "fp")
 
 
 def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                   max_bits: int = 4) -> DataFrame:
     """The rows of ``df``, all columns, one document of each group: that with the smallest id.
-    Rows that share the kept id stay together; rows with a null id stay (they name no group)."""
-    groups = simhash_groups(df, id_col, text_col, shingle, max_bits)
-    gone = unique_name(df, "gone")
-    lose = (groups.where(F.col(id_col) != F.col("component_id"))
-                  .select(F.col(id_col).alias(gone)).distinct())
-    return df.join(lose, df[id_col] == lose[gone], "left_anti")
+    Rows are told apart by id and text: a repeated id loses only the texts whose group has a smaller
+    id.  Rows of a group that share the kept id stay together; rows with a null id stay (they name no
+    group)."""
+    groups = _named(fingerprints(df, id_col, text_col, shingle, keyed=True), max_bits)
+    gone, key = unique_name(df, "gone"), unique_name(df, "gone_key")
+    lose = groups.where(F.col("id") != F.col("component_id")).select(F.col("id").alias(gone), F.col("key").alias(key))
+    lose = saved(lose.distinct(), "gone")  # as above: AQE splits the rows of a repeated id and text
+    same = (df[id_col].cast("long") == lose[gone]) & (_key(df[text_col]) == lose[key])
+    return df.join(lose, same, "left_anti")

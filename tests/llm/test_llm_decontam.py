@@ -72,3 +72,11 @@ def test_decontaminate_drops_and_keeps(odd, empty, spark):
     assert decontam.contamination(odd, none).where("contaminated").count() == 0
     assert decontam.contamination(odd, none).count() == odd.count()
     assert decontam.contamination(empty, items).count() == 0
+
+
+def test_clean_rows_of_a_null_or_repeated_id_stay(docs_of, spark):
+    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    rows = [(None, "alpha beta gamma"), (None, "clean words"), (None, None), (None, "clean words"), (3, "alpha beta gamma"),
+            (3, "other clean words"), (3, "alpha beta gamma"), (4, "more clean words")]
+    kept = [(r.doc_id, r.text) for r in decontam.decontaminate(docs_of(rows), items).collect()]
+    assert sorted(kept, key=repr) == sorted((r for r in rows if "alpha" not in (r[1] or "")), key=repr)

@@ -93,3 +93,10 @@ def test_clashing_column_names(odd):
     df = odd.withColumnsRenamed({"lang": "fp", "source": "component_id", "n_chars": "gone"})
     assert simhash.simhash_dedup(df).columns == df.columns
     assert simhash.simhash_groups(df).count() == df.count()
+
+
+def test_unique_texts_of_a_repeated_id_stay(docs_of):
+    twin, own = "one text that two ids hold " * 3, "another text with words of its own kind " * 3
+    rows = [(1, twin), (5, twin), (5, own), (5, twin), (6, None), (5, ""), (None, twin)]
+    kept = [(r.doc_id, r.text) for r in simhash.simhash_dedup(docs_of(rows)).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, twin), (5, own), (5, ""), (None, twin)], key=repr)
