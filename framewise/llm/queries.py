@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, linefreq, ngram, pii, rules, sharding, simhash
+from . import bpe, decontam, linefreq, minhash, ngram, pii, rules, sharding, simhash
 from .common import read_table
 from .lines import dedup_lines
 from .units import dedup_units
@@ -162,3 +162,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [of(kind) for kind in ("email", "ip", "card", "phone")]
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"),
                         listed(F.col("spans")).alias("spans"))
+
+
+_OP12_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower_az(text), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(generate_series(1, len(w) - 2), i -> array_to_string(w[i:i + 2], ' '))
+                                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+meet AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM s p JOIN s q USING (x) WHERE p.doc_id <> q.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM meet JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach(node, root) AS (SELECT doc_id, doc_id FROM documents
+                      UNION SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.node WHERE reach.root < link.b)
+SELECT reach.node AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(root) AS component_id, min(root) = reach.node AS kept
+FROM reach LEFT JOIN n ON n.doc_id = reach.node GROUP BY reach.node
+"""
+
+
+@query("op12_minhash_dedup", _OP12_SQL.replace("lower_az(text)", _LOWER_AZ))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash_groups(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
