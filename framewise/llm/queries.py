@@ -166,7 +166,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OP12_SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower_az(text), '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(generate_series(1, len(w) - 2), i -> array_to_string(w[i:i + 2], ' '))
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN [array_to_string(w[i:i + 2], ' ') FOR i IN generate_series(1, len(w) - 2)]
                                           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 meet AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM s p JOIN s q USING (x) WHERE p.doc_id <> q.doc_id GROUP BY 1, 2),
