@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, linefreq, minhash, ngram, pii, rules, sharding, simhash
+from . import bpe, decontam, linefreq, minhash, ngram, pii, rules, sharding, simhash, turns
 from .common import read_table
 from .lines import dedup_lines
 from .units import dedup_units
@@ -181,3 +181,9 @@ FROM reach LEFT JOIN n ON n.doc_id = reach.node GROUP BY reach.node
 @query("op12_minhash_dedup", _OP12_SQL.replace("lower_az(text)", _LOWER_AZ))
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.minhash_groups(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turns.repair_report(conversations, turns.damage(conversations))
