@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, linefreq, minhash, ngram, pii, rules, sharding, simhash, turns
+from . import bpe, decontam, linefreq, minhash, ngram, pii, rules, sharding, simhash, spelling, turns
 from .common import read_table
 from .lines import dedup_lines
 from .units import dedup_units
@@ -164,6 +164,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed(F.col("spans")).alias("spans"))
 
 
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 _OP12_SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower_az(text), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN [array_to_string(w[i:i + 2], ' ') FOR i IN generate_series(1, len(w) - 2)]
