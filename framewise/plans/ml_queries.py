@@ -15,6 +15,7 @@ from ..session import fresh_path
 from ..sources import files as IO
 from ..sources import fixtures as fx
 from ..sources import images as IMG
+from ..streaming import burst_state as BS
 from ..streaming import feeder
 from ..streaming import queries as SQ
 from .catalog import register
@@ -194,7 +195,7 @@ def burst_letters(spark, root, max_files=BATCH_FILES, out=None, checkpoint=None)
     ``Time`` text, greatest letter per burst file name, update mode with an upsert per batch.
     Returns the sink folder; with ``out``/``checkpoint`` of an earlier run it resumes that one."""
     best = SQ.max_letter_per_key(_burst_letters(spark, root, max_files), "Filename", "glyph", "timestamp")
-    return SQ.run_update(best.withColumnRenamed("Filename", "burst"), "burst-letters", out, checkpoint)
+    return SQ.run_update(best.withColumnRenamed("Filename", "burst"), ["burst"], "burst-letters", out, checkpoint)
 
 
 @register("stream_burst_letters", fixtures=("frames", "labels_dim"), sql=f"""
@@ -206,6 +207,23 @@ def stream_burst_letters(spark, sf):
     return SQ.latest_per_key(spark, burst_letters(spark, root), ["burst"])
 
 
+def burst_letters_evicting(spark, root, max_files=BATCH_FILES, out=None, checkpoint=None):
+    """:func:`burst_letters` with a state that ends: a burst is dropped once the watermark has passed
+    its last frame."""
+    letters = BS.greatest_letters(_burst_letters(spark, root, max_files), "Filename", "glyph", "timestamp")
+    with SQ.state_store(spark, *BS.STATE_STORE):
+        return SQ.run_update(letters, ["burst"], "burst-letters", out, checkpoint)
+
+
+@register("stream_burst_letters_evict", fixtures=("frames", "labels_dim"), sql=f"""
+SELECT concat(stream_name, '_', strftime(ts, '%Y%m%d%H%M%S')) AS burst, max(glyph) AS max_letter
+FROM ({_SCORED}) t GROUP BY ALL""")
+def stream_burst_letters_evict(spark, sf):
+    """The whole stream flow with event-time timers that drop finished bursts from the state."""
+    root = feeder.write_bursts(fx.frames(spark, sf), fresh_path(spark, "bursts-in"))
+    return SQ.latest_per_key(spark, burst_letters_evicting(spark, root), ["burst"])
+
+
 # ---- preparation flows ----
 
 _GRID = f"""WITH {_B},

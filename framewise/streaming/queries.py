@@ -3,14 +3,18 @@
 Sources are file streams with fixed schemas.  Sinks live below the shared
 checkpoint folder: append-mode results go to a Parquet file sink (exactly
 once through the sink's commit log); update-mode results go through
-``foreachBatch``, which overwrites one folder per batch id (a replayed batch
-replaces its own output), and the current value of each key is the row of
-its latest batch.  Tests and the registered queries run with
-``trigger(availableNow=True)``; services use ``processingTime``.
+``foreachBatch`` into a keyed table (``upsert``), whose reads touch one
+generation and the batches since.  Rows without an event time can be in no
+window; they come out flagged, through a gate on the same source
+(``rejects``).  Tests and the registered queries run with
+``trigger(availableNow=True)``; services (``service``) use ``processingTime``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,16 +23,16 @@ from ..functions.columns import as_instant, as_wall_clock, parse_stream_time
 from ..schemas import EVENTS, WATERMARK
 from ..session import fresh_path
 from .feeder import BURST_RECORD
+from .rejects import gated, start_gate
+from .upsert import UpsertTable
 
 
 # ---- sources ----
 
-def _is_dir(spark: SparkSession, path: str) -> bool:
-    """Metadata check through Hadoop's FileSystem (local, HDFS, object stores)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getFileStatus(p).isDirectory()
+def _is_file(spark: SparkSession, path: str, schema) -> bool:
+    """Whether a table is one file, by what a batch read of it would open."""
+    files = spark.read.schema(schema).parquet(path).inputFiles()
+    return len(files) == 1 and files[0].rstrip("/").endswith("/" + path.rsplit("/", 1)[-1])
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema,
@@ -44,9 +48,9 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, schema,
     reader = spark.readStream.schema(schema)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    if _is_dir(spark, path):
-        return reader.parquet(path)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    if _is_file(spark, path, schema):
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return reader.parquet(path)
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +72,8 @@ def burst_stream(spark: SparkSession, root: str, max_files: int | None = None) -
 def max_letter_per_key(stream: DataFrame, key: str, letter: str, ts: str) -> DataFrame:
     """The application's stream aggregate: greatest letter per key, with a
     watermark that cannot evict (the grouping has no event-time column), so
-    state grows with the number of keys.  Kept for compatibility."""
+    state grows with the number of keys.  Kept for compatibility; the form
+    whose state ends is ``burst_state.greatest_letters``."""
     return (stream.withWatermark(ts, WATERMARK)
                   .groupBy(key).agg(F.max(letter).alias("max_letter")))
 
@@ -77,7 +82,8 @@ def windowed_counts(stream: DataFrame, ts: str, size: str, keys: list[str],
                     extra_aggs: dict | None = None) -> DataFrame:
     """Tumbling event-time windows with a watermark: state is dropped once a
     window closes; append mode emits each closed window exactly once, update
-    mode every change.
+    mode every change.  A row whose ``ts`` is null is in no window: take
+    :func:`run_windows`, which reports it.
     ``extra_aggs`` maps output names to aggregate Columns."""
     extra = extra_aggs or {}
     aggs = [F.count(F.lit(1)).alias("n")] + [c.alias(name) for name, c in extra.items()]
@@ -113,6 +119,17 @@ def _start_append(df: DataFrame, fmt: str, options: dict | None, kind: str,
     return w.start(), out
 
 
+@contextmanager
+def state_store(spark: SparkSession, key: str, provider: str) -> Iterator[None]:
+    """The state store that queries started inside use (a query keeps the one it started with)."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, provider)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def run_append(df: DataFrame, fmt: str = "parquet", options: dict | None = None,
                kind: str = "stream-out", out: str | None = None,
                checkpoint: str | None = None) -> str:
@@ -132,41 +149,47 @@ def run_append_parallel(sinks: list[tuple[DataFrame, str, dict | None, str]]) ->
     return [out for _, out in started]
 
 
-def run_update(df: DataFrame, kind: str = "stream-upsert", out: str | None = None,
-               checkpoint: str | None = None) -> str:
-    """Update-mode aggregate -> one Parquet folder per batch id; windows that are still open at the
-    end of the input come out too.  Passing the ``out``/``checkpoint`` of an earlier run resumes it."""
+def _start_update(df: DataFrame, keys: list[str], out: str, checkpoint: str) -> StreamingQuery:
     spark = df.sparkSession
-    out = out or fresh_path(spark, kind)
+    UpsertTable(spark, out, keys).create(df.schema)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
+        UpsertTable(batch.sparkSession, out, keys).write(batch, batch_id)
 
-    q = (df.writeStream.outputMode("update").foreachBatch(upsert)
-           .option("checkpointLocation", checkpoint or fresh_path(spark, kind + "-ckpt"))
-           .trigger(availableNow=True).start())
-    _check(q)
+    return (df.writeStream.outputMode("update").foreachBatch(upsert)
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def run_update(df: DataFrame, keys: list[str], kind: str = "stream-upsert", out: str | None = None,
+               checkpoint: str | None = None) -> str:
+    """Update-mode aggregate, upserted by ``keys``; windows that are still open at the end of the input
+    come out too.  Passing the ``out``/``checkpoint`` of an earlier run resumes it."""
+    spark = df.sparkSession
+    out = out or fresh_path(spark, kind)
+    _check(_start_update(df, keys, out, checkpoint or fresh_path(spark, kind + "-ckpt")))
     return out
 
 
 def latest_per_key(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
     """Current value of every key written by :func:`run_update`."""
-    batches = spark.read.parquet(out)
-    values = [c for c in batches.columns if c not in keys and c != "_batch"]
-    return (batches.groupBy(*keys)
-                   .agg(F.max_by(F.struct(*values), "_batch").alias("_v"))
-                   .select(*keys, "_v.*"))
-
-
-def start_service(df: DataFrame, fmt: str, out: str, checkpoint: str, mode: str = "append",
-                  every: str = "1 second") -> StreamingQuery:
-    """Long-running form: poll every ``every``; stop with ``run_for``."""
-    return (df.writeStream.format(fmt).outputMode(mode).option("path", out)
-              .option("checkpointLocation", checkpoint)
-              .trigger(processingTime=every).start())
+    return UpsertTable(spark, out, keys).read()
 
 
-def run_for(query: StreamingQuery, seconds: float) -> None:
-    """Let a service run for ``seconds`` and stop it."""
-    query.awaitTermination(seconds)
-    query.stop()
+def run_windows(stream: DataFrame, ts: str, size: str, keys: list[str], extra_aggs: dict | None = None,
+                kind: str = "windows", out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Run :func:`windowed_counts` over the available input and return its windows, and for the rows
+    without an event time one row per key with a null ``window_start``.  The rows themselves, flagged,
+    are in ``<out>/gate`` (``rejects.gated``).  The ``out``/``checkpoint`` of an earlier run resume it."""
+    spark = stream.sparkSession
+    out = out or fresh_path(spark, kind)
+    checkpoint = checkpoint or f"{out}/checkpoint"
+    extra = extra_aggs or {}
+    window_keys = ["window_start", *keys]
+    started = [_start_update(windowed_counts(stream, ts, size, keys, extra), window_keys, f"{out}/windows", f"{checkpoint}/windows"),
+               start_gate(stream, ts, f"{out}/gate", f"{checkpoint}/gate", parts=("rejected",))]
+    for q in started:
+        _check(q)
+    rejected = gated(spark, f"{out}/gate", stream.schema).where("is_reject")
+    aggs = [F.count(F.lit(1)).alias("n")] + [c.alias(name) for name, c in extra.items()]
+    timeless = rejected.groupBy(*keys).agg(*aggs).withColumn("window_start", F.lit(None).cast("string"))
+    return latest_per_key(spark, f"{out}/windows", window_keys).unionByName(timeless)
