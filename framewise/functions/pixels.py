@@ -9,11 +9,8 @@ inside, ``get`` is 0-based and returns null out of range.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _c(x) -> Column:
@@ -30,11 +27,16 @@ def to_columns(px, n: int, prefix: str = "pixel_") -> list[Column]:
     return [F.get(_c(px), i).cast("int").alias(f"{prefix}{i}") for i in range(n)]
 
 
-def reshape(px, h: int, w: int) -> Column:
-    """1-D -> h x w (array of rows)."""
-    arr = _c(px)
-    return F.transform(F.sequence(F.lit(0), F.lit(h - 1)),
-                       lambda r: F.slice(arr, r * w + 1, F.lit(w)))
+def _size(v) -> Column:
+    return F.lit(v) if isinstance(v, int) else _c(v)
+
+
+def reshape(px, h, w) -> Column:
+    """1-D -> h x w (array of rows); ``h``, ``w``: numbers, or columns with each frame's own size.  A
+    frame of another number of values gives null."""
+    arr, h, w = _c(px), _size(h), _size(w)
+    rows = F.transform(_upto(h), lambda r: F.slice(arr, r * w + 1, w))
+    return F.when(F.size(arr) == h * w, rows)
 
 
 def flatten(px2d) -> Column:
@@ -58,11 +60,12 @@ def crop(px, w: int, y0, y1, x0, x1) -> Column:
                        lambda r: F.slice(arr, r * w + x0 + 1, x1 - x0))
 
 
-def pool_mean(px, h: int, w: int, k: int = 2) -> Column:
-    """k x k mean pooling of an h x w frame -> ceil(h/k) x ceil(w/k) doubles; where ``k`` does not
-    divide, the cells of the last row and column are means of the pixels they have."""
-    arr = _c(px)
-    oh, ow = -(-h // k), -(-w // k)
+def pool_mean(px, h, w, k: int = 2) -> Column:
+    """k x k mean pooling of an h x w frame (numbers, or columns with each frame's own size) ->
+    ceil(h/k) x ceil(w/k) doubles; where ``k`` does not divide, the cells of the last row and column
+    are means of the pixels they have.  A frame of another number of values gives null."""
+    arr, h, w = _c(px), _size(h), _size(w)
+    oh, ow = F.ceil(h / k).cast("int"), F.ceil(w / k).cast("int")
 
     def cell(i):
         r0 = (i / ow).cast("int") * k  # output row * k
@@ -71,12 +74,12 @@ def pool_mean(px, h: int, w: int, k: int = 2) -> Column:
         for dr in range(k):
             for dc in range(k):
                 v = F.get(arr, (r0 + dr) * w + c0 + dc).cast("double")
-                if h % k or w % k:
+                if dr or dc:
                     v = F.when((r0 + dr < h) & (c0 + dc < w), v).otherwise(0.0)
                 total = v if total is None else total + v
         return total / (F.least(F.lit(k), h - r0) * F.least(F.lit(k), w - c0))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(oh * ow - 1)), cell)
+    return F.when(F.size(arr) == h * w, F.transform(_upto(oh * ow), cell))
 
 
 def nearest_resize(px, w, y0, y1, x0, x1, oh: int, ow: int) -> Column:
@@ -173,10 +176,57 @@ def argmax_decode(onehot) -> Column:
     return F.when(F.array_max(_c(onehot)) > 0, argmax(onehot))
 
 
-# ---- Arrow-batched helpers (the slow path, used only where SQL cannot) ----
+# ---- bytes ----
+
+def bytes_to_ints(data) -> Column:
+    """BINARY -> ARRAY<INT> of its unsigned bytes: as Latin-1 text every byte is one character, whose
+    code point is the byte."""
+    raw = _c(data)
+    chars = F.split(F.decode(raw, "ISO-8859-1"), "")
+    return F.when(F.octet_length(raw) > 0, F.transform(chars, lambda c: F.ascii(c))) \
+            .when(raw.isNotNull(), F.array().cast("array<int>"))
+
+
+def ints_to_bytes(px) -> Column:
+    """ARRAY<INT> -> BINARY, one byte a value; null if a value is null or not in 0..255."""
+    arr = _c(px)
+    whole = F.forall(arr, lambda p: F.coalesce(p.between(0, 255), F.lit(False)))
+    text = F.array_join(F.transform(arr, lambda p: F.lpad(F.hex(p), 2, "0")), "")
+    return F.when(whole, F.unhex(text))
+
+
+# ---- channels ----
+
+def channel(px, c: int, channels: int = 3) -> Column:
+    """One channel of an interleaved array."""
+    arr = _c(px)
+    return F.transform(_upto((F.size(arr) / channels).cast("int")), lambda i: F.get(arr, i * channels + c))
+
+
+def interleave(*planes) -> Column:
+    """Channels of one length -> interleaved array."""
+    cols = [_c(p) for p in planes]
+    first = cols[0]
+    return F.flatten(F.transform(_upto(F.size(first)), lambda i: F.array(*[F.get(c, i) for c in cols])))
+
+
+def to_bgr(px, channels) -> Column:
+    """Interleaved BGR of a picture of 1 (grey), 3 or 4 (BGR and alpha) channels; null for others."""
+    arr, n = _c(px), _c(channels)
+    grey = F.flatten(F.transform(arr, lambda p: F.array(p, p, p)))
+    opaque = F.transform(_upto((F.size(arr) / 4).cast("int") * 3), lambda k: F.get(arr, (k / 3).cast("int") * 4 + k % 3))
+    return F.when(n == 1, grey).when(n == 3, arr).when(n == 4, opaque)
+
+
+# ---- widths ----
+
+MAX_WIDTH = 20_000  # columns a wide layout may have
+
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def bytes_to_ints(col: pd.Series) -> pd.Series:
-    """BINARY -> ARRAY<INT> of its unsigned bytes (image ``data`` field)."""
-    return col.map(lambda b: None if b is None else
-                   np.frombuffer(bytes(b), dtype=np.uint8).astype(np.int32).tolist())
+def longest(frames: DataFrame, px: str = "pixels") -> int:
+    """Number of values of the longest frame, for layouts of one column a value: no value of any frame
+    is past it.  More than ``MAX_WIDTH`` is an error, not a cut."""
+    n = frames.agg(F.max(F.size(px))).first()[0] or 0
+    if n > MAX_WIDTH:
+        raise ValueError(f"a frame of {n} values does not fit a layout of at most {MAX_WIDTH} columns")
+    return max(int(n), 0)

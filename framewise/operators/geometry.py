@@ -2,9 +2,9 @@
 
 Landmarks are rows ``(frame_id, hand_id, pos, x, y)``.  Centres are
 two-level partial aggregates (points -> hands -> frame); the raw points are
-shuffled once, to meet their centre.  No operator buffers the points of a
-frame, so a frame id that holds a large share of the rows only makes a
-longer streaming task.
+shuffled once, to meet their centre.  There the points of a frame are dealt
+to ``SALTS`` parts and its centre row is sent to each, so a frame id that
+holds a large share of the rows spans as many tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FRAME_W, FRAME_H = 640, 480
+SALTS = 8  # parts the points of one frame are dealt to where they meet their centre
 
 
 def _trunc_mean(c: str):
@@ -29,20 +30,24 @@ def hand_centers(landmarks: DataFrame) -> DataFrame:
                                          _trunc_mean("hy").alias("cy"))
 
 
-def hand_reach(landmarks: DataFrame) -> DataFrame:
+def points_at_centre(landmarks: DataFrame, salts: int = SALTS) -> DataFrame:
+    """``(frame_id, x, y, cx, cy)``: every point beside its frame's centre, joined on the frame and a
+    salt of the point, the centres replicated over the salts."""
+    salt = F.pmod(F.xxhash64("hand_id", "pos", "x", "y"), F.lit(salts)).cast("int")
+    points = landmarks.select("frame_id", "x", "y", salt.alias("_salt"))
+    centers = hand_centers(landmarks).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return points.join(centers, ["frame_id", "_salt"]).drop("_salt")
+
+
+def hand_reach(landmarks: DataFrame, salts: int = SALTS) -> DataFrame:
     """``(frame_id, cx, cy, max_dist)``: largest distance of a point to the centre.
 
-    Centres come from the two-level partial aggregates (no raw-point shuffle);
-    the points then meet their frame's single centre row in one equi-join, so
-    the join streams the points and never buffers a group, even for a frame
-    id holding a large share of the rows; the final max is a partial
-    aggregate on the join's partitioning."""
-    pts = landmarks.select("frame_id", "hand_id", "x", "y")
-    centers = hand_centers(pts)
+    Centres come from the two-level partial aggregates (no raw-point shuffle); the points then meet
+    their frame's centre in a salted join.  The maximum is taken twice: in each task over the points
+    of a frame it holds, then over one row per frame and task."""
     dist = F.sqrt(F.pow(F.col("cx") - F.col("x"), 2) + F.pow(F.col("cy") - F.col("y"), 2))
-    return (pts.select("frame_id", "x", "y").join(centers, "frame_id")
-               .groupBy("frame_id")
-               .agg(F.max("cx").alias("cx"), F.max("cy").alias("cy"), F.max(dist).alias("max_dist")))
+    return (points_at_centre(landmarks, salts).groupBy("frame_id")
+            .agg(F.max("cx").alias("cx"), F.max("cy").alias("cy"), F.max(dist).alias("max_dist")))
 
 
 def with_defaults(frames: DataFrame, reach: DataFrame, width: int = FRAME_W,

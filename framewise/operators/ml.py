@@ -27,19 +27,23 @@ from ..functions.columns import keyed_bucket
 N_QUARTERS = 4
 
 
-def quarter_target(px="pixels", n: int = 64) -> Column:
-    """Learnable class of a frame: which quarter of the pixel vector has the
-    largest sum (0..3)."""
+def quarter_target(px="pixels") -> Column:
+    """Learnable class of a frame: which quarter of its values has the largest sum (0..3; the last
+    quarter takes the remainder, the first of equal sums wins)."""
     arr = F.col(px) if isinstance(px, str) else px
-    q = n // N_QUARTERS
-    sums = F.array(*[F.aggregate(F.slice(arr, i * q + 1, q), F.lit(0).cast("long"),
-                                 lambda acc, v: acc + v) for i in range(N_QUARTERS)])
+    n = F.size(arr)
+    q = F.floor(n / N_QUARTERS).cast("int")
+
+    def total(i: int) -> Column:
+        length = n - q * (N_QUARTERS - 1) if i == N_QUARTERS - 1 else q
+        return F.aggregate(F.slice(arr, q * i + 1, length), F.lit(0).cast("long"), lambda acc, v: acc + v)
+
+    sums = F.array(*[total(i) for i in range(N_QUARTERS)])
     return (F.array_position(sums, F.array_max(sums)) - 1).cast("int")
 
 
-def training_frames(frames: DataFrame, train_pct: int = 75, n_pixels: int = 64) -> DataFrame:
-    return frames.select("frame_id", "pixels",
-                         quarter_target("pixels", n_pixels).cast("double").alias("target"),
+def training_frames(frames: DataFrame, train_pct: int = 75) -> DataFrame:
+    return frames.select("frame_id", "pixels", quarter_target("pixels").cast("double").alias("target"),
                          (keyed_bucket("frame_id") < train_pct).alias("is_train"))
 
 

@@ -45,7 +45,8 @@ def src_csv_strings(spark, sf):
 SELECT CAST(frame_id AS INT) AS frame_id, label, {", ".join(f"pixels[{i + 1}] AS pixel_{i}" for i in range(64))}
 FROM fx_frames""")
 def src_csv_inferred(spark, sf):
-    wide = fx.frames(spark, sf).select("frame_id", "label", *P.to_columns("pixels", 64))
+    frames = fx.frames(spark, sf)
+    wide = frames.select("frame_id", "label", *P.to_columns("pixels", P.longest(frames)))
     path = IO.write_csv(wide, fresh_path(spark, "csv-inferred"))
     return IO.read_csv_inferred(spark, path)
 
@@ -53,12 +54,13 @@ def src_csv_inferred(spark, sf):
 @register("src_csv_headerless", fixtures=("frames",), sql=f"""
 SELECT label, {", ".join(f"pixels[{i}] AS pixel{i}" for i in range(1, 65))}, frame_id FROM fx_frames""")
 def src_csv_headerless(spark, sf):
-    """Training CSV without a header: ``label, pixel1 … pixel64, frame_id``."""
+    """Training CSV without a header: ``label, pixel1 …, frame_id``."""
     fr = fx.frames(spark, sf)
-    wide = fr.select("label", *P.to_columns("pixels", 64, prefix="c"), "frame_id")
+    n = P.longest(fr)
+    wide = fr.select("label", *P.to_columns("pixels", n, prefix="c"), "frame_id")
     path = IO.write_csv(wide, fresh_path(spark, "csv-headerless"), header=False)
-    names = ["label"] + [f"pixel{i}" for i in range(1, 65)] + ["frame_id"]
-    types = [T.IntegerType()] * 65 + [T.LongType()]
+    names = ["label"] + [f"pixel{i}" for i in range(1, n + 1)] + ["frame_id"]
+    types = [T.IntegerType()] * (n + 1) + [T.LongType()]
     return IO.read_csv_headerless(spark, path, names, types)
 
 
@@ -78,9 +80,10 @@ def src_local_rows(spark, sf):
 SELECT label, {", ".join(f"pixels[{i + 1}] AS pixel_{i}" for i in range(64))} FROM fx_frames""")
 def sink_csv_roundtrip(spark, sf):
     """Dataset CSV: header ``label, pixel_0 …``, overwrite, read back typed."""
-    wide = fx.frames(spark, sf).select("label", *P.to_columns("pixels", 64))
-    path = IO.write_csv(wide, fresh_path(spark, "dataset-csv"))
-    return IO.read_csv_typed(spark, path, wide_schema("label", 64, prefix="pixel_"))
+    frames = fx.frames(spark, sf)
+    n = P.longest(frames)
+    path = IO.write_csv(frames.select("label", *P.to_columns("pixels", n)), fresh_path(spark, "dataset-csv"))
+    return IO.read_csv_typed(spark, path, wide_schema("label", n, prefix="pixel_"))
 
 
 @register("sink_parquet_roundtrip", fixtures=("frames",),

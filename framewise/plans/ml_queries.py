@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import pixels as P
 from ..operators import bursts as B
 from ..operators import labels as L
 from ..operators import ml as M
@@ -120,7 +121,7 @@ def predict_batch(spark, sf):
 def udf_predict_batch(spark, sf):
     """An outside numpy model served through ``predict_batch_udf`` (Arrow
     batches, one model build per worker)."""
-    score = SC.served_udf(n_pixels=64)
+    score = SC.served_udf(n_pixels=P.longest(fx.frames(spark, sf)))
     return fx.frames(spark, sf).select("frame_id", score(F.col("pixels").cast("array<double>")).alias("prediction"))
 
 
@@ -227,16 +228,16 @@ def stream_burst_letters_evict(spark, sf):
 # ---- preparation flows ----
 
 _GRID = f"""WITH {_B},
-q AS (SELECT frame_id, x0 + dx AS sx0, x1 - dx AS sx1, y0 + CAST(floor(dy / 2.0) AS INT) AS sy0,
+q AS (SELECT frame_id, cx, cy, md, x0 + dx AS sx0, x1 - dx AS sx1, y0 + CAST(floor(dy / 2.0) AS INT) AS sy0,
              y1 - CAST(floor(dy / 2.0) AS INT) AS sy1 FROM g),
-gr AS (SELECT frame_id, (sx0 * 8) // 640 AS gx0, (sy0 * 8) // 480 AS gy0,
+gr AS (SELECT frame_id, cx, cy, md, (sx0 * 8) // 640 AS gx0, (sy0 * 8) // 480 AS gy0,
               least(greatest((sx0 * 8) // 640 + 1, CAST(ceil(sx1 * 8 / 640::DOUBLE) AS INT)), 8) AS gx1,
               least(greatest((sy0 * 8) // 480 + 1, CAST(ceil(sy1 * 8 / 480::DOUBLE) AS INT)), 8) AS gy1 FROM q)"""
 
 
 @register("frame_prep_pipeline", fixtures=("landmarks", "frames"), sql=f"""{_GRID}
 SELECT f.frame_id, list_transform(range(0, 16), lambda i:
-  f.pixels[(gy0 + (i // 4) * (gy1 - gy0) // 4) * 8 + gx0 + (i % 4) * (gx1 - gx0) // 4 + 1]) AS pixels
+  f.pixels[(gy0 + (i // 4) * (gy1 - gy0) // 4) * 8 + gx0 + (i % 4) * (gx1 - gx0) // 4 + 1]) AS pixels, false AS is_reject
 FROM fx_frames f JOIN gr ON f.frame_id = gr.frame_id""")
 def frame_prep_pipeline(spark, sf):
     return PR.hand_crops(fx.frames(spark, sf), fx.landmarks(spark, sf))
@@ -288,10 +289,12 @@ def flagship_letters(spark, sf):
 
 
 @register("debug_stage_tee", fixtures=("landmarks", "frames"), sql=f"""{_GRID}
-SELECT 'box' AS stage, frame_id, [gx0, gy0, gx1, gy1] AS "values" FROM gr
+SELECT 'centre' AS stage, frame_id, [cx::DOUBLE, cy::DOUBLE, round(md, 6)] AS "values" FROM gr
+UNION ALL
+SELECT 'box', frame_id, [gx0::DOUBLE, gy0::DOUBLE, gx1::DOUBLE, gy1::DOUBLE] FROM gr
 UNION ALL
 SELECT 'crop', f.frame_id, list_transform(range(0, 16), lambda i:
-  f.pixels[(gy0 + (i // 4) * (gy1 - gy0) // 4) * 8 + gx0 + (i % 4) * (gx1 - gx0) // 4 + 1])
+  f.pixels[(gy0 + (i // 4) * (gy1 - gy0) // 4) * 8 + gx0 + (i % 4) * (gx1 - gx0) // 4 + 1]::DOUBLE)
 FROM fx_frames f JOIN gr ON f.frame_id = gr.frame_id""")
 def debug_stage_tee(spark, sf):
     return PR.debug_tee(fx.frames(spark, sf), fx.landmarks(spark, sf)).select("stage", "frame_id", "values")

@@ -42,7 +42,7 @@ FROM embeddings
 """
 
 PICTURES = """
-SELECT frame_id, label, CASE frame_id % 3 WHEN 0 THEN 8 WHEN 1 THEN 4 ELSE 16 END AS height,
+SELECT frame_id, stream_name, ts, label, CASE frame_id % 3 WHEN 0 THEN 8 WHEN 1 THEN 4 ELSE 16 END AS height,
   CASE frame_id % 3 WHEN 0 THEN 8 WHEN 1 THEN 16 ELSE 4 END AS width, pixels,
   list_transform(range(0, 3 * len(pixels)), lambda k: CAST((pixels[k // 3 + 1] * (k % 3 + 1) + k % 3 * 37) % 256 AS INT)) AS bgr
 FROM fx_frames

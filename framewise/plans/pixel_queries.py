@@ -1,4 +1,5 @@
-"""Registered array/pixel queries over the 8x8 ``frames``."""
+"""Registered array/pixel queries over ``frames`` and, where height and width matter, ``pictures`` of
+three shapes.  Wide layouts take their number of columns from the longest frame."""
 
 from __future__ import annotations
 
@@ -6,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import pixels as P
 from ..operators import frames as FR
+from ..operators import prep as PR
 from ..sources import fixtures as fx
 from ..sources.tables import table
 from .catalog import register
 
-H = W = 8
-N = H * W
+N = 64  # values of the frames of the given tables, for the SQL texts of the wide layouts
 _F = ("frames",)
 _P = ("frames", "pictures")
 N_CLASSES = 29
@@ -35,20 +36,21 @@ def arr_from_columns(spark, sf):
 
 @register("arr_to_columns", fixtures=_F, sql=f"SELECT frame_id, label, {_duck_cols(N)} FROM fx_frames")
 def arr_to_columns(spark, sf):
-    return _frames(spark, sf).select("frame_id", "label", *P.to_columns("pixels", N))
+    frames = _frames(spark, sf)
+    return frames.select("frame_id", "label", *P.to_columns("pixels", P.longest(frames)))
 
 
-@register("arr_reshape", fixtures=_F, sql="""
-SELECT frame_id, list_transform(range(0, 8), lambda r: pixels[r * 8 + 1 : r * 8 + 8]) AS grid FROM fx_frames""")
+_ROWS = "list_transform(range(0, height), lambda r: pixels[r * width + 1 : r * width + width])"
+
+
+@register("arr_reshape", fixtures=_P, sql=f"SELECT frame_id, {_ROWS} AS grid FROM fx_pictures")
 def arr_reshape(spark, sf):
-    return _frames(spark, sf).select("frame_id", P.reshape("pixels", H, W).alias("grid"))
+    return fx.pictures(spark, sf).select("frame_id", P.reshape("pixels", "height", "width").alias("grid"))
 
 
-@register("arr_flatten", fixtures=_F, sql="""
-SELECT frame_id, flatten(list_transform(range(0, 8), lambda r: pixels[r * 8 + 1 : r * 8 + 8])) AS flat
-FROM fx_frames""")
+@register("arr_flatten", fixtures=_P, sql=f"SELECT frame_id, flatten({_ROWS}) AS flat FROM fx_pictures")
 def arr_flatten(spark, sf):
-    return _frames(spark, sf).select("frame_id", P.flatten(P.reshape("pixels", H, W)).alias("flat"))
+    return fx.pictures(spark, sf).select("frame_id", P.flatten(P.reshape("pixels", "height", "width")).alias("flat"))
 
 
 @register("arr_argmax", fixtures=_F,
@@ -57,24 +59,30 @@ def arr_argmax(spark, sf):
     return _frames(spark, sf).select("frame_id", P.argmax("pixels").alias("argmax"))
 
 
-@register("arr_crop", fixtures=_F, sql="""
-SELECT frame_id, list_transform(range(2, 6), lambda r: pixels[r * 8 + 2 : r * 8 + 7]) AS crop FROM fx_frames""")
+@register("arr_crop", fixtures=_P, sql="""
+SELECT frame_id, list_transform(range(height // 4, height - height // 4),
+  lambda r: pixels[r * width + width // 4 + 1 : r * width + width - width // 4]) AS crop FROM fx_pictures""")
 def arr_crop(spark, sf):
-    return _frames(spark, sf).select("frame_id", P.crop("pixels", W, 2, 6, 1, 7).alias("crop"))
+    """The middle of every picture: a quarter of its own height and width off each side."""
+    h, w = F.col("height"), F.col("width")
+    dy, dx = F.floor(h / 4).cast("int"), F.floor(w / 4).cast("int")
+    return fx.pictures(spark, sf).select("frame_id", P.crop("pixels", w, dy, h - dy, dx, w - dx).alias("crop"))
 
 
-@register("arr_pool_2x2", fixtures=_F, sql="""
-SELECT frame_id, list_transform(range(0, 16), lambda i:
-  (pixels[(i // 4) * 16 + (i % 4) * 2 + 1] + pixels[(i // 4) * 16 + (i % 4) * 2 + 2]
-   + pixels[(i // 4) * 16 + (i % 4) * 2 + 9] + pixels[(i // 4) * 16 + (i % 4) * 2 + 10])::DOUBLE / 4.0) AS pooled
-FROM fx_frames""")
+@register("arr_pool_2x2", fixtures=_P, sql="""
+SELECT frame_id, list_transform(range(0, (height // 2) * (width // 2)), lambda i:
+  (pixels[(i // (width // 2)) * 2 * width + (i % (width // 2)) * 2 + 1] + pixels[(i // (width // 2)) * 2 * width + (i % (width // 2)) * 2 + 2]
+   + pixels[((i // (width // 2)) * 2 + 1) * width + (i % (width // 2)) * 2 + 1]
+   + pixels[((i // (width // 2)) * 2 + 1) * width + (i % (width // 2)) * 2 + 2])::DOUBLE / 4.0) AS pooled
+FROM fx_pictures""")
 def arr_pool_2x2(spark, sf):
-    return _frames(spark, sf).select("frame_id", P.pool_mean("pixels", H, W, 2).alias("pooled"))
+    return fx.pictures(spark, sf).select("frame_id", P.pool_mean("pixels", "height", "width", 2).alias("pooled"))
 
 
 @register("split_label_features", fixtures=_F, sql="SELECT frame_id, label, pixels AS features FROM fx_frames")
 def split_label_features(spark, sf):
-    wide = _frames(spark, sf).select("label", *P.to_columns("pixels", N), "frame_id")
+    frames = _frames(spark, sf)
+    wide = frames.select("label", *P.to_columns("pixels", P.longest(frames)), "frame_id")
     label_col, feature_cols = wide.columns[0], wide.columns[1:-1]
     return wide.select("frame_id", F.col(label_col).alias("label"),
                        P.from_columns(*feature_cols).alias("features"))
@@ -154,10 +162,11 @@ def pixels_explode(spark, sf):
 @register("pixels_regroup", fixtures=_F, sql="SELECT frame_id AS chunk_id, pixels FROM fx_frames")
 def pixels_regroup(spark, sf):
     """Flatten every frame into one pixel stream, then rebuild frames from
-    chunks of N consecutive positions (order restored by position)."""
-    flat = FR.explode_pixels(_frames(spark, sf)) \
-        .select((F.col("frame_id") * N + F.col("pos")).alias("gpos"), "pixel")
-    return FR.regroup(flat, N)
+    chunks of consecutive positions (order restored by position)."""
+    frames = _frames(spark, sf)
+    n = P.longest(frames)
+    flat = FR.explode_pixels(frames).select((F.col("frame_id") * n + F.col("pos")).alias("gpos"), "pixel")
+    return FR.regroup(flat, n)
 
 
 @register("label_one_hot", fixtures=_F, sql=f"""
@@ -190,3 +199,35 @@ def frame_metadata(spark, sf):
     meta = F.struct("height", "width", channels.alias("channels"))
     return fx.pictures(spark, sf).select("frame_id", F.to_json(meta).alias("metadata"),
                                          F.size("bgr").cast("bigint").alias("n_values"))
+
+
+_SIDE = 28
+_PLANES = f"""planes AS (SELECT stream_name, frame_id, label, height, width, ch, list_transform(range(0, height * width), lambda k: bgr[k * 3 + ch + 1]) AS pixels
+  FROM fx_pictures, range(0, 3) t(ch)),
+small AS (SELECT frame_id, stream_name, label, height, width, ch, {_duck_bilinear("height", "width", _SIDE, _SIDE)} AS px FROM planes),
+bytes AS (SELECT b.frame_id, b.stream_name, b.label, b.height, b.width,
+  list_transform(range(0, {3 * _SIDE * _SIDE}), lambda k: CASE k % 3 WHEN 0 THEN b.px[k // 3 + 1] WHEN 1 THEN g.px[k // 3 + 1] ELSE r.px[k // 3 + 1] END) AS bgr,
+  list_transform(range(0, {_SIDE * _SIDE}), lambda i: CAST((b.px[i + 1] * 114 + g.px[i + 1] * 587 + r.px[i + 1] * 299 + 500) // 1000 AS INT)) AS grey
+  FROM small b JOIN small g ON g.frame_id = b.frame_id JOIN small r ON r.frame_id = b.frame_id WHERE b.ch = 0 AND g.ch = 1 AND r.ch = 2)"""
+
+
+def _duck_hex(px: str) -> str:
+    return f"array_to_string(list_transform({px}, lambda p: printf('%02X', p)), '')"
+
+
+@register("video_frames", fixtures=_P, sql=f"""WITH {_PLANES}
+SELECT stream_name, CAST(row_number() OVER (PARTITION BY stream_name ORDER BY frame_id) - 1 AS INT) AS frame_number,
+       CAST(to_json({{'Height': height, 'Width': width, 'Channels': 3}}) AS VARCHAR) AS metadata,
+       octet_length(unhex({_duck_hex("bgr")})) AS n_bytes, md5(unhex({_duck_hex("bgr")})) AS pixel_md5, {_duck_hex("grey")} AS grey_hex FROM bytes""")
+def video_frames(spark, sf):
+    """Video frame records: number in the stream, size, 28x28 BGR bytes, 28x28 grey bytes (as hex)."""
+    rows = PR.frame_records(fx.pictures(spark, sf), side=_SIDE)
+    return rows.select("stream_name", "frame_number", "metadata", F.octet_length("pixel_data").cast("bigint").alias("n_bytes"),
+                       F.md5("pixel_data").alias("pixel_md5"), F.hex("grey_data").alias("grey_hex"))
+
+
+@register("pixel_bytes", fixtures=_F, sql=f"SELECT frame_id, {_duck_hex('pixels')} AS bytes, pixels FROM fx_frames")
+def pixel_bytes(spark, sf):
+    """Grey frames to displayable bytes and back to numbers."""
+    packed = _frames(spark, sf).select("frame_id", P.ints_to_bytes("pixels").alias("data"))
+    return packed.select("frame_id", F.hex("data").alias("bytes"), P.bytes_to_ints("data").alias("pixels"))

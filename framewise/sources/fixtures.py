@@ -138,7 +138,7 @@ def pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
     bgr = F.transform(F.sequence(F.lit(0), F.size("pixels") * 3 - 1),
                       lambda k: (F.get("pixels", (k / 3).cast("int")) * (k % 3 + 1) + k % 3 * 37) % 256)
     return frames(spark, sf_dir).select(
-        "frame_id", "label", F.when(kind == 0, 8).when(kind == 1, 4).otherwise(16).alias("height"),
+        "frame_id", "stream_name", "ts", "label", F.when(kind == 0, 8).when(kind == 1, 4).otherwise(16).alias("height"),
         F.when(kind == 0, 8).when(kind == 1, 16).otherwise(4).alias("width"), "pixels", bgr.alias("bgr"))
 
 

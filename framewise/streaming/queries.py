@@ -24,6 +24,7 @@ from ..schemas import EVENTS, WATERMARK
 from ..session import fresh_path
 from .feeder import BURST_RECORD
 from .rejects import gated, start_gate
+from .service import run_for, start_service  # noqa: F401 - the runners of this module and those of services together
 from .upsert import UpsertTable
 
 

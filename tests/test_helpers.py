@@ -105,9 +105,11 @@ def test_hand_crops_of_frames_and_pictures_of_other_sizes(spark):
     from framewise.operators import prep as PR
 
     marks = spark.createDataFrame([], "frame_id long, hand_id int, pos int, x int, y int")  # no hand: 480 x 480 in the middle
-    frames = spark.createDataFrame([(1, list(range(64))), (2, list(range(100)))], "frame_id long, pixels array<int>")
-    got = {r.frame_id: r.pixels for r in PR.hand_crops(frames, marks).collect()}
-    assert len(got[1]) == 16 and got[2] is None
+    frames = spark.createDataFrame([(1, list(range(64))), (2, list(range(100))), (3, list(range(60)))], "frame_id long, pixels array<int>")
+    got = {r.frame_id: r for r in PR.hand_crops(frames, marks).collect()}
+    assert len(got[1].pixels) == len(got[2].pixels) == 16 and not got[1].is_reject and not got[2].is_reject
+    assert got[2].pixels[0] == 1 and got[2].pixels[-1] == 77  # columns 1 to 8 of ten, all rows
+    assert got[3].pixels is None and got[3].is_reject
     # 8 rows of 12: the box is columns 1 to 10, blue only, the same in a column
     bgr = [v for _ in range(8) for x in range(12) for v in (x * 20, 0, 0)]
     pictures = spark.createDataFrame([(1, 8, 12, bgr), (2, 8, 12, bgr[:-1]), (3, -1, -1, [])],
