@@ -17,6 +17,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once: an expression named inside a lambda would be
+    evaluated again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def from_columns(*cols) -> Column:
     """N columns -> one array."""
     return F.array(*[_c(c) for c in cols])
@@ -34,9 +40,8 @@ def _size(v) -> Column:
 def reshape(px, h, w) -> Column:
     """1-D -> h x w (array of rows); ``h``, ``w``: numbers, or columns with each frame's own size.  A
     frame of another number of values gives null."""
-    arr, h, w = _c(px), _size(h), _size(w)
-    rows = F.transform(_upto(h), lambda r: F.slice(arr, r * w + 1, w))
-    return F.when(F.size(arr) == h * w, rows)
+    h, w = _size(h), _size(w)
+    return let(_c(px), lambda arr: F.when(F.size(arr) == h * w, F.transform(_upto(h), lambda r: F.slice(arr, r * w + 1, w))))
 
 
 def flatten(px2d) -> Column:
@@ -54,20 +59,18 @@ def crop(px, w: int, y0, y1, x0, x1) -> Column:
 
     Bounds may be Columns (per-row boxes) or ints.
     """
-    arr = _c(px)
     y0, y1, x0, x1 = (F.lit(v) if isinstance(v, int) else v for v in (y0, y1, x0, x1))
-    return F.transform(F.sequence(y0, y1 - 1),
-                       lambda r: F.slice(arr, r * w + x0 + 1, x1 - x0))
+    return let(_c(px), lambda arr: F.transform(F.sequence(y0, y1 - 1), lambda r: F.slice(arr, r * w + x0 + 1, x1 - x0)))
 
 
 def pool_mean(px, h, w, k: int = 2) -> Column:
     """k x k mean pooling of an h x w frame (numbers, or columns with each frame's own size) ->
     ceil(h/k) x ceil(w/k) doubles; where ``k`` does not divide, the cells of the last row and column
     are means of the pixels they have.  A frame of another number of values gives null."""
-    arr, h, w = _c(px), _size(h), _size(w)
+    h, w = _size(h), _size(w)
     oh, ow = F.ceil(h / k).cast("int"), F.ceil(w / k).cast("int")
 
-    def cell(i):
+    def cell(arr, i):
         r0 = (i / ow).cast("int") * k  # output row * k
         c0 = (i % ow) * k
         total = None
@@ -79,35 +82,32 @@ def pool_mean(px, h, w, k: int = 2) -> Column:
                 total = v if total is None else total + v
         return total / (F.least(F.lit(k), h - r0) * F.least(F.lit(k), w - c0))
 
-    return F.when(F.size(arr) == h * w, F.transform(_upto(oh * ow), cell))
+    return let(_c(px), lambda arr: F.when(F.size(arr) == h * w, F.transform(_upto(oh * ow), lambda i: cell(arr, i))))
 
 
 def nearest_resize(px, w, y0, y1, x0, x1, oh: int, ow: int) -> Column:
     """Crop box ``[y0:y1, x0:x1]`` of a width-``w`` frame, resampled to oh x ow
     by nearest neighbour (source index = start + out_index * size div out_size)."""
-    arr = _c(px)
-
-    def cell(i):
+    def cell(arr, i):
         r = (i / ow).cast("int")
         c = i % ow
         sr = y0 + F.floor(r * (y1 - y0) / oh).cast("int")
         sc = x0 + F.floor(c * (x1 - x0) / ow).cast("int")
         return F.get(arr, sr * w + sc)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(oh * ow - 1)), cell)
+    return let(_c(px), lambda arr: F.transform(F.sequence(F.lit(0), F.lit(oh * ow - 1)), lambda i: cell(arr, i)))
 
 
 def bilinear_resize(px, h, w, oh: int, ow: int) -> Column:
     """Half-pixel-centre bilinear resize of an h x w frame (``h``, ``w``: ints or per-row columns)
     to oh x ow ints, rounded half to even and kept in 0..255; null for a null frame."""
-    arr = _c(px)
-    h, w = (F.lit(v) if isinstance(v, int) else _c(v) for v in (h, w))
+    h, w = _size(h), _size(w)
 
     def source(i, n, on: int) -> Column:
         at = (i.cast("double") + 0.5) * n.cast("double") / float(on) - 0.5
         return F.least(F.greatest(at, F.lit(0.0)), (n - 1).cast("double"))
 
-    def cell(i):
+    def cell(arr, i):
         sy, sx = source((i / ow).cast("int"), h, oh), source(i % ow, w, ow)
         y0, x0 = F.floor(sy).cast("int"), F.floor(sx).cast("int")
         y1, x1 = F.least(y0 + 1, h - 1), F.least(x0 + 1, w - 1)
@@ -120,7 +120,8 @@ def bilinear_resize(px, h, w, oh: int, ow: int) -> Column:
         bottom = at(y1, x0) * (1 - fx) + at(y1, x1) * fx
         return F.least(F.greatest(F.rint(top * (1 - fy) + bottom * fy).cast("int"), F.lit(0)), F.lit(255))
 
-    return F.when(arr.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(oh * ow - 1)), cell))
+    cells = F.sequence(F.lit(0), F.lit(oh * ow - 1))
+    return let(_c(px), lambda arr: F.when(arr.isNotNull(), F.transform(cells, lambda i: cell(arr, i))))
 
 
 def _upto(n) -> Column:
@@ -130,19 +131,16 @@ def _upto(n) -> Column:
 
 def rgb_swap(px) -> Column:
     """BGR <-> RGB on an interleaved array of any number of pixels."""
-    arr = _c(px)
-    return F.transform(_upto(F.size(arr)), lambda k: F.get(arr, (k - k % 3) + 2 - k % 3))
+    return let(_c(px), lambda arr: F.transform(_upto(F.size(arr)), lambda k: F.get(arr, (k - k % 3) + 2 - k % 3)))
 
 
 def bgr_to_grey(px) -> Column:
     """Luma 0.114 B + 0.587 G + 0.299 R of every pixel, rounded half up, in exact integer math."""
-    arr = _c(px)
-
-    def grey(i):
+    def grey(arr, i):
         b, g, r = (F.get(arr, i * 3 + c) for c in range(3))
         return ((b * 114 + g * 587 + r * 299 + 500) / 1000).cast("int")
 
-    return F.transform(_upto((F.size(arr) / 3).cast("int")), grey)
+    return let(_c(px), lambda arr: F.transform(_upto((F.size(arr) / 3).cast("int")), lambda i: grey(arr, i)))
 
 
 def scale(px, divisor: float = 255.0) -> Column:
@@ -199,22 +197,20 @@ def ints_to_bytes(px) -> Column:
 
 def channel(px, c: int, channels: int = 3) -> Column:
     """One channel of an interleaved array."""
-    arr = _c(px)
-    return F.transform(_upto((F.size(arr) / channels).cast("int")), lambda i: F.get(arr, i * channels + c))
+    return let(_c(px), lambda arr: F.transform(_upto((F.size(arr) / channels).cast("int")), lambda i: F.get(arr, i * channels + c)))
 
 
 def interleave(*planes) -> Column:
     """Channels of one length -> interleaved array."""
-    cols = [_c(p) for p in planes]
-    first = cols[0]
-    return F.flatten(F.transform(_upto(F.size(first)), lambda i: F.array(*[F.get(c, i) for c in cols])))
+    zipped = F.arrays_zip(*[_c(p).alias(f"p{i}") for i, p in enumerate(planes)])
+    return F.flatten(F.transform(zipped, lambda v: F.array(*[v[f"p{i}"] for i in range(len(planes))])))
 
 
 def to_bgr(px, channels) -> Column:
     """Interleaved BGR of a picture of 1 (grey), 3 or 4 (BGR and alpha) channels; null for others."""
     arr, n = _c(px), _c(channels)
     grey = F.flatten(F.transform(arr, lambda p: F.array(p, p, p)))
-    opaque = F.transform(_upto((F.size(arr) / 4).cast("int") * 3), lambda k: F.get(arr, (k / 3).cast("int") * 4 + k % 3))
+    opaque = let(arr, lambda a: F.transform(_upto((F.size(a) / 4).cast("int") * 3), lambda k: F.get(a, (k / 3).cast("int") * 4 + k % 3)))
     return F.when(n == 1, grey).when(n == 3, arr).when(n == 4, opaque)
 
 

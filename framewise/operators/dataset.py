@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,27 @@ def first_n(df: DataFrame, order_cols: list[str], n: int) -> DataFrame:
     return df.orderBy(*order_cols).limit(n)
 
 
-def random_preview(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Preview with replacement (Poisson sampling per partition)."""
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+POISSON_BITS = 32
+
+
+def poisson_bounds(fraction: float) -> list[int]:
+    """A row is drawn once for each bound its 32-bit hash reaches: the cumulated Poisson probabilities."""
+    bounds, term, total = [], math.exp(-fraction), 0.0
+    for k in range(1, 64):
+        total += term
+        bound = round(total * 2 ** POISSON_BITS)
+        if bound >= 2 ** POISSON_BITS:
+            break
+        bounds.append(bound)
+        term *= fraction / k
+    return bounds
+
+
+def random_preview(df: DataFrame, key: str, fraction: float, seed: int = 42, copy: str = "copy") -> DataFrame:
+    """Preview with replacement: every row comes out a Poisson number of times, of mean ``fraction``, by the
+    md5 of ``seed:key``, with the number of the draw in ``copy``.  The same rows are drawn on any
+    cluster, partitioning and engine; there is no shuffle."""
+    text = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    times = sum((F.when(h >= b, 1).otherwise(0) for b in poisson_bounds(fraction)), F.lit(0))
+    return df.withColumn(copy, F.explode(F.when(times > 0, F.sequence(F.lit(0), times - 1))))

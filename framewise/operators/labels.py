@@ -31,6 +31,17 @@ def with_label(names: DataFrame, dim: DataFrame, path_col: str = "path",
                  .drop("_lid"))
 
 
+OTHER = "other"
+
+
+def with_known_label(names: DataFrame, dim: DataFrame, path_col: str = "path") -> DataFrame:
+    """Adds ``label_token``: the class name in the file name, or ``OTHER`` where it is none of ``dim``."""
+    known = F.broadcast(dim.select(F.col("label_name").alias("_token"), F.col("label_name").alias("_known")))
+    token = label_token(file_stem(path_col))
+    return (names.withColumn("_token", token).join(known, "_token", "left")
+                 .withColumn("label_token", F.coalesce("_known", F.lit(OTHER))).drop("_token", "_known"))
+
+
 def parse_sequence(names: DataFrame, path_col: str = "path") -> DataFrame:
     """Numeric file stems become ``sequence``; other stems are flagged."""
     stem = file_stem(path_col)

@@ -109,6 +109,14 @@ def training_rows(pictures: DataFrame, out: int = OUT) -> DataFrame:
                        P.bilinear_resize("grey", "height", "width", out, out).alias("pixels"))
 
 
+def dataset_rows(pictures: DataFrame, side: int) -> DataFrame:
+    """``label, pixel_0 …``: every BGR picture -> ``side`` x ``side`` (bilinear, each channel) -> grey -> one
+    column a pixel."""
+    planes = pictures.withColumns({f"r{c}": P.bilinear_resize(P.channel("bgr", c), "height", "width", side, side) for c in range(3)})
+    grey = planes.select("label", P.bgr_to_grey(P.interleave("r0", "r1", "r2")).alias("pixels"))
+    return grey.select("label", *P.to_columns("pixels", side * side))
+
+
 def frame_records(pictures: DataFrame, stream_col: str = "stream_name", order_col: str = "frame_id", side: int = 28) -> DataFrame:
     """Video frame records ``(stream, frame_number, metadata, pixel_data, grey_data)``: the number of each
     frame in its stream from 0, its size as JSON, and its pixels as ``side`` x ``side`` bytes, BGR and grey.

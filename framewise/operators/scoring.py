@@ -19,17 +19,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.pixels import let
+
 CLASSES = 29
 
 
 def linear_class(px: Column, classes: int = CLASSES) -> Column:
     """Predicted class of a pixel array of any length, in the JVM; null pixels give null."""
-    def score(k: Column) -> Column:
-        terms = F.transform(px, lambda p, i: p.cast("long") * ((i * (2 * k + 1) + 7 * k) % 23 - 11))
+    def score(values: Column, k: Column) -> Column:
+        terms = F.transform(values, lambda p, i: p.cast("long") * ((i * (2 * k + 1) + 7 * k) % 23 - 11))
         return F.aggregate(terms, F.lit(0).cast("long"), lambda a, x: a + x)
 
-    scores = F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), score)
-    return F.get(F.transform(F.array(scores), lambda s: F.array_position(s, F.array_max(s)) - 1), F.lit(0)).cast("int")
+    # the pixels and the scores are bound once; named inside a lambda they would be worked out per class
+    scores = let(px, lambda values: F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda k: score(values, k)))
+    return let(scores, lambda s: F.array_position(s, F.array_max(s)) - 1).cast("int")
 
 
 class LinearScorer(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):

@@ -4,11 +4,15 @@ back through the source under test."""
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import pixels as P
+from ..operators import dataset as D
 from ..operators import labels as L
+from ..operators import ml as M
 from ..schemas import LABELS_DIM, label_rows, wide_schema
 from ..session import fresh_path
 from ..sources import files as IO
@@ -145,3 +149,50 @@ def src_survey_csv(spark, sf):
     back = IO.read_csv_inferred(spark, IO.write_csv(facts, fresh_path(spark, "survey-csv")))
     return back.groupBy("GEO", "REF_DATE").agg(F.round(F.avg(F.col("VALUE").cast("double")), 6).alias("avg_value"),
                                                F.count(F.lit(1)).alias("n"))
+
+
+@register("src_csv_row_arrays", fixtures=("frames",), sql="""
+SELECT CAST(pixels AS DOUBLE[]) AS "values", count(*) AS n FROM fx_frames GROUP BY ALL""")
+def src_csv_row_arrays(spark, sf):
+    """Lines of bare numbers, one picture a line, back as arrays."""
+    lines = fx.frames(spark, sf).select(F.array_join(F.col("pixels").cast("array<string>"), ",").alias("line"))
+    back = IO.read_csv_rows_as_arrays(spark, IO.append_lines(lines, fresh_path(spark, "csv-rows")))
+    return back.groupBy("values").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("src_csv_pixel_column", fixtures=("frames",), sql="""
+SELECT stream_name, row_number() OVER (PARTITION BY stream_name ORDER BY frame_id) - 1 AS picture, pixels FROM fx_frames""")
+def src_csv_pixel_column(spark, sf):
+    """One column of pixels per stream, written in frame order, back to pictures by position."""
+    frames = fx.frames(spark, sf)
+    n, root = P.longest(frames), fresh_path(spark, "csv-column")
+    flat = frames.select("stream_name", "frame_id", F.posexplode("pixels").alias("pos", "Pixel"))
+    ordered = flat.repartition("stream_name").sortWithinPartitions("stream_name", "frame_id", "pos")
+    ordered.select("stream_name", "Pixel").write.partitionBy("stream_name").option("header", True).csv(root)
+    back = IO.read_csv_column(spark, root, "Pixel", "INT")
+    picture = F.floor(F.col("position") / n).cast("long").alias("picture")
+    rows = back.groupBy("path", picture).agg(F.array_sort(F.collect_list(F.struct("position", "Pixel"))).alias("_s"))
+    return rows.select(F.regexp_extract("path", "stream_name=([^/]+)/", 1).alias("stream_name"), "picture",
+                       F.transform("_s", lambda s: s["Pixel"]).alias("pixels"))
+
+
+@register("src_csv_pair", fixtures=("frames",), sql="""
+SELECT frame_id, CASE WHEN ('0x' || substr(md5(CAST(frame_id AS VARCHAR)), 1, 8))::UBIGINT % 100 < 75 THEN 'train' ELSE 'test' END AS part,
+       CASE WHEN label > 9 THEN label - 1 ELSE label END AS label, len(pixels) AS n_features,
+       round(list_sum(list_transform(pixels, lambda p: p / 255.0::DOUBLE)), 6) AS feature_sum FROM fx_frames""")
+def src_csv_pair(spark, sf):
+    """The train and test CSV pair: wide files read with their schema, label gap closed, pixel columns
+    assembled to a scaled vector."""
+    frames = fx.frames(spark, sf)
+    n = P.longest(frames)
+    wide = D.keyed_split(frames.select("frame_id", "label", *P.to_columns("pixels", n, prefix="pixel")), "frame_id", 75)
+    schema = T.StructType([T.StructField("frame_id", T.LongType()), *wide_schema("label", n).fields])
+    parts = []
+    for part, side in (("train", F.col("is_train")), ("test", ~F.col("is_train"))):
+        path = IO.write_csv(wide.where(side).drop("is_train"), fresh_path(spark, part))
+        parts.append(IO.read_csv_typed(spark, path, schema).withColumn("part", F.lit(part)))
+    rows = parts[0].unionByName(parts[1]).withColumn("label", L.close_gap("label"))
+    assembled = Pipeline(stages=M.wide_features([f"pixel{i}" for i in range(n)])).fit(rows).transform(rows)
+    values = vector_to_array("features")
+    return assembled.select("frame_id", "part", "label", F.size(values).cast("bigint").alias("n_features"),
+                            F.round(F.aggregate(values, F.lit(0.0), lambda a, v: a + v), 6).alias("feature_sum"))

@@ -144,3 +144,16 @@ def split_train_valid_70(spark, sf):
 @register("preview_first_n", sql="SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 10")
 def preview_first_n(spark, sf):
     return D.first_n(table(spark, sf, "documents").select("doc_id", "lang", "n_chars"), ["doc_id"], 10)
+
+
+_PREVIEW = 0.3
+_DRAWS = " + ".join(f"CASE WHEN h >= {b} THEN 1 ELSE 0 END" for b in D.poisson_bounds(_PREVIEW))
+
+
+@register("preview_random", sql=f"""
+WITH d AS (SELECT doc_id, lang, ('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::UBIGINT AS h FROM documents),
+t AS (SELECT doc_id, lang, {_DRAWS} AS times FROM d)
+SELECT doc_id, lang, CAST(unnest(range(0, times)) AS INT) AS copy FROM t""")
+def preview_random(spark, sf):
+    """Random preview with replacement, by a hash of the key."""
+    return D.random_preview(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id", _PREVIEW)

@@ -12,6 +12,8 @@ from ..operators import ml as M
 from ..operators import prep as PR
 from ..operators import quality as Q
 from ..operators import scoring as SC
+from ..operators.ranking import ranked
+from ..schemas import wide_schema
 from ..session import fresh_path
 from ..sources import files as IO
 from ..sources import fixtures as fx
@@ -22,7 +24,7 @@ from ..streaming import queries as SQ
 from .catalog import register
 from .geometry_queries import _B
 from .io_queries import _png_folder
-from .pixel_queries import _duck_bilinear
+from .pixel_queries import _PLANES, _duck_bilinear
 
 
 def _training(spark, sf):
@@ -54,18 +56,20 @@ def ml_mlp(spark, sf):
 
 
 _TOKENS = """
-SELECT file_id, split_part(split_part(string_split(path, '/')[-1], '.', 1), '_', 1) AS label_token
-FROM fx_image_names
+SELECT file_id, coalesce(d.label_name, 'other') AS label_token FROM fx_image_names n
+LEFT JOIN fx_labels_dim d ON d.label_name = split_part(split_part(string_split(path, '/')[-1], '.', 1), '_', 1)
 """
 
 
-@register("ml_label_index", fixtures=("image_names",), sql=f"""
+@register("ml_label_index", fixtures=("image_names", "labels_dim"), sql=f"""
 WITH t AS ({_TOKENS}),
 c AS (SELECT label_token, count(*) AS n FROM t GROUP BY label_token),
 r AS (SELECT label_token, CAST(row_number() OVER (ORDER BY n DESC, label_token) - 1 AS DOUBLE) AS token_index FROM c)
 SELECT t.file_id, t.label_token, r.token_index FROM t JOIN r USING (label_token)""")
 def ml_label_index(spark, sf):
-    names = L.with_label(fx.image_names(spark, sf), fx.labels_dim(spark)).select("file_id", "label_token")
+    """Labels by frequency.  Names that are none of the 29 are one class, so what the indexer brings to
+    the driver has 30 names at most."""
+    names = L.with_known_label(fx.image_names(spark, sf), fx.labels_dim(spark)).select("file_id", "label_token")
     model = M.label_indexer("label_token", "token_index").fit(names)
     return model.transform(names)
 
@@ -171,6 +175,32 @@ def transcript_from_labels(spark, sf):
     return transcripts(L.lookup(fr, fx.labels_dim(spark), "label_id"))
 
 
+PIECE = 4096  # letters of a piece of a line
+
+
+def line_pieces(lettered, keys=("stream_name", "minute"), order="frame_id", piece=PIECE):
+    """The lines of :func:`transcripts` as ordered pieces of at most ``piece`` letters (``keys``,
+    ``piece_no``, ``text``): letters get their place in the line over ranges, so no task holds a line,
+    however long.  The pieces of a line, joined in order, are the line."""
+    placed = ranked(lettered.select(*keys, order, "glyph"), list(keys), [order], "place")
+    number = F.floor((F.col("place") - 1) / piece).cast("long").alias("piece_no")
+    return placed.groupBy(*keys, number).agg(F.expr(f"listagg(glyph, '') WITHIN GROUP (ORDER BY place)").alias("text"))
+
+
+_MINUTE = F.date_format(F.date_trunc("minute", "ts"), "yyyy-MM-dd HH:mm")
+
+
+@register("transcript_pieces", fixtures=("frames", "labels_dim"), sql="""
+WITH l AS (SELECT stream_name, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS minute, frame_id, coalesce(glyph, '?') AS glyph
+           FROM fx_frames f LEFT JOIN fx_labels_dim d ON d.label_id = f.label),
+p AS (SELECT *, (row_number() OVER (PARTITION BY stream_name, minute ORDER BY frame_id) - 1) // 16 AS piece_no FROM l)
+SELECT stream_name, minute, piece_no, string_agg(glyph, '' ORDER BY frame_id) AS text FROM p GROUP BY ALL""")
+def transcript_pieces(spark, sf):
+    """The transcript in pieces of 16 letters."""
+    fr = fx.frames(spark, sf).select("frame_id", "stream_name", _MINUTE.alias("minute"), F.col("label").alias("label_id"))
+    return line_pieces(L.lookup(fr, fx.labels_dim(spark), "label_id"), piece=16)
+
+
 def _burst_letters(spark, root, max_files=None):
     """The burst file stream, scored and lettered."""
     stream = SQ.burst_stream(spark, root, max_files).withColumnRenamed("Pixels", "pixels")
@@ -267,6 +297,64 @@ def picture_prep_pipeline(spark, sf):
     return PR.picture_crops(decoded, fx.landmarks(spark, sf))
 
 
+_SIDE = 28
+_HAND_28 = f"""WITH {_B},
+q AS (SELECT frame_id, x0 + dx AS sx0, x1 - dx AS sx1, y0 + CAST(floor(dy / 2.0) AS INT) AS sy0,
+             y1 - CAST(floor(dy / 2.0) AS INT) AS sy1 FROM g),
+box AS (SELECT p.*, sx1, sy1, greatest(0, least((sx0 * p.width) // 640, p.width - 1)) AS gx0,
+             greatest(0, least((sy0 * p.height) // 480, p.height - 1)) AS gy0
+      FROM q JOIN fx_pictures p ON p.frame_id = q.frame_id),
+own AS (SELECT frame_id, width AS pw, bgr, gx0, gy0,
+             least(greatest(gx0 + 1, CAST(ceil(sx1 * width / 640::DOUBLE) AS INT)), width) - gx0 AS width,
+             least(greatest(gy0 + 1, CAST(ceil(sy1 * height / 480::DOUBLE) AS INT)), height) - gy0 AS height FROM box),
+cut AS (SELECT frame_id, ch, width, height, list_transform(range(0, width * height),
+             lambda k: bgr[((gy0 + k // width) * pw + gx0 + k % width) * 3 + ch + 1]) AS pixels FROM own, range(0, 3) t(ch)),
+small AS (SELECT frame_id, ch, {_duck_bilinear("height", "width", _SIDE, _SIDE)} AS px FROM cut),
+crops AS (SELECT b.frame_id, list_transform(range(0, {_SIDE * _SIDE}), lambda i:
+  CAST((b.px[i + 1] * 114 + n.px[i + 1] * 587 + r.px[i + 1] * 299 + 500) // 1000 AS INT)) AS px
+FROM small b JOIN small n ON n.frame_id = b.frame_id JOIN small r ON r.frame_id = b.frame_id
+WHERE b.ch = 0 AND n.ch = 1 AND r.ch = 2)"""
+
+
+def _decoded(spark, folder):
+    """Picture files -> ``path``, ``height``, ``width``, ``bgr``, in the JVM."""
+    return IO.image_pixels(IO.read_images(spark, folder)).select(
+        F.col("origin").alias("path"), "height", "width", F.col("pixels").alias("bgr"))
+
+
+@register("picture_letters", fixtures=("landmarks", "frames", "pictures", "labels_dim"), sql=f"""{_HAND_28},
+s AS (SELECT frame_id, {_duck_linear("px")} AS prediction FROM crops),
+l AS (SELECT frame_id, coalesce(glyph, '?') AS glyph, (row_number() OVER (ORDER BY frame_id) - 1) // 64 AS piece_no
+      FROM s LEFT JOIN fx_labels_dim d ON d.label_id = s.prediction)
+SELECT 'all' AS run, piece_no, string_agg(glyph, '' ORDER BY frame_id) AS text FROM l GROUP BY ALL""")
+def picture_letters(spark, sf):
+    """The whole batch conversion: picture files -> decode -> hand box -> crop -> 28 x 28 -> grey ->
+    model -> letter -> the ordered line of the run, in pieces."""
+    decoded = L.parse_sequence(_decoded(spark, _png_folder(spark, sf))).withColumn("frame_id", F.col("sequence"))
+    crops = PR.picture_crops(decoded, fx.landmarks(spark, sf), out=_SIDE)
+    lettered = _lettered(spark, SC.linear_model().transform(crops)).withColumn("run", F.lit("all"))
+    return line_pieces(lettered, keys=("run",), piece=64)
+
+
+@register("dataset_csv", fixtures=("frames", "pictures", "labels_dim"), sql=f"""WITH {_PLANES},
+named AS (SELECT frame_id, CASE WHEN frame_id % 13 = 5 OR d.label_id IS NULL THEN 27 ELSE d.label_id END AS label, grey
+          FROM bytes b LEFT JOIN fx_labels_dim d ON d.label_id = b.label)
+SELECT label, {", ".join(f"grey[{i + 1}] AS pixel_{i}" for i in range(_SIDE * _SIDE))} FROM named""")
+def dataset_csv(spark, sf):
+    """The training set from picture files named by their class: decode -> resize 28 x 28 -> grey -> label
+    of the file name -> wide CSV, read back with its schema."""
+    pictures = fx.pictures(spark, sf).withColumnRenamed("label", "label_id")
+    named = pictures.join(F.broadcast(fx.labels_dim(spark).select("label_id", "label_name")), "label_id", "left") \
+                    .withColumn("stem", F.concat_ws("_", F.when(F.col("frame_id") % 13 == 5, F.lit("junk"))
+                                                    .otherwise(F.coalesce("label_name", F.lit("none"))), "frame_id"))
+    root = fresh_path(spark, "dataset-png")
+    rgb = named.select("frame_id", "stem", "height", "width", P.rgb_swap("bgr").alias("pixels"))
+    IMG.write_pngs(rgb, root, "height", "width", channels=3, stem="stem").write.format("noop").mode("overwrite").save()
+    rows = L.with_label(_decoded(spark, root), fx.labels_dim(spark)).select(F.col("label_id").alias("label"), "height", "width", "bgr")
+    return IO.read_csv_typed(spark, IO.write_csv(PR.dataset_rows(rows, _SIDE), fresh_path(spark, "dataset-28")),
+                             wide_schema("label", _SIDE * _SIDE, prefix="pixel_"))
+
+
 _CROPS = f"""{_GRID},
 crops AS (SELECT f.frame_id, stream_name, ts, list_transform(range(0, 16), lambda i:
   f.pixels[(gy0 + (i // 4) * (gy1 - gy0) // 4) * 8 + gx0 + (i % 4) * (gx1 - gx0) // 4 + 1]) AS px

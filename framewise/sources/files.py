@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.pixels import bytes_to_ints
+from ..operators.ranking import ranked
 
 
 # ---- CSV ----
@@ -41,6 +42,27 @@ def read_csv_headerless(spark: SparkSession, path: str, names: list[str],
     return spark.read.schema(schema).option("header", "false").csv(path)
 
 
+# ---- CSV of bare numbers ----
+
+def read_csv_rows_as_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, values ARRAY<DOUBLE>)``: every line of comma-separated numbers as one array, of any
+    length; a text that is no number is null in its place."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    return lines.select("path", F.transform(F.split("value", ","), lambda v: F.trim(v).try_cast("double")).alias("values"))
+
+
+def read_csv_column(spark: SparkSession, path: str, name: str, kind: str, header: bool = True) -> DataFrame:
+    """``(path, position, <name>)`` of a one-column CSV: the position of every value in its file, from 0.
+
+    A file is read in splits by different tasks.  Inside a split rows come in order, and
+    ``file_block_start`` orders the splits, so the position is a rank by (split, order in the split); it
+    is taken over ranges, and one long file spans many tasks."""
+    rows = spark.read.schema(f"{name} {kind}").option("header", header).csv(path) \
+                .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"), name)
+    placed = ranked(rows.withColumn("_order", F.monotonically_increasing_id()), ["path"], ["_start", "_order"], "_rank")
+    return placed.select("path", (F.col("_rank") - 1).alias("position"), name)
+
+
 # ---- Parquet / text ----
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,

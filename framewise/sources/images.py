@@ -44,9 +44,10 @@ def _open_fs(root: str):
 
 
 def write_pngs(frames: DataFrame, root: str, height: int | str, width: int | str, channels: int = 1,
-               key: str = "frame_id") -> DataFrame:
+               key: str = "frame_id", stem: str | None = None) -> DataFrame:
     """Write ``{root}/{key}.png`` per row; returns ``(key, path, n_bytes)`` rows.  ``height`` and
-    ``width`` are numbers, or names of columns with each picture's own size.
+    ``width`` are numbers, or names of columns with each picture's own size; ``stem`` names a column
+    with the file's name, unique to the row, in place of its key.
     The result is lazy — run an action on it to write."""
     out_schema = T.StructType([T.StructField(key, T.LongType()),
                                T.StructField("path", T.StringType()),
@@ -57,9 +58,9 @@ def write_pngs(frames: DataFrame, root: str, height: int | str, width: int | str
         filesystem.create_dir(base, recursive=True)
         for pdf in batches:
             paths, sizes = [], []
-            for k, px, h, w in zip(pdf[key], pdf["pixels"], pdf["_h"], pdf["_w"]):
+            for name, px, h, w in zip(pdf["_stem"], pdf["pixels"], pdf["_h"], pdf["_w"]):
                 data = encode_png(px, h, w, channels)
-                p = f"{base}/{int(k)}.png"
+                p = f"{base}/{name}.png"
                 with filesystem.open_output_stream(p) as f:
                     f.write(data)
                 paths.append(p)
@@ -68,7 +69,8 @@ def write_pngs(frames: DataFrame, root: str, height: int | str, width: int | str
                                 "n_bytes": pd.Series(sizes, dtype="int64")})
 
     sizes = [(F.col(v) if isinstance(v, str) else F.lit(v)).alias(n) for n, v in (("_h", height), ("_w", width))]
-    return frames.select(key, "pixels", *sizes).mapInPandas(write, out_schema)
+    name = F.col(stem or key).cast("string").alias("_stem")
+    return frames.select(key, "pixels", name, *sizes).mapInPandas(write, out_schema)
 
 
 def frame_key_from_path(path_col: str = "path"):

@@ -72,7 +72,7 @@ def test_previews(spark, sf_dir):
     docs = fx.pred(spark, sf_dir)
     first = D.first_n(docs, ["sample_id"], 5).collect()
     assert [r.sample_id for r in first] == [0, 1, 2, 3, 4]
-    sample = D.random_preview(docs, 0.5, seed=7)
+    sample = D.random_preview(docs, "sample_id", 0.5, seed=7).drop("copy")
     assert sample.count() > 0
     assert sample.join(docs, "sample_id", "left_anti").count() == 0
 
