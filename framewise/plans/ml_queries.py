@@ -184,10 +184,7 @@ def line_pieces(lettered, keys=("stream_name", "minute"), order="frame_id", piec
     however long.  The pieces of a line, joined in order, are the line."""
     placed = ranked(lettered.select(*keys, order, "glyph"), list(keys), [order], "place")
     number = F.floor((F.col("place") - 1) / piece).cast("long").alias("piece_no")
-    return placed.groupBy(*keys, number).agg(F.expr(f"listagg(glyph, '') WITHIN GROUP (ORDER BY place)").alias("text"))
-
-
-_MINUTE = F.date_format(F.date_trunc("minute", "ts"), "yyyy-MM-dd HH:mm")
+    return placed.groupBy(*keys, number).agg(F.expr("listagg(glyph, '') WITHIN GROUP (ORDER BY place)").alias("text"))
 
 
 @register("transcript_pieces", fixtures=("frames", "labels_dim"), sql="""
@@ -197,7 +194,7 @@ p AS (SELECT *, (row_number() OVER (PARTITION BY stream_name, minute ORDER BY fr
 SELECT stream_name, minute, piece_no, string_agg(glyph, '' ORDER BY frame_id) AS text FROM p GROUP BY ALL""")
 def transcript_pieces(spark, sf):
     """The transcript in pieces of 16 letters."""
-    fr = fx.frames(spark, sf).select("frame_id", "stream_name", _MINUTE.alias("minute"), F.col("label").alias("label_id"))
+    fr = fx.frames(spark, sf).select("frame_id", "stream_name", F.date_format(F.date_trunc("minute", "ts"), "yyyy-MM-dd HH:mm").alias("minute"), F.col("label").alias("label_id"))
     return line_pieces(L.lookup(fr, fx.labels_dim(spark), "label_id"), piece=16)
 
 
