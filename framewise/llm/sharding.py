@@ -120,13 +120,15 @@ def shard_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     get rows of their own; shards may stay empty; an empty table gives none."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = saved(df.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-                           F.crc32(text).alias("crc"), F.sha2(text, 256).alias("h")), "sizes")
+                           F.crc32(text).alias("crc"), F.sha2(text, 256).alias("h"),
+                           F.monotonically_increasing_id().alias("row")), "sizes")
     groups = saved(rows.groupBy("h").agg(F.sum("size").alias("w")), "groups")
     _, begins = minimax_cuts(groups, shards)
     shard = reduce(lambda a, b: a + b, [(F.col("h") >= F.lit(b)).cast("int") for b in begins], F.lit(0))
     spread = rows.count() // (_SLOT_ROWS * shards) + 1
+    # the row number deals repeated rows (equal id and text) to all parts of their shard
     placed = rows.select("*", shard.alias("shard"),
-                         F.pmod(F.xxhash64("id", "h"), F.lit(spread)).cast("int").alias("part"))
+                         F.pmod(F.xxhash64("id", "h", "row"), F.lit(spread)).cast("int").alias("part"))
     sizes = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))

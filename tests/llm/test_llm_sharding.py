@@ -85,3 +85,32 @@ def test_odd_rows(odd, empty):
     assert sharding.shard_documents(empty).count() == 0
     clash = odd.withColumnsRenamed({"lang": "h", "source": "shard", "n_chars": "slot"})
     assert sharding.shard_documents(clash).count() == odd.count()
+
+
+def test_repeated_rows_are_dealt_to_all_parts(spark, monkeypatch):
+    """Half of the rows are one id and text: the numbering of slots spreads them over many groups."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(sharding, "_SLOT_ROWS", 50)
+    rows = spark.range(4000).selectExpr("if(id % 2 = 0, 0, id) as doc_id", "if(id % 2 = 0, 'the same', concat('text ', id)) as text")
+    parts = []
+    window = sharding.Window.partitionBy
+
+    def seen(*cols):
+        parts.append(cols)
+        return window(*cols)
+
+    monkeypatch.setattr(sharding.Window, "partitionBy", seen)
+    placed = sharding.shard_documents(rows, shards=4)
+    assert ("shard", "part") in parts
+    got = placed.collect()
+    hot = [r for r in got if r.doc_id == 0]
+    assert len(hot) == 2000 and len({r.shard for r in hot}) == 1
+    for s in range(4):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    # the hot rows' slots are spread over their whole shard, not one run of it
+    slots = sorted(r.slot for r in hot)
+    total = sum(r.shard == hot[0].shard for r in got)
+    assert total == 2000 or slots[-1] - slots[0] > 2000
+    numbered = placed.select(F.col("doc_id")).count()
+    assert numbered == 4000
