@@ -1,20 +1,23 @@
 """Personal data in texts: patterns propose, validators confirm, context words adjust the score.
 
 Base kinds (e-mail, IP, payment card, phone) are reported wherever their pattern and check hold.
-Further kinds are reported when their score, raised by a passed checksum and by context words near
-the span, reaches ``THRESHOLD``.
+Further kinds (account and identity numbers, secrets) are reported when their score reaches
+``THRESHOLD``: it starts from what pattern and checksum alone are worth, words near the span that name
+the kind raise it, and words that name something else of that look lower it.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn")  # listing order for spans of one start
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "nir", "dni", "secret")  # listing order for spans of one start
 THRESHOLD = 0.6
 NEAR = 48  # characters before and after a span that are searched for context words
 
@@ -25,6 +28,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+_NIR = re.compile(r"(?<![0-9])[12]\x20?[0-9]{2}\x20?(?:0[1-9]|1[0-2])\x20?[0-9]{2}\x20?[0-9]{3}\x20?[0-9]{3}\x20?[0-9]{2}(?![0-9])")
+_DNI = re.compile(r"(?<![A-Za-z0-9])(?:[0-9]{8}|[XYZ][0-9]{7})-?[A-Z](?![A-Za-z0-9])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{20,}={0,2}(?![A-Za-z0-9_/+=-])")
 _DIGIT = re.compile(r"[0-9]")
 
 #: Context words of the kinds that need them (fixed list).
@@ -35,10 +41,24 @@ CONTEXT = {
     "phone": ("phone", "tel", "call", "mobile", "fax"),
     "iban": ("iban", "account", "bank", "transfer", "konto", "compte", "cuenta"),
     "ssn": ("ssn", "social security"),
+    "nir": ("nir", "insee", "carte vitale", "securite sociale", "sécurité sociale"),
+    "dni": ("dni", "nif", "nie", "documento", "identidad"),
+    "secret": ("token", "secret", "password", "passwd", "api key", "api_key", "apikey", "access key", "access_key", "auth", "bearer", "credential"),
 }
-#: Score of a span by its pattern and validator alone, and what context words add.
-BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.7, "ssn": 0.3}
+#: Words that name something else of the same look (fixed list).
+AGAINST = {
+    "iban": ("serial", "part no", "part number", "isbn", "order no", "order number"),
+    "ssn": ("part no", "part number", "order no", "order number", "serial"),
+    "nir": ("serial", "order no", "order number", "isbn"),
+    "dni": ("serial", "part no", "part number"),
+    "secret": ("commit", "sha1", "sha256", "md5", "checksum", "digest", "etag", "revision"),
+}
+#: Score of a span by its pattern and validator alone, and what context words add or take.
+BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.7, "ssn": 0.3, "nir": 0.65, "dni": 0.4, "secret": 0.35}
 CONTEXT_SCORE = 0.35
+AGAINST_SCORE = 0.35
+MIN_ENTROPY = 3.0  # bits a character that a secret has at least
+_DNI_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"  # check letter by the number modulo 23 (fixed value)
 
 
 def luhn(digits: str) -> bool:
@@ -59,6 +79,25 @@ def _ssn_ok(span: str) -> bool:
     return area not in ("000", "666") and area < "900" and group != "00" and serial != "0000"
 
 
+def _nir_ok(span: str) -> bool:
+    digits = span.replace(" ", "")
+    return int(digits[13:]) == 97 - int(digits[:13]) % 97
+
+
+def _dni_ok(span: str) -> bool:
+    span = span.replace("-", "")
+    number = int(str("XYZ".find(span[0])) + span[1:-1] if span[0] in "XYZ" else span[:-1])
+    return _DNI_LETTERS[number % 23] == span[-1]
+
+
+def _secret_ok(span: str) -> bool:
+    """Letters and digits, as mixed as random ones: words and numbers are not."""
+    if not (_DIGIT.search(span) and re.search("[A-Za-z]", span)):
+        return False
+    n = len(span)
+    return -sum(c / n * math.log2(c / n) for c in Counter(span).values()) >= MIN_ENTROPY
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost non-overlapping matches, found from each @ outwards."""
     free, at = 0, text.find("@")
@@ -101,8 +140,10 @@ def _iban_spans(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _score(kind: str, text: str, start: int, end: int) -> float:
-    near = text[max(0, start - NEAR):end + NEAR].lower()
-    return min(1.0, BASE_SCORE[kind] + CONTEXT_SCORE * any(w in near for w in CONTEXT[kind]))
+    """Context words are those beside the span, not inside it."""
+    near = f"{text[max(0, start - NEAR):start]}\n{text[end:end + NEAR]}".lower()
+    score = BASE_SCORE[kind] + CONTEXT_SCORE * any(w in near for w in CONTEXT[kind])
+    return max(0.0, min(1.0, score) - AGAINST_SCORE * any(w in near for w in AGAINST.get(kind, ())))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -121,7 +162,8 @@ def more_spans(text: str) -> list[tuple[int, int, str]]:
     if not _DIGIT.search(text):
         return []
     found = [(s, e, "iban") for s, e in _iban_spans(text)]
-    found += [(m.start(), m.end(), "ssn") for m in _SSN.finditer(text) if _ssn_ok(m[0])]
+    for kind, pattern, ok in (("ssn", _SSN, _ssn_ok), ("nir", _NIR, _nir_ok), ("dni", _DNI, _dni_ok), ("secret", _SECRET, _secret_ok)):
+        found += [(m.start(), m.end(), kind) for m in pattern.finditer(text) if ok(m[0])]
     return [(s, e, k) for s, e, k in found if _score(k, text, s, e) >= THRESHOLD]
 
 

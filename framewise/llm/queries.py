@@ -160,8 +160,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = F.filter("spans", lambda s: s["base"])
     counts = [of(kind) for kind in ("email", "ip", "card", "phone")]
+    scores = F.array_join(F.transform("spans", lambda s: F.round(s["score"], 2).cast("string")), ",")
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"),
-                        listed(F.col("spans")).alias("spans"))
+                        listed(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"),
+                        scores.alias("scores"))
 
 
 @query("op11_spelling_variants")

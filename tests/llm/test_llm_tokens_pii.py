@@ -89,3 +89,23 @@ def test_ibans_after_other_words_and_each_other():
     assert [(s, e) for s, e, _ in pii.more_spans("AB12 DE89370400440532013000")] == [(5, 27)]
     assert [(s, e) for s, e, _ in pii.more_spans(two.replace("00 GB", "00, GB"))] == [(0, 27), (29, 56)]
     assert pii.more_spans("AB12 DE88370400440532013000 CD34 EF56") == []
+
+
+def test_context_decides_the_added_kinds():
+    from framewise.llm.pii import more_spans
+
+    def kinds(text):
+        return [k for _, _, k in more_spans(text)]
+
+    key = "9742a250774262d69ad6a86100194ed53da5a0ef"
+    assert kinds(f'the token = "{key}"') == ["secret"] and kinds(f"see {key}") == [] and kinds(f"auth fix, commit {key}") == []
+    assert kinds("password: " + "a" * 40) == [] and kinds("password: 1234567890123456789012345") == []  # no letters, or no mixture
+    assert kinds("password: pneumonoultramicroscopicsilicovolcanoconiosis1") == ["secret"]
+    iban = "DE89 3704 0044 0532 0130 00"
+    assert kinds(f"pay {iban} now") == ["iban"] and kinds(f"serial {iban}") == [] and kinds(f"serial of the bank account {iban}") == ["iban"]
+    assert kinds("SSN 219-09-9999") == ["ssn"] and kinds("219-09-9999") == [] and kinds("SSN or part number 219-09-9999") == []
+    assert kinds("DNI 12345678Z") == ["dni"] and kinds("12345678Z") == [] and kinds("DNI 12345678A") == [] and kinds("NIE X1234567L") == ["dni"]
+    nir = "2 55 08 14 168 025 38"
+    assert kinds(f"n. {nir}.") == ["nir"] and kinds("n. 2 55 08 14 168 025 39.") == [] and kinds(f"order number {nir}") == []
+    spans = more_spans(f"x token {key} y")
+    assert spans == [(8, 48, "secret")]
