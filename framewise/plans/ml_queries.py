@@ -25,6 +25,7 @@ from .catalog import register
 from .geometry_queries import _B
 from .io_queries import _png_folder
 from .pixel_queries import _PLANES, _duck_bilinear
+from .quality_queries import _K
 
 
 def _training(spark, sf):
@@ -138,6 +139,16 @@ def pred_truth_pairs(spark, sf):
     return pairs.withColumn("hit", F.col("actual") == F.col("prediction"))
 
 
+@register("scored_report", fixtures=("frames", "labels_dim"), sql=f"""
+WITH fx_pred AS (SELECT label AS actual, prediction AS predicted FROM ({_SCORED}) t), {_K}
+SELECT cls, round(p, 6) AS prec, round(r, 6) AS rec, round(f, 6) AS f1, CAST(ap AS BIGINT) AS support FROM r""")
+def scored_report(spark, sf):
+    """A model's evaluation as a report per class: frames scored, paired with their labels by key, and
+    written once, so that every metric is over the same predictions."""
+    pairs = pred_truth_pairs(spark, sf).select("frame_id", "actual", F.col("prediction").alias("predicted"))
+    return Q.report(spark.read.parquet(IO.write_parquet(pairs, fresh_path(spark, "predictions"))))
+
+
 @register("predict_transcript", fixtures=("frames", "labels_dim"), sql=f"""
 SELECT stream_name, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS minute,
        string_agg(glyph, '' ORDER BY frame_id) AS line FROM ({_SCORED}) t GROUP BY ALL""")
