@@ -4,13 +4,14 @@
    shards about its distinct ones, one binary row per chunk and shard.
 2. N-grams go to shards by ranges of their keys: hash of the context, shifted by four bits of the
    successor's hash (so a context met at every third word is spread over 16 ranges), then 24 bits
-   of the successor.  Requests are Elias-Fano coded.  A shard adds the chunks' training counts up, builds its level of the trie
-   (``eliasfano.Level``: contexts, pointers, successors, quantised probabilities, memory-mapped)
-   and answers the chunks from it.
+   of the successor.  Two contexts of one last word are thus told apart by 32 bits.  Requests are
+   Elias-Fano coded.  A shard adds the chunks' training counts up, builds its level of the trie
+   (``eliasfano.Level``: contexts, pointers, successors, quantised counts, memory-mapped) and answers
+   the chunks from it.  Levels are not linked with each other, and none is kept.
 3. The chunk's documents are scored from the answers, interpolating the orders with Dirichlet
    smoothing: p_k = (c_k + strength * p_(k-1)) / (c_(k-1) of the context + strength), down to the
-   add-one unigram.  Unigram counts are exact, higher orders are quantised to 16-bit codes of
-   log10 of their share of the training tokens (exact to 1024 occurrences, then within 0.1 %).
+   add-one unigram.  Unigram counts are exact, those of higher orders are quantised to 16-bit codes
+   (exact to 1024 occurrences, then within 0.1 %).
 
 Nothing is pruned: the model holds every n-gram of every training document.
 """
