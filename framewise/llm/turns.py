@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,7 @@ from .common import saved
 
 BLOCK = 1024  # rows of a block
 DIGIT = 3     # bits of a letter
+_SHORT = 64   # rows of a block whose table is kept for equal blocks
 LETTERS = {"D": 1, "I": 2, "K": 3, "R": 4}
 _NAMES = {v: k for k, v in LETTERS.items()}
 KEEP, REROLE, DELETE, INSERT, CUT = 0, 2, 3, 2, 1  # costs; CUT for a truncated row that stays
@@ -119,6 +121,18 @@ def backward(rows: list[tuple[str, int]], scripts: Scripts, after: list[int | No
     return after
 
 
+@lru_cache(maxsize=1 << 12)
+def packed_table(rows: tuple[tuple[str, int], ...]) -> bytes:
+    """The table of a block, packed; equal blocks are worked out once per worker (short conversations
+    are often alike)."""
+    return _pack(block_table(list(rows)))
+
+
+@lru_cache(maxsize=1 << 12)
+def joined(tables: tuple[bytes, ...]) -> tuple[int, str, list[tuple[int, str]]]:
+    return join_blocks([_unpack(t) for t in tables])
+
+
 def block_table(rows: list[tuple[str, int]]) -> list[list[tuple[int, int, int] | None]]:
     """For each state in front and each behind: (cost, letters, number) of the least script."""
     scripts = Scripts(3 * len(rows))
@@ -152,6 +166,10 @@ def join_blocks(tables: list[list[list[tuple[int, int, int] | None]]]) -> tuple[
     return after[START] >> scripts.bits, whole, out
 
 
+def _table_of(rows: tuple[tuple[str, int], ...]) -> bytes:
+    return packed_table(rows) if len(rows) <= _SHORT else packed_table.__wrapped__(rows)
+
+
 def _text(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(" "))
 
@@ -213,7 +231,7 @@ def _blocks(facts: DataFrame) -> DataFrame:
         turns = [t for t in table["turn"].to_pylist() if t is not None]
         illegal = sum(a + b not in _LEGAL for a, b in zip(initials, initials[1:]))
         row = (key, block, len(faults), faults.count(BLANK), faults.count(DUPLICATE), faults.count(TRUNCATED), illegal, initials[0], initials[-1],
-               len(set(turns)), turns[0] if turns else None, turns[-1] if turns else None, _pack(block_table(list(zip(initials, faults)))))
+               len(set(turns)), turns[0] if turns else None, turns[-1] if turns else None, _table_of(tuple(zip(initials, faults))))
         return pa.table({f.name: pa.array([v], f.type) for f, v in zip(_BLOCK_SCHEMA, row)})
 
     return facts.groupBy("key", "block").applyInArrow(run, _BLOCK)
@@ -231,7 +249,8 @@ def _scripts(blocks: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.sort_by("block").to_pylist()
-        cost, audit, parts = join_blocks([_unpack(r["table"]) for r in rows])
+        tables = tuple(r["table"] for r in rows)
+        cost, audit, parts = joined(tables) if len(tables) == 1 else joined.__wrapped__(tables)
         illegal = sum(r["illegal"] for r in rows) + sum(a["last"] + b["first"] not in _LEGAL for a, b in zip(rows, rows[1:]))
         timed = [r for r in rows if r["turns"]]
         distinct = sum(r["turns"] for r in timed) - sum(a["last_turn"] == b["first_turn"] for a, b in zip(timed, timed[1:]))
