@@ -7,11 +7,12 @@
    minhashes thus do the work of ``2 * ROWS * bands ** 2``.  A pair at the threshold misses all
    tables only if it misses a whole collection; ``bands`` is the least number that keeps the chance
    of either below ``MISS``.
-3. A bucket is not expanded into pairs.  Its members first meet one centre (a star); verified links
-   become components, and only members of different components go on.  After the stars, what is
-   left meets in blocks (every pair of blocks its own group), where the sizes of the sets and the
-   agreement of their minhashes discard pairs that are far from the threshold.
-4. Every candidate is confirmed on the full sets; components of the links give the smallest id.
+3. A bucket is not expanded into pairs.  Its centre is the member that meets the most others in all
+   tables; the star of a centre holds all members of its buckets.  Members first meet their centre.
+   Where a star is then not one component, its rows meet in blocks (every pair of blocks its own
+   group), each with only what it differs in from the centre.  A block counts all intersections as
+   matrix products and reports a spanning forest of the links, never the pairs.  Blocks of rows that are linked to the centre already do not meet.
+4. Every link is confirmed on the full sets; components of the links give the smallest id.
 """
 
 from __future__ import annotations
@@ -32,8 +33,9 @@ from .words import hash_words, mix
 
 ROWS = 2            # minhashes of a half key
 MISS = 1e-5         # chance that a pair at the threshold misses one collection of half keys
-STARS = 2           # rounds of stars before the rest of a bucket meets in blocks
-TILE = 256          # rows of a block
+BLOCK = 1 << 18     # set members of a block, about
+BLOCK_ROWS = 512    # rows of a block, about
+_COLUMNS = 1 << 13  # set members counted at a time
 _PIECE = 1 << 22    # bytes of text hashed at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -97,12 +99,12 @@ def _minhashes(sets: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
-_SIGNATURE = "id long, text_key long, size long, digest binary, half array<long>, marks binary"
+_SIGNATURE = "id long, text_key long, size long, digest binary, half array<long>, marks array<int>"
 
 
 def signatures(df: DataFrame, id_col: str, text_col: str, plan: Plan) -> DataFrame:
-    """(id, text_key, size, digest, half, marks): one row per row of ``df``; ``half`` holds the half
-    keys of both collections, ``marks`` 16 bits of each minhash.  Texts without words have size 0."""
+    """(id, text_key, size, digest, half, marks): one row per row of ``df``; ``half`` holds the half keys of
+    both collections, ``marks`` 16 bits of each minhash.  Texts without words have size 0."""
     n = 2 * ROWS * plan.bands
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,11 +112,11 @@ def signatures(df: DataFrame, id_col: str, text_col: str, plan: Plan) -> DataFra
             sets = list(shingle_sets(batch.column(2), plan.shingle))
             sizes = np.array([len(s) for s in sets], np.int64)
             half = np.zeros((len(sets), 2 * plan.bands), np.uint64)
-            marks = np.zeros((len(sets), n), np.uint16)
+            marks = np.zeros((len(sets), n), np.int32)
             full = np.flatnonzero(sizes)
             if len(full):
                 low = _minhashes([sets[i] for i in full], n)
-                marks[full] = (mix(low) & np.uint64(0xFFFF)).astype(np.uint16)
+                marks[full] = (mix(low) & np.uint64(0xFFFF)).astype(np.int32)
                 keys = np.zeros((len(full), 2 * plan.bands), np.uint64)
                 for i in range(ROWS):
                     keys = mix(keys * _STEP + low[:, i::ROWS])
@@ -122,8 +124,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, plan: Plan) -> DataFra
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.array(list(half.view(np.int64)), pa.list_(pa.int64())),
-                 pa.array([m.tobytes() for m in marks], pa.binary())],
+                 pa.array(list(half.view(np.int64)), pa.list_(pa.int64())), pa.array(list(marks), pa.list_(pa.int32()))],
                 ["id", "text_key", "size", "digest", "half", "marks"])
 
     return _rows(df, id_col, text_col).mapInArrow(run, _SIGNATURE)
@@ -135,20 +136,33 @@ def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      text.cast("binary").alias("text"))
 
 
-def _members(classes: DataFrame, plan: Plan) -> DataFrame:
-    """(key, node, size): the members of every bucket of two or more classes."""
+def _stars(classes: DataFrame, plan: Plan) -> DataFrame:
+    """(centre, rank, node): the members of every star, the centre included; ``rank`` puts the centres that
+    meet more others first.  A star of two is left out where their minhashes rule a link out."""
     pairs = [(i, j) for i in range(plan.bands) for j in range(plan.bands)]
     keys = F.array(*[F.xxhash64(F.lit(n), F.col("half")[i], F.col("half")[plan.bands + j])
                      for n, (i, j) in enumerate(pairs)])
-    rows = classes.select("node", "size", F.explode(keys).alias("key"))
+    rows = classes.select("node", F.explode(keys).alias("key"))
     # written, so that the join has a plain shuffle on both sides and AQE can split a large bucket
-    shared = saved(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
-    return saved(rows.join(shared, "key").select("key", "node", "size"), "bucket-rows")
-
-
-def _sets(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, members: DataFrame, plan: Plan) -> DataFrame:
-    """(node, hashes): the full set of every class in a bucket, from the text of its first document."""
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
+    shared = saved(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    members = saved(rows.join(shared, "key"), "bucket-rows")
+    degree = saved(members.groupBy("node").agg((-F.sum("n")).alias("rank")), "degrees")
+    centre = members.join(degree, "node").groupBy("key").agg(F.min(F.struct("rank", "node")).alias("c"))
+    centre = saved(centre.select("key", F.col("c.node").alias("centre"), F.col("c.rank").alias("rank")), "centres")
+    stars = saved(members.join(centre, "key").select("centre", "rank", "node").distinct(), "stars")
+
+    size = saved(stars.groupBy("centre").agg(F.count(F.lit(1)).alias("n"), F.max("node").alias("hi"), F.min("node").alias("lo")), "star-sizes")
+    marks = classes.select("node", "marks")
+    two = size.where("n = 2").join(marks.withColumnsRenamed({"node": "hi", "marks": "hi_marks"}), "hi") \
+              .join(marks.withColumnsRenamed({"node": "lo", "marks": "lo_marks"}), "lo")
+    agree = F.size(F.filter(F.zip_with("hi_marks", "lo_marks", lambda x, y: x == y), lambda same: same))
+    hopeless = saved(two.where(agree < plan.agree).select("centre"), "far-stars")
+    return saved(stars.join(hopeless, "centre", "left_anti"), "near-stars")
+
+
+def _sets(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, stars: DataFrame, plan: Plan) -> DataFrame:
+    """(node, hashes): the full set of every class in a star, from the text of its first document."""
+    wanted = classes.join(stars.select("node").distinct(), "node", "left_semi")
     wanted = saved(wanted.select("node", F.col("first.id").alias("own"), F.col("first.text_key").alias("own_key")), "wanted")
     rows = _rows(df, id_col, text_col)
     texts = rows.join(wanted, (rows["text_key"] == wanted["own_key"]) & rows["id"].eqNullSafe(wanted["own"]))
@@ -162,124 +176,146 @@ def _sets(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, members
     return saved(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) of every candidate pair, decided on the full sets."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("set_a")), "a") \
-                .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("set_b")), "b")
+_RAY = "centre long, node long, rank long, size long, centre_size long, common long, linked boolean, diff binary"
+
+
+def _rays(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(centre, node, rank, size, centre_size, common, linked, diff): every member beside its centre, on
+    the full sets.  ``diff`` is what only one of the two has; from it and ``common`` follow the
+    intersections of all members (see ``links_among``)."""
+    both = stars.join(sets.select(F.col("node").alias("centre"), F.col("hashes").alias("set_a")), "centre") \
+                .join(sets.select("node", F.col("hashes").alias("set_b")), "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
+            out = []
+            for x, y in zip(batch.column(3), batch.column(4)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.searchsorted(x, y)
-                common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())],
-                                             ["a", "b", "linked"])
-
-    return saved(both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long, linked boolean"), "confirmed")
-
-
-def _with_roots(members: DataFrame, edges: DataFrame | None) -> DataFrame:
-    """``members`` with ``root``: equal roots are linked (though not all that are linked have equal
-    roots, which only costs further tests).  A node's root is the centre of its centre."""
-    if edges is None:
-        return members.withColumn("root", F.col("node"))
-
-    def ranked(col: str):
-        return F.struct(F.xxhash64(F.lit(0), F.col(col)).alias("rank"), F.col(col).alias("node"))
-
-    both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    centre = both.groupBy("a").agg(F.min(ranked("b")).alias("b"))
-    centre = saved(centre.select(F.col("a").alias("node"), F.least(ranked("a"), "b")["node"].alias("root")), "centres")
-    roots = centre.join(centre.select(F.col("node").alias("root"), F.col("root").alias("far")), "root").select("node", F.col("far").alias("root"))
-    return members.join(saved(roots, "roots"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-
-def _open(rooted: DataFrame, turn: int) -> DataFrame:
-    """(key, centre, centre_size, centre_root, n) of the buckets whose members are not one component."""
-    first = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("rank"), "node", "size", "root")).alias("c")
-    buckets = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                        F.count(F.lit(1)).alias("n"), first)
-    return saved(buckets.where("lo < hi").select("key", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"),
-                                                 F.col("c.root").alias("centre_root"), "n"), "open")
-
-
-def _near_sizes(a: str, b: str, percent: int):
-    return F.least(a, b) * F.lit(100) >= F.greatest(a, b) * F.lit(percent)
-
-
-def _stars(rooted: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
-    rows = rooted.join(buckets, "key").where((F.col("root") != F.col("centre_root")) & _near_sizes("size", "centre_size", percent))
-    return rows.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-
-
-def _rest(rooted: DataFrame, buckets: DataFrame, classes: DataFrame, plan: Plan, tile: int) -> DataFrame:
-    """All pairs of different components in the open buckets whose sizes and minhashes allow a link."""
-    rows = saved(rooted.join(buckets.select("key", "n"), "key"), "open-rows")
-    marks = classes.join(rows.select("node").distinct(), "node", "left_semi").select("node", "marks")
-    rows = rows.join(saved(marks, "marks"), "node")
-    blocks = F.ceil(F.col("n") / F.lit(tile)).cast("int")
-    placed = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # a block meets every block of its bucket once: blocks (i, j) form the group i * blocks + j
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    group = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
-    tiles = (placed.select(F.xxhash64("key", group).alias("g"), "node", "root", "size", "marks")
-                   .repartition("g").sortWithinPartitions("g"))
-
-    def found(g, node, root, size, marks) -> pa.RecordBatch:
-        a, b = [], []
-        for lo, hi in zip(*(lambda c: (c[:-1], c[1:]))(np.flatnonzero(np.r_[True, g[1:] != g[:-1], True]))):
-            r, s = root[lo:hi], size[lo:hi]
-            m = np.frombuffer(b"".join(marks[lo:hi]), np.uint16).reshape(hi - lo, -1)
-            for i in range(hi - lo - 1):
-                j = np.flatnonzero(r[i + 1:] != r[i]) + i + 1
-                j = j[100 * np.minimum(s[j], s[i]) >= plan.percent * np.maximum(s[j], s[i])]
-                j = j[(m[j] == m[i]).sum(axis=1) >= plan.agree]
-                a.append(np.minimum(node[lo + j], node[lo + i]))
-                b.append(np.maximum(node[lo + j], node[lo + i]))
-        none = [np.zeros(0, np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a or none)), pa.array(np.concatenate(b or none))], ["a", "b"])
+                diff = np.setxor1d(x, y, assume_unique=True)
+                common = (len(x) + len(y) - len(diff)) // 2
+                out.append((len(y), len(x), common, 100 * common >= percent * (len(x) + len(y) - common), diff.tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+            columns = [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 5, kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], [f.split()[0] for f in _RAY.split(", ")])
+
+    return saved(both.select("centre", "node", "rank", "set_a", "set_b").mapInArrow(run, _RAY), "rays")
+
+
+def _open_rows(rays: DataFrame) -> DataFrame:
+    """(centre, node, root, size, centre_size, common, diff, linked, blocks, other_blocks, block): the members
+    of the stars that are not one component.  Equal roots are linked (the converse is not needed: it only
+    saves tests).  ``linked`` members have their centre's root; their blocks come after the others'."""
+    # a centre outranks the members of its buckets, so the first centre of a node leads upwards
+    links = rays.where("linked and node <> centre")
+    up = saved(links.groupBy("node").agg(F.min(F.struct("rank", "centre")).alias("c")).select("node", F.col("c.centre").alias("root")), "up")
+    for _ in range(2):
+        further = up.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        up = saved(up.join(further, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "up")
+    rooted = rays.join(up, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    weight = F.col("size") + F.col("centre_size") - 2 * F.col("common")  # members of diff
+    light = saved(rooted.select("centre", "node", "root", weight.alias("weight")), "rooted")
+    whole = light.groupBy("centre").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"),
+                                        F.max(F.when(F.col("centre") == F.col("node"), F.col("root"))).alias("centre_root"))
+    unsettled = saved(whole.where("lo < hi and n > 2").select("centre", "centre_root"), "open")
+    light = light.join(unsettled, "centre").withColumn("linked", F.col("root") == F.col("centre_root"))
+
+    def blocks(linked: bool):
+        own = F.col("linked") == F.lit(linked)
+        return F.greatest(F.ceil(F.sum(F.when(own, F.col("weight")).otherwise(0)) / F.lit(BLOCK)),
+                          F.ceil(F.count(F.when(own, 1)) / F.lit(BLOCK_ROWS))).cast("int")
+
+    counts = light.groupBy("centre", "centre_root").agg(blocks(False).alias("other_blocks"), blocks(True).alias("linked_blocks"))
+    rows = rooted.join(saved(counts, "block-counts"), "centre").withColumn("linked", F.col("root") == F.col("centre_root"))
+    at = F.xxhash64("node")
+    block = F.when(F.col("linked"), F.col("other_blocks") + F.pmod(at, F.col("linked_blocks"))).otherwise(F.pmod(at, F.col("other_blocks")))
+    return rows.select("centre", "node", "root", "size", "centre_size", "common", "diff", "linked", "other_blocks",
+                       (F.col("other_blocks") + F.col("linked_blocks")).alias("blocks"), block.cast("int").alias("block"))
+
+
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a spanning forest of a symmetric matrix of links."""
+    left, out = np.ones(len(linked), bool), []
+    for first in range(len(linked)):
+        if not left[first]:
+            continue
+        left[first] = False
+        queue = [first]
+        while queue:
+            at = queue.pop()
+            new = np.flatnonzero(linked[at] & left)
+            left[new] = False
+            out += [(at, int(i)) for i in new]
+            queue += new.tolist()
+    return out
+
+
+def links_among(diffs: list[np.ndarray], sizes: np.ndarray, common: np.ndarray, centre_size: int, roots: np.ndarray,
+                percent: int) -> list[tuple[int, int]]:
+    """Spanning forest of the links between members of different roots.
+
+    ``diffs``: members of the symmetric difference with the centre, ``common``: size of the intersection
+    with it.  What two rows both lack of the centre, and both have beside it, is the intersection of
+    their diffs, so their own intersection is ``common_x + common_y - centre_size + |diff_x & diff_y|``."""
+    _, column, times = np.unique(np.concatenate(diffs), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(diffs)), [len(d) for d in diffs])
+    shared = times[column] > 1
+    row, column = row[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    column = np.cumsum(np.r_[0, np.diff(column) != 0]) if len(column) else column
+    both = (common[:, None] + common[None] - centre_size).astype(np.float64)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        a, b = np.searchsorted(column, (lo, lo + _COLUMNS))
+        part = np.zeros((len(diffs), _COLUMNS), np.float32)
+        part[row[a:b], column[a:b] - lo] = 1
+        both += part @ part.T
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None] - both)
+    return _forest(linked & (roots[:, None] != roots[None]))
+
+
+def _rest(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links inside the open stars, found block against block."""
+    # an open block meets every block, a linked one the open blocks: blocks i <= j form the group (i, j)
+    partner = F.explode(F.sequence(F.lit(0), F.when(F.col("linked"), F.col("other_blocks")).otherwise(F.col("blocks")) - 1))
+    group = F.xxhash64("centre", F.least("block", "partner"), F.greatest("block", "partner"))
+    tiles = rows.withColumn("partner", partner).select(group.alias("g"), "node", "root", "size", "centre_size", "common", "diff")
+    tiles = tiles.repartition("g").sortWithinPartitions("g")
+
+    def found(rows: list[tuple]) -> pa.RecordBatch:
+        nodes, roots, sizes, centre, common = (np.array(c, np.int64) for c in list(zip(*rows))[:5])
+        pairs = links_among([np.frombuffer(r[5], np.uint64) for r in rows], sizes, common, int(centre[0]), roots, percent)
+        a, b = nodes[[i for i, _ in pairs]], nodes[[j for _, j in pairs]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        now, held = None, []
         for batch in batches:
-            now = [c.to_numpy() for c in batch.columns[:4]] + [np.array(batch.column(4).to_pylist(), object)]
-            now = now if held is None else [np.concatenate(x) for x in zip(held, now)]
-            whole = int(np.searchsorted(now[0], now[0][-1], "left")) if len(now[0]) else 0  # the last group may go on
-            held = [x[whole:] for x in now]
-            if whole:
-                yield found(*(x[:whole] for x in now))
-        if held is not None and len(held[0]):
-            yield found(*held)
+            for g, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if g != now and held:
+                    if len(held) > 1:
+                        yield found(held)
+                    held = []
+                now = g
+                held.append(row)
+        if len(held) > 1:
+            yield found(held)
 
-    return tiles.mapInArrow(run, "a long, b long").where("a < b").distinct()
+    return tiles.mapInArrow(run, "a long, b long").distinct()
 
 
-def _links(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, plan: Plan, stars: int, tile: int) -> DataFrame | None:
-    """Links between classes whose transitive closure is that of all pairs at the threshold; None
+def _links(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, plan: Plan) -> DataFrame | None:
+    """(a, b): links between classes whose transitive closure is that of all pairs at the threshold; None
     where no two classes share a bucket."""
-    members = _members(classes, plan)
-    sets = None
-    tested = edges = None
-    for turn in range(stars + 1):
-        rooted = _with_roots(members, edges)
-        buckets = _open(rooted, turn)
-        if not buckets.take(1):
-            break
-        pairs = _stars(rooted, buckets, plan.percent) if turn < stars else _rest(rooted, buckets, classes, plan, tile)
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        sets = sets or _sets(df, id_col, text_col, classes, members, plan)
-        now = _confirmed(pairs, sets, plan.percent)
-        tested = now if tested is None else tested.unionAll(now)
-        edges = tested.where("linked").select("a", "b")
-    return edges
-
-
-def minhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80,
-                   stars: int = STARS, tile: int = TILE) -> DataFrame:
+    stars = _stars(classes, plan)
+    if not stars.take(1):
+        return None
+    sets = _sets(df, id_col, text_col, classes, stars, plan)
+    rays = _rays(stars, sets, plan.percent)
+    links = rays.where("linked and node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    return links.unionAll(saved(_rest(_open_rows(rays), plan.percent), "rest"))
+
+
+def minhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: ``id_col`` (long), ``n_shingles``, ``component_id``, ``kept``.
 
     Two texts are linked if their sets of ``shingle``-word sequences have ``percent`` hundredths of
@@ -290,19 +326,19 @@ def minhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``component_id`` and is kept.  An empty table gives none; other columns are not read.
 
     Sets are compared by 64-bit hashes of their sequences, classes by 128 bits of their sets."""
-    named = _named(df, id_col, text_col, Plan.of(shingle, percent), stars, tile)
+    named = _named(df, id_col, text_col, Plan.of(shingle, percent))
     return named.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id",
                         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _named(df: DataFrame, id_col: str, text_col: str, plan: Plan, stars: int = STARS, tile: int = TILE) -> DataFrame:
+def _named(df: DataFrame, id_col: str, text_col: str, plan: Plan) -> DataFrame:
     """(id, text_key, size, component_id): one row per row of ``df``."""
     docs = saved(signatures(df, id_col, text_col, plan), "minhashes")
     one = docs.where("size > 0").groupBy("digest").agg(
         F.min("id").alias("least"), F.min(F.struct("id", "text_key")).alias("first"), F.first("size").alias("size"),
         F.first("half").alias("half"), F.first("marks").alias("marks"))
     classes = saved(one.withColumn("node", F.monotonically_increasing_id()), "classes")
-    edges = _links(df, id_col, text_col, classes, plan, stars, tile)
+    edges = _links(df, id_col, text_col, classes, plan)
     named = classes.select("node", "digest", "least")
     if edges is not None:
         roots = saved(components(edges), "roots")

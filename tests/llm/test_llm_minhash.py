@@ -52,10 +52,32 @@ def made(seed=3):
     return rows
 
 
-@pytest.mark.parametrize("stars, tile", [(2, 256), (0, 3), (1, 2)])
-def test_equals_all_pairs(docs_of, stars, tile):
-    rows = made()
-    assert got(docs_of(rows), shingle=3, percent=85, stars=stars, tile=tile) == slow(rows, 3, 85)
+@pytest.mark.parametrize("block, rows", [(minhash.BLOCK, minhash.BLOCK_ROWS), (400, 3)])
+def test_equals_all_pairs(docs_of, monkeypatch, block, rows):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", rows)
+    made_rows = made()
+    assert got(docs_of(made_rows), shingle=3, percent=85) == slow(made_rows, 3, 85)
+
+
+def test_block_counts_are_exact():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(60)]
+    roots, centre = rng.integers(0, 40, 60), np.unique(rng.integers(0, 60, 40).astype(np.uint64))
+    common = np.array([len(np.intersect1d(s, centre)) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    forest = minhash.links_among([np.setxor1d(s, centre) for s in sets], sizes, common, len(centre), roots, 25)
+    all_pairs = [(i, j) for i in range(60) for j in range(i) if roots[i] != roots[j]
+                 and 4 * len(np.intersect1d(sets[i], sets[j])) >= len(np.union1d(sets[i], sets[j]))]
+
+    def groups(pairs):
+        name = list(range(60))
+        for i, j in pairs:
+            old, new = max(name[i], name[j]), min(name[i], name[j])
+            name = [new if x == old else x for x in name]
+        return name
+
+    assert groups(forest) == groups(all_pairs) and len(forest) < 60 < len(all_pairs)
 
 
 def test_odd_rows(odd, empty, docs_of):
@@ -74,19 +96,32 @@ def test_odd_rows(odd, empty, docs_of):
 
 
 def test_large_group_of_near_copies(docs_of, monkeypatch):
-    """A hot bucket is not expanded into pairs: the stars leave few candidates."""
-    counts = []
-    confirmed = minhash._confirmed
-
-    def counted(pairs, sets, percent):
-        counts.append(pairs.count())
-        return confirmed(pairs, sets, percent)
-
-    monkeypatch.setattr(minhash, "_confirmed", counted)
+    """A hot bucket is not expanded into pairs: copies meet their centre, and what is far from it meets in
+    blocks that report links only."""
+    counts = {"rays": 0, "rest": 0}
+    first, rest = minhash._rays, minhash._rest
+
+    def rays(stars, sets, percent):
+        counts["rays"] += stars.count()
+        return first(stars, sets, percent)
+
+    def blocks(rows, percent):
+        out = rest(rows, percent)
+        counts["rest"] += out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "_rays", rays)
+    monkeypatch.setattr(minhash, "_rest", blocks)
+    rng = np.random.default_rng(1)
     base = [f"word{i}" for i in range(200)]
-    rows = [(i, " ".join([*base[:i % 190], f"own{i}", *base[i % 190 + 1:]])) for i in range(600)]
-    groups = minhash_groups(docs_of(rows), shingle=3, percent=85).collect()
-    assert {r.component_id for r in groups} == {0} and sum(counts) < 20 * len(rows)
+    rows = []
+    for i in range(600):
+        words = list(base)
+        for at in rng.integers(0, 200, 1 + i % 12):  # from one edit, linked, to twelve, far from every other copy
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    assert got(docs_of(rows), shingle=3, percent=85) == slow(rows, 3, 85)
+    assert counts["rays"] < 20 * len(rows) and counts["rest"] < len(rows)
 
 
 def test_plan():
