@@ -68,21 +68,29 @@ def pool_mean(px, h, w, k: int = 2) -> Column:
     ceil(h/k) x ceil(w/k) doubles; where ``k`` does not divide, the cells of the last row and column
     are means of the pixels they have.  A frame of another number of values gives null."""
     h, w = _size(h), _size(w)
-    oh, ow = F.ceil(h / k).cast("int"), F.ceil(w / k).cast("int")
 
-    def cell(arr, i):
-        r0 = (i / ow).cast("int") * k  # output row * k
-        c0 = (i % ow) * k
-        total = None
-        for dr in range(k):
-            for dc in range(k):
-                v = F.get(arr, (r0 + dr) * w + c0 + dc).cast("double")
-                if dr or dc:
-                    v = F.when((r0 + dr < h) & (c0 + dc < w), v).otherwise(0.0)
-                total = v if total is None else total + v
-        return total / (F.least(F.lit(k), h - r0) * F.least(F.lit(k), w - c0))
-
-    return let(_c(px), lambda arr: F.when(F.size(arr) == h * w, F.transform(_upto(oh * ow), lambda i: cell(arr, i))))
+    def cells(arr, oh, ow, whole: bool):
+        def cell(i):
+            r0 = (i / ow).cast("int") * k  # output row * k
+            c0 = (i % ow) * k
+            first = r0 * w + c0
+            total = None
+            for dr in range(k):
+                for dc in range(k):
+                    v = F.get(arr, first + (w * dr + dc)).cast("double")
+                    if not whole and (dr or dc):
+                        v = F.when((r0 + dr < h) & (c0 + dc < w), v).otherwise(0.0)
+                    total = v if total is None else total + v
+            return total / (F.lit(k * k) if whole else F.least(F.lit(k), h - r0) * F.least(F.lit(k), w - c0))
+
+        return F.transform(_upto(oh * ow), cell)
+
+    def pooled(arr):
+        even = cells(arr, (h / k).cast("int"), (w / k).cast("int"), True)
+        odd = cells(arr, F.ceil(h / k).cast("int"), F.ceil(w / k).cast("int"), False)
+        return F.when(F.size(arr) == h * w, F.when((h % k == 0) & (w % k == 0), even).otherwise(odd))
+
+    return let(_c(px), pooled)
 
 
 def nearest_resize(px, w, y0, y1, x0, x1, oh: int, ow: int) -> Column:
