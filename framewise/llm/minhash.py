@@ -165,7 +165,8 @@ def _sets(df: DataFrame, id_col: str, text_col: str, classes: DataFrame, stars:
     wanted = classes.join(stars.select("node").distinct(), "node", "left_semi")
     wanted = saved(wanted.select("node", F.col("first.id").alias("own"), F.col("first.text_key").alias("own_key")), "wanted")
     rows = _rows(df, id_col, text_col)
-    texts = rows.join(wanted, (rows["text_key"] == wanted["own_key"]) & rows["id"].eqNullSafe(wanted["own"]))
+    # the classes in stars grow with the input, so they are not broadcast: one plan at every size
+    texts = rows.join(wanted.hint("merge"), (rows["text_key"] == wanted["own_key"]) & rows["id"].eqNullSafe(wanted["own"]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
