@@ -2,7 +2,8 @@
 
 A word's merges run from a priority queue of merge ranks over a doubly linked list of symbols;
 entries whose pair has changed are stale and skipped.  Words repeat, so each Python worker keeps
-the results of the words it has met (a bounded cache).  The file's text is read by the driver and
+the results of the words it has met lately: two bounded generations, of which the older one is
+dropped when the younger one is full; a string met again moves to the younger one.  The file's text is read by the driver and
 broadcast; its size is checked.
 """
 
@@ -19,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_FILE = 32 << 20       # bytes of a vocabulary file that may be broadcast
-_CACHE = 1 << 20          # strings kept by a worker before it starts afresh
+_CACHE = 1 << 17          # strings of a generation of a worker's caches; two generations are kept
+_SHORT, _NO_RANK = 24, 1 << 60  # symbols merged in a plain loop; the rank of a pair without a merge
 _ROWS, _CHARS = 256, 4 << 20  # rows and result characters of an output batch
 #: Characters that str.split() takes for white space and Unicode's White_Space property does not.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
@@ -54,13 +56,26 @@ class Bpe:
         patterns = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.pattern = regex.compile(patterns[0])
         self.bytes = _byte_characters()
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
         self.chunks: dict[str, tuple[int, str, str]] = {}
+        self.old_words: dict[str, tuple[int, ...]] = {}
+        self.old_chunks: dict[str, tuple[int, str, str]] = {}
 
     def merge(self, ids: list[int]) -> list[int]:
         """Apply the merges of the lowest ranks first, leftmost first among equals."""
         rank, product = self.rank, self.product
         n = len(ids)
+        if n <= _SHORT:
+            ranks = [rank.get(p, _NO_RANK) for p in zip(ids, ids[1:])]
+            while ranks and (r := min(ranks)) != _NO_RANK:
+                i = ranks.index(r)
+                ids[i:i + 2] = [product[r]]
+                del ranks[i]
+                if i:
+                    ranks[i - 1] = rank.get((ids[i - 1], ids[i]), _NO_RANK)
+                if i < len(ranks):
+                    ranks[i] = rank.get((ids[i], ids[i + 1]), _NO_RANK)
+            return ids
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         queue = [(r, i) for i in range(n - 1) if (r := rank.get((ids[i], ids[i + 1]))) is not None]
         heapify(queue)
@@ -79,15 +94,17 @@ class Bpe:
                 heappush(queue, (s, h))
         return [x for x in ids if x >= 0]
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> tuple[int, ...]:
         found = self.words.get(word)
         if found is None:
-            symbols = [self.bytes[b] for b in word.encode()]
-            symbols[-1] += self.suffix
-            found = self.merge([self.vocab[s] for s in symbols if s in self.vocab])
-            if len(self.words) >= _CACHE:
-                self.words.clear()
+            found = self.old_words.get(word)
+            if found is None:
+                symbols = [self.bytes[b] for b in word.encode()]
+                symbols[-1] += self.suffix
+                found = tuple(self.merge([self.vocab[s] for s in symbols if s in self.vocab]))
             if len(word) < 64:
+                if len(self.words) >= _CACHE:
+                    self.words, self.old_words = {}, self.words
                 self.words[word] = found
         return found
 
@@ -98,25 +115,28 @@ class Bpe:
             if part in self.added:
                 out.append(self.added[part])
                 continue
-            part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            for word in self.pattern.findall(part):
+            if not part.isascii():
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+            for word in self.pattern.findall(part.lower()):
                 out += self.word(word)
         return out
 
     def encoded(self, chunk: str) -> tuple[int, str, str]:
         """(number of ids, the ids joined by spaces, their vocabulary strings joined by spaces)"""
-        ids = self.piece(chunk)
-        found = len(ids), " ".join(map(str, ids)), " ".join([self.strings[i] for i in ids])
+        found = self.old_chunks.get(chunk)
+        if found is None:
+            ids = self.piece(chunk)
+            found = len(ids), " ".join(map(str, ids)), " ".join([self.strings[i] for i in ids])
         if len(chunk) < 64:
             if len(self.chunks) >= _CACHE:
-                self.chunks.clear()
+                self.chunks, self.old_chunks = {}, self.chunks
             self.chunks[chunk] = found
         return found
 
     def encode(self, text: str) -> tuple[int, str, str]:
         chunks = [text] if any(c in text for c in _SEPARATORS) else text.split()
-        have, make = self.chunks, self.encoded
-        rows = [have.get(c) or make(c) for c in chunks]
+        make = self.encoded
+        rows = [self.chunks.get(c) or make(c) for c in chunks]
         return (sum([r[0] for r in rows]), " ".join([r[1] for r in rows if r[0]]),
                 " ".join([r[2] for r in rows if r[0]]))
 

@@ -37,6 +37,19 @@ def test_bpe_equals_the_library(documents):
         same(ours, theirs, "".join(rnd.choices(marks, k=rnd.randrange(1, 30))))
 
 
+def test_bpe_caches_keep_two_generations(monkeypatch):
+    """Many different words: the caches stay bounded, a word met all the time stays, results are the library's."""
+    monkeypatch.setattr(bpe, "_CACHE", 50)
+    theirs = library()
+    with open(vocabulary_path(), encoding="utf-8") as f:
+        ours = bpe.Bpe(f.read())
+    rnd = random.Random(8)
+    for _ in range(300):
+        same(ours, theirs, " ".join(["always", *("".join(rnd.choices("abcdeé", k=rnd.randrange(1, 40))) for _ in range(9))]))
+        assert "always" in ours.chunks or "always" in ours.old_chunks
+        assert all(len(c) <= 50 for c in (ours.words, ours.old_words, ours.chunks, ours.old_chunks))
+
+
 def test_bpe_odd_rows(odd, empty):
     rows = bpe.encode_documents(odd, vocabulary_path()).collect()
     assert len(rows) == odd.count()
