@@ -108,28 +108,36 @@ def nearest_resize(px, w, y0, y1, x0, x1, oh: int, ow: int) -> Column:
 
 def bilinear_resize(px, h, w, oh: int, ow: int) -> Column:
     """Half-pixel-centre bilinear resize of an h x w frame (``h``, ``w``: ints or per-row columns)
-    to oh x ow ints, rounded half to even and kept in 0..255; null for a null frame."""
+    to oh x ow ints, rounded half to even and kept in 0..255; null for a null frame.
+    Places and weights are worked out once per output row and column, not once per cell."""
     h, w = _size(h), _size(w)
 
-    def source(i, n, on: int) -> Column:
-        at = (i.cast("double") + 0.5) * n.cast("double") / float(on) - 0.5
-        return F.least(F.greatest(at, F.lit(0.0)), (n - 1).cast("double"))
+    def sources(n, on: int, stride) -> Column:
+        """Per output index: offsets of its two sources, and their weights."""
+        def source(i):
+            at = (i.cast("double") + 0.5) * n.cast("double") / float(on) - 0.5
+            return F.least(F.greatest(at, F.lit(0.0)), (n - 1).cast("double"))
 
-    def cell(arr, i):
-        sy, sx = source((i / ow).cast("int"), h, oh), source(i % ow, w, ow)
-        y0, x0 = F.floor(sy).cast("int"), F.floor(sx).cast("int")
-        y1, x1 = F.least(y0 + 1, h - 1), F.least(x0 + 1, w - 1)
-        fy, fx = sy - y0, sx - x0
+        def taps(s):
+            first = F.floor(s).cast("int")
+            return let(first, lambda p: F.struct((p * stride).alias("a"), (F.least(p + 1, n - 1) * stride).alias("b"),
+                                                 (1 - (s - p)).alias("wa"), (s - p).alias("wb")))
+
+        return F.transform(F.sequence(F.lit(0), F.lit(on - 1)), lambda i: let(source(i), taps))
+
+    def cell(arr, y, x):
+        def at(row, column):
+            return F.get(arr, y[row] + x[column]).cast("double")
 
-        def at(y, x):
-            return F.get(arr, y * w + x).cast("double")
+        top = at("a", "a") * x["wa"] + at("a", "b") * x["wb"]
+        bottom = at("b", "a") * x["wa"] + at("b", "b") * x["wb"]
+        return F.least(F.greatest(F.rint(top * y["wa"] + bottom * y["wb"]).cast("int"), F.lit(0)), F.lit(255))
 
-        top = at(y0, x0) * (1 - fx) + at(y0, x1) * fx
-        bottom = at(y1, x0) * (1 - fx) + at(y1, x1) * fx
-        return F.least(F.greatest(F.rint(top * (1 - fy) + bottom * fy).cast("int"), F.lit(0)), F.lit(255))
+    def resized(arr):
+        return let(sources(h, oh, w), lambda ys: let(sources(w, ow, F.lit(1)), lambda xs: F.flatten(
+            F.transform(ys, lambda y: F.transform(xs, lambda x: cell(arr, y, x))))))
 
-    cells = F.sequence(F.lit(0), F.lit(oh * ow - 1))
-    return let(_c(px), lambda arr: F.when(arr.isNotNull(), F.transform(cells, lambda i: cell(arr, i))))
+    return let(_c(px), lambda arr: F.when(arr.isNotNull(), resized(arr)))
 
 
 def _upto(n) -> Column:
@@ -194,11 +202,13 @@ def bytes_to_ints(data) -> Column:
 
 
 def ints_to_bytes(px) -> Column:
-    """ARRAY<INT> -> BINARY, one byte a value; null if a value is null or not in 0..255."""
-    arr = _c(px)
-    whole = F.forall(arr, lambda p: F.coalesce(p.between(0, 255), F.lit(False)))
-    text = F.array_join(F.transform(arr, lambda p: F.lpad(F.hex(p), 2, "0")), "")
-    return F.when(whole, F.unhex(text))
+    """ARRAY<INT> -> BINARY, one byte a value; null if a value is null or not in 0..255.  As in
+    :func:`bytes_to_ints`, every byte is a character of a Latin-1 text."""
+    def packed(arr):
+        whole = F.forall(arr, lambda p: F.coalesce(p.between(0, 255), F.lit(False)))
+        return F.when(whole, F.encode(F.array_join(F.transform(arr, lambda p: F.char(p)), ""), "ISO-8859-1"))
+
+    return let(_c(px), packed)
 
 
 # ---- channels ----

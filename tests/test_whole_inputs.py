@@ -70,6 +70,15 @@ def test_bytes_and_numbers(spark):
     assert all(r.data is None for r in bad.select(P.ints_to_bytes("px").alias("data")).collect())
 
 
+def test_resize_works_out_places_once_per_row_and_column(spark):
+    """One rounding down for each axis in the whole expression, none for every cell's neighbours."""
+    out = spark.range(1).select(F.array_repeat(F.lit(7), 6).alias("px")).select(P.bilinear_resize("px", 2, 3, 5, 4).alias("r"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().lower().count("floor(") <= 2
+    odd = spark.createDataFrame([(1, [7, 255, None, 9], 2, 2), (2, None, 2, 2), (3, [5], 2, 2)], "i int, px array<int>, h int, w int")
+    got = {r.i: r.r for r in odd.select("i", P.bilinear_resize("px", "h", "w", 2, 2).alias("r")).collect()}
+    assert got == {1: [0, 255, 0, 9], 2: None, 3: [0, 0, 0, 0]}  # 0 where one of the four sources is missing
+
+
 def test_frame_records(spark):
     rows = [(7, "s", 2, 2, [1] * 12), (3, "s", 2, 2, [200, 100, 50] * 4), (5, "t", 1, 1, [9])]
     got = PR.frame_records(spark.createDataFrame(rows, "frame_id long, stream_name string, height int, width int, bgr array<int>"), side=3)
