@@ -22,16 +22,24 @@ from pyspark.sql import types as T
 from ..functions.pixels import let
 
 CLASSES = 29
+PERIOD = 23  # of the weights, along the pixels
 
 
 def linear_class(px: Column, classes: int = CLASSES) -> Column:
     """Predicted class of a pixel array of any length, in the JVM; null pixels give null."""
-    def score(values: Column, k: Column) -> Column:
-        terms = F.transform(values, lambda p, i: p.cast("long") * ((i * (2 * k + 1) + 7 * k) % 23 - 11))
+    def residue_sum(values: Column, j: Column) -> Column:
+        n = F.size(values)
+        return F.when(j < n, F.aggregate(F.sequence(j, n - 1, F.lit(PERIOD)), F.lit(0).cast("long"),
+                                         lambda a, i: a + F.get(values, i).cast("long"))).otherwise(F.lit(0).cast("long"))
+
+    def score(sums: Column, k: Column) -> Column:
+        terms = F.transform(sums, lambda s, j: s * ((j * (2 * k + 1) + 7 * k) % PERIOD - 11))
         return F.aggregate(terms, F.lit(0).cast("long"), lambda a, x: a + x)
 
     # the pixels and the scores are bound once; named inside a lambda they would be worked out per class
-    scores = let(px, lambda values: F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda k: score(values, k)))
+    # a pixel's weights depend on its place modulo PERIOD only, so pixels of one residue are summed first
+    sums = let(px, lambda values: F.when(values.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(PERIOD - 1)), lambda j: residue_sum(values, j))))
+    scores = let(sums, lambda s: F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda k: score(s, k)))
     return let(scores, lambda s: F.array_position(s, F.array_max(s)) - 1).cast("int")
 
 
