@@ -83,6 +83,9 @@ def append_lines(df: DataFrame, path: str, col: str = "line") -> str:
 
 # ---- whole files and images ----
 
+MERGED = 32  # splits of small picture files that one task reads
+
+
 def read_binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """``path, modificationTime, length, content`` per file."""
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
@@ -90,8 +93,14 @@ def read_binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFr
 
 def read_images(spark: SparkSession, path: str, drop_invalid: bool = False) -> DataFrame:
     """Decoded images: ``image.origin/height/width/nChannels/mode/data`` (BGR); a file that cannot be
-    decoded stays, with height -1."""
-    return spark.read.format("image").option("dropInvalid", drop_invalid).load(path)
+    decoded stays, with height -1.
+
+    Spark counts 4 MB for opening a file, so a scan of small files has a task for every 32 of them; up
+    to ``MERGED`` such splits are read by one task, while there is one for each shuffle partition."""
+    images = spark.read.format("image").option("dropInvalid", drop_invalid).load(path)
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    splits = images.rdd.getNumPartitions()
+    return images.coalesce(max(least, -(-splits // MERGED)))
 
 
 def image_pixels(images: DataFrame) -> DataFrame:

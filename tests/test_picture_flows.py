@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from framewise.operators import dataset as D
 from framewise.operators import labels as L
+from framewise.operators import scoring as SC
 from framewise.plans.ml_queries import line_pieces, transcripts
 from framewise.session import fresh_path
 from framewise.sources import files as IO
 from framewise.sources import fixtures as fx
+from framewise.sources import images as IMG
 
 
 def test_csv_column_positions_over_several_splits(spark):
@@ -75,3 +77,29 @@ def test_picture_read_half_has_no_python(spark):
     out = IO.image_pixels(images)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and out.first().pixels == [1, 2, 3]
+
+
+def test_small_pictures_share_tasks(spark):
+    """600 files of a few bytes: not one task for every 32 of them, and no file is lost."""
+    root = fresh_path(spark, "small-pictures")
+    rows = spark.range(600).select(F.col("id").alias("frame_id"), F.array(F.lit(1), F.lit(2)).alias("pixels"))
+    IMG.write_pngs(rows, root, 1, 2).write.format("noop").mode("overwrite").save()
+    images = IO.read_images(spark, root)
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    assert images.rdd.getNumPartitions() <= least
+    assert IO.image_pixels(images).select("origin").distinct().count() == 600
+
+
+def test_scores_of_frames_of_any_length(spark):
+    """As the weights say, pixel by pixel."""
+    values = [list(range(200, 200 + n)) for n in (0, 1, 22, 23, 24, 784)] + [None, [3, None, 4]]
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, px array<int>")
+    scored = rows.select("i", SC.linear_class(F.col("px")).alias("k"))
+
+    def plain(px):
+        if px is None or None in px:
+            return None
+        scores = [sum(p * ((i * (2 * k + 1) + 7 * k) % 23 - 11) for i, p in enumerate(px)) for k in range(29)]
+        return scores.index(max(scores))
+
+    assert {r.i: r.k for r in scored.collect()} == {i: plain(v) for i, v in enumerate(values)}
